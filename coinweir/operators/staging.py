@@ -41,15 +41,14 @@ def flatten_transactions(raw: DataFrame) -> DataFrame:
 def keep_authoritative(rows: DataFrame) -> DataFrame:
     """One row per transaction id: the reconciled copy if there is one, else the newest.
 
-    Every other column breaks remaining ties, so the result does not depend on row order.
-    Rows without an id fall together into one row.
+    Every other column that is not derived breaks remaining ties, so the result does not
+    depend on row order. Rows without an id fall together into one row.
 
     A rank filtered to its first row makes Spark cut each id to one row per task before
     the shuffle, so an id with a third of all deliveries still sends few rows.
     """
-    order = ["created_at"] + [
-        name for name in STAGING.fieldNames() if name not in ("transaction_id", "created_at")
-    ]
+    settled = ("transaction_id", "created_at", "is_settled", "is_declined")
+    order = ["created_at"] + [name for name in STAGING.fieldNames() if name not in settled]
     newest_first = Window.partitionBy("transaction_id").orderBy(
         (F.col("ingestion_source") == RECONCILIATION).desc_nulls_last(),
         *[F.col(name).desc_nulls_last() for name in order],
