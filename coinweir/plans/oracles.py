@@ -126,6 +126,17 @@ _SCAN_FROM = "date_trunc('month', date_trunc('month', max(created_at))::date - i
 _CATEGORY_LIST = ", ".join(f"'{name}'" for name in CATEGORIES)
 
 
+# Purchases are the only accepted envelopes; the last one a user has on a day stands.
+_STREAMED = """with standing as (
+  select user_id, ts, if(value < 10, null, (props::json->>'$.k')::bigint) as amount
+  from (
+    select *, row_number() over (partition by user_id, ts::date order by event_id desc) as n
+    from events where event_type = 'purchase')
+  where n = 1
+)
+"""
+
+
 def _sum_check(name: str, published: str, expected: str) -> str:
     return f"""select '{name}' as check_name, {published} as published_value, {expected} as expected_value"""
 
@@ -335,6 +346,16 @@ where pick = 1""",
   when 'signup' then 'Missing fields: account_id, created'
   when 'click' then 'Missing fields: amount' end as reject_reason
 from events""",
+        "stream_landing": _STREAMED
+        + """select 'webhook' as source, 'tx_' || user_id as id, user_id::varchar as account_id,
+  amount, replace(ts::varchar, ' ', 'T') || 'Z' as created
+from standing""",
+        "stream_staging": _STREAMED
+        + """select 'tx_' || user_id as transaction_id, user_id::varchar as account_id,
+  amount as amount_minor_units, ts as created_at, strftime(ts, '%Y') as transaction_year,
+  strftime(ts, '%m') as transaction_month
+from (select *, row_number() over (partition by user_id order by ts desc) as pick from standing)
+where pick = 1""",
     }
 
 

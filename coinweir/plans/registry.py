@@ -23,6 +23,7 @@ from coinweir.plans import quality
 from coinweir.plans.pipeline import model_relations
 from coinweir.schemas import PARTITION_COLUMNS, STAGING
 from coinweir.session import work_dir
+from coinweir.sources.landing import read_landed_events
 from coinweir.sources.raw import raw_month_counts, raw_path_keys
 from coinweir.sources.staging import (
     publish_staging,
@@ -31,8 +32,9 @@ from coinweir.sources.staging import (
     rows_before_month,
     with_partition_columns,
 )
-from coinweir.sources.star import card_feed, event_deliveries, event_envelopes, feed_paths, table
+from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, table, with_envelope
 from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS
+from coinweir.streaming.ingest import land_stream
 from coinweir.vocab import MARTS, RECONCILIATION, WEBHOOK
 
 # Clock values the registered queries use in place of the current time.
@@ -206,6 +208,30 @@ def landing_precedence(spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_times(standing.drop("arrival"))
 
 
+def _streamed_events(spark: SparkSession, folder: str) -> Layout:
+    """Stream the events as webhook envelopes into a new layout, then stop."""
+    layout = Layout(work_dir(spark))
+    bodies = with_envelope(event_stream(spark, folder))
+    land_stream(spark, layout, bodies).query.awaitTermination()
+    return layout
+
+
+def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """The standing copy of every delivery that a stream of envelopes landed."""
+    layout = _streamed_events(spark, folder)
+    return read_landed_events(spark, layout.landing).select(
+        "source", "transaction.id", "transaction.account_id", "transaction.amount", "transaction.created"
+    )
+
+
+def stream_staging(spark: SparkSession, folder: str) -> DataFrame:
+    """The staging months that the same stream rebuilt."""
+    layout = _streamed_events(spark, folder)
+    return read_staging(spark, layout.staging).select(
+        "transaction_id", "account_id", "amount_minor_units", "created_at", *PARTITION_COLUMNS
+    )
+
+
 def _dates_as_times(rows: DataFrame) -> DataFrame:
     """Dates as midnight, so that both engines hand them over as one type."""
     return rows.select(
@@ -260,7 +286,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recon_marts_vs_fact": recon_marts_vs_fact,
         "recon_subscriptions_vs_fact": recon_subscriptions_vs_fact,
         "landing_precedence": landing_precedence,
-        "validate_events": lambda s, f: validate_events(event_envelopes(s, f)).select(
+        "validate_events": lambda s, f: validate_events(with_envelope(table(s, f, "events"))).select(
             "event_id", "reject_reason"
         ),
+        "stream_landing": stream_landing,
+        "stream_staging": stream_staging,
     }

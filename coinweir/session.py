@@ -17,15 +17,24 @@ SETTINGS = {
     # Raw drops are many small files: charge little for opening one, so a task takes
     # hundreds of them instead of a few dozen.
     "spark.sql.files.openCostInBytes": str(256 * 1024),
+    # Size that rebalanced writes split and gather files to.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+
 _local_work_dir: str | None = None
 
 
-def session_builder(app_name: str = "coinweir") -> SparkSession.Builder:
+def session_builder(app_name: str = "coinweir", input_bytes: int | None = None) -> SparkSession.Builder:
+    """A builder with the package's settings. `input_bytes`, the size of what a job reads,
+    sets how finely shuffles start out; adaptive execution then only merges partitions."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        partitions = max(200, -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     return builder
 
 

@@ -85,11 +85,25 @@ def event_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    """One envelope text per event. Views have another event type, errors break off inside
-    the text, clicks lack an amount, sign-ups lack an account and a creation time, and
-    low-valued purchases carry an amount that is present but NULL."""
-    events = table(spark, folder, "events")
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table read as a stream, with the place of arrival of each row."""
+    return (
+        spark.readStream.schema(table(spark, folder, "events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
+        .select(
+            "*",
+            F.col("_metadata.file_modification_time").alias("arrived_at"),
+            F.col("_metadata.file_path").alias("arrived_file"),
+            F.col("_metadata.file_block_start").alias("arrived_block"),
+        )
+    )
+
+
+def with_envelope(events: DataFrame) -> DataFrame:
+    """Adds `body`, an envelope text, to event rows. Views have another event type, errors
+    break off inside the text, clicks lack an amount, sign-ups lack an account and a creation
+    time, and low-valued purchases carry an amount that is present but NULL."""
     kind = F.col("event_type")
 
     def member(key: str, value: Column) -> Column:
@@ -99,15 +113,13 @@ def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     created = F.concat(F.lit('"'), _iso("ts"), F.lit('"'))
     members = F.concat_ws(
         ",",
-        member("id", F.concat(F.lit('"tx_'), F.col("event_id").cast("string"), F.lit('"'))),
-        F.when(kind != "signup", member("account_id", F.col("user_id").cast("string"))),
+        member("id", F.concat(F.lit('"tx_'), F.col("user_id").cast("string"), F.lit('"'))),
+        F.when(kind != "signup", member("account_id", F.concat(F.lit('"'), "user_id", F.lit('"')))),
         F.when(kind != "click", member("amount", amount)),
         member("currency", F.lit('"GBP"')),
         F.when(kind != "signup", member("created", created)),
     )
     name = F.when(kind == "view", F.lit("transaction.updated")).otherwise(F.lit("transaction.created"))
     text = F.concat(F.lit('{"type":"'), name, F.lit('","data":{'), members, F.lit("}}"))
-    return events.select(
-        "event_id",
-        F.when(kind == "error", F.concat(F.lit('{"type":"'), name, F.lit('","data":'), "props")).otherwise(text).alias("body"),
-    )
+    broken = F.concat(F.lit('{"type":"'), name, F.lit('","data":'), "props")
+    return events.withColumn("body", F.when(kind == "error", broken).otherwise(text))
