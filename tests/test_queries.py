@@ -1,0 +1,106 @@
+from datetime import datetime
+
+import pytest
+from conftest import rows
+
+from coinweir.operators import queries
+
+
+@pytest.fixture(scope="module")
+def marts(spark):
+    def made(schema, *data):
+        return spark.createDataFrame(list(data), schema)
+
+    at = datetime
+    return {
+        "spend_by_category": made(
+            "transaction_month timestamp_ntz, category string, category_label string, total_spend double, transaction_count bigint",
+            (at(2026, 2, 1), "groceries", "Groceries", 80.0, 4),
+            (at(2026, 1, 1), "eating_out", "Eating out", 50.0, 3),
+            (at(2026, 1, 1), "groceries", "Groceries", 100.0, 5),
+        ),
+        "monthly_cashflow": made(
+            "transaction_month timestamp_ntz, income double, expenses double, net double",
+            (at(2026, 1, 1), 2000.0, 500.0, 1500.0),
+            (at(2026, 3, 1), 2000.0, 700.0, 1300.0),
+            (at(2026, 2, 1), 2000.0, 600.0, 1400.0),
+        ),
+        "merchant_summary": made(
+            "merchant_id string, merchant_name string, merchant_category string, total_spend double, transaction_count bigint,"
+            "avg_transaction_amount double, first_transaction_at timestamp_ntz, last_transaction_at timestamp_ntz",
+            ("m2", "Cinema", "fun", 30.0, 3, 10.0, at(2026, 1, 5), at(2026, 3, 5)),
+            ("m3", "Baker", "food", 300.0, 9, 33.3, at(2026, 1, 5), at(2026, 2, 20)),
+            ("m1", "Grocer", "food", 300.0, 10, 30.0, at(2026, 1, 5), at(2026, 2, 20)),
+        ),
+        "subscriptions": made(
+            "merchant_id string, merchant_name string, merchant_category string, charge_amount double, months_charged bigint,"
+            "charge_count bigint, first_charged_at timestamp_ntz, last_charged_at timestamp_ntz",
+            ("m1", "Grocer", "food", 99.0, 2, 2, at(2026, 1, 5), at(2026, 3, 5)),
+            ("m2", "Cinema", "fun", 9.99, 3, 3, at(2026, 1, 5), at(2026, 3, 5)),
+        ),
+    }
+
+
+@pytest.fixture(scope="module")
+def staging(spark):
+    return spark.createDataFrame(
+        [
+            ("t1", "a1", "m1", "groceries", datetime(2026, 1, 5, 10), False),
+            ("t2", "a1", "m2", "entertainment", datetime(2026, 3, 5, 8, 59), False),
+            ("t3", "a1", None, "shopping", datetime(2026, 2, 1, 9), True),
+        ],
+        "transaction_id string, account_id string, merchant_id string, category string,"
+        "created_at timestamp_ntz, is_declined boolean",
+    )
+
+
+@pytest.mark.parametrize("month", [None, ""])
+def test_spend_of_all_months_in_order(marts, month):
+    found = queries.spend_by_category(marts["spend_by_category"], month).collect()
+    assert [(r.transaction_month.month, r.total_spend) for r in found] == [(1, 100.0), (1, 50.0), (2, 80.0)]
+
+
+@pytest.mark.parametrize("month,spends", [("2026-02", [80.0]), ("2025-02", []), ("2026-2", []), ("junk", [])])
+def test_spend_of_one_month(marts, month, spends):
+    found = queries.spend_by_category(marts["spend_by_category"], month).collect()
+    assert [r.total_spend for r in found] == spends
+
+
+@pytest.mark.parametrize("months,expected", [(None, [3, 2, 1]), (2, [3, 2]), ("2", [3, 2]), (0, [])])
+def test_cashflow_newest_first(marts, months, expected):
+    found = queries.monthly_cashflow(marts["monthly_cashflow"], months).collect()
+    assert [r.transaction_month.month for r in found] == expected
+
+
+def test_top_merchants_break_ties_by_id(marts):
+    found = queries.top_merchants(marts["merchant_summary"], 2)
+    assert [r.merchant_name for r in found.collect()] == ["Grocer", "Baker"]
+    assert len(found.columns) == 6
+    assert len(queries.top_merchants(marts["merchant_summary"]).collect()) == 3
+
+
+def test_subscriptions_longest_first(marts):
+    assert [r.merchant_name for r in queries.subscriptions(marts["subscriptions"]).collect()] == ["Cinema", "Grocer"]
+
+
+def test_report(marts, staging):
+    report = queries.data_quality_report(staging, marts, datetime(2026, 3, 6, 9, 0)).first()
+    assert report.transaction_count == 3 and report.distinct_transaction_ids == 3
+    assert (report.account_count, report.category_count, report.merchant_count) == (1, 3, 2)
+    assert report.declined_count == 1 and report.has_duplicate_transaction_ids is False
+    assert report.hours_since_last_transaction == 25
+    assert report.earliest_transaction_at == datetime(2026, 1, 5, 10)
+    assert report.mart_row_counts == {
+        "spend_by_category": 3, "monthly_cashflow": 3, "merchant_summary": 3, "subscriptions": 2,
+    }
+
+
+def test_report_flags_repeated_ids(marts, staging):
+    report = queries.data_quality_report(staging.unionByName(staging.limit(1)), marts).first()
+    assert (report.transaction_count, report.distinct_transaction_ids) == (4, 3)
+    assert report.has_duplicate_transaction_ids is True
+
+
+def test_report_on_nothing(marts, staging):
+    report = queries.staging_profile(staging.limit(0), None)
+    assert rows(report, "transaction_count", "declined_count", "hours_since_last_transaction") == [(0, None, None)]

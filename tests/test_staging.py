@@ -1,0 +1,142 @@
+import json
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import put_raw, rows, transaction
+from pyspark.sql import functions as F
+
+from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions
+from coinweir.schemas import RAW_EVENT, STAGING
+from coinweir.sources.raw import list_raw_paths, raw_path_keys, read_raw
+
+
+def events(spark, *pairs):
+    lines = [json.dumps({"source": source, "transaction": body}) for source, body in pairs]
+    return spark.createDataFrame([(line,) for line in lines], "j string").select(
+        F.from_json("j", RAW_EVENT).alias("e")
+    ).select("e.*")
+
+
+def test_schema_of_flattened_rows(spark):
+    flat = flatten_transactions(events(spark, ("webhook", transaction("a", "2026-01-01T00:00:00Z", 1))))
+    assert [(f.name, f.dataType) for f in flat.schema] == [(f.name, f.dataType) for f in STAGING]
+
+
+def test_blank_and_absent_values_become_null(spark):
+    flat = flatten_transactions(
+        events(
+            spark,
+            ("webhook", transaction("a", "2026-01-01T00:00:00Z", 1, settled="", notes="")),
+            ("webhook", transaction("b", "2026-01-01T00:00:00Z", 1)),
+            ("webhook", transaction("c", "2026-01-01T00:00:00Z", 1, settled="2026-01-02T00:00:00Z", notes="n")),
+        )
+    )
+    assert rows(flat, "transaction_id", "settled_at", "is_settled", "notes", "merchant_id") == [
+        ("a", None, False, None, None),
+        ("b", None, False, None, None),
+        ("c", datetime(2026, 1, 2), True, "n", None),
+    ]
+
+
+def test_declined_follows_the_reason(spark):
+    flat = flatten_transactions(
+        events(
+            spark,
+            ("webhook", transaction("a", "2026-01-01T00:00:00Z", 1, decline_reason="LIMIT")),
+            ("webhook", transaction("b", "2026-01-01T00:00:00Z", 1)),
+        )
+    )
+    assert rows(flat, "transaction_id", "is_declined") == [("a", True), ("b", False)]
+
+
+def test_offset_time_keeps_its_wall_clock(spark):
+    flat = flatten_transactions(events(spark, ("webhook", transaction("a", "2026-02-01T00:30:00+01:00", 1))))
+    assert rows(flat, "created_at") == [(datetime(2026, 2, 1, 0, 30),)]
+
+
+def test_unreadable_time_raises(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        flatten_transactions(events(spark, ("webhook", transaction("a", "yesterday", 1)))).collect()
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_reconciled_copy_wins_whatever_the_order(spark, order):
+    copies = [
+        ("webhook", transaction("a", "2026-01-03T00:00:00Z", 3)),
+        ("reconciliation", transaction("a", "2026-01-01T00:00:00Z", 1)),
+        (None, transaction("a", "2026-01-04T00:00:00Z", 4)),
+    ]
+    staged = stage_transactions(events(spark, *[copies[i] for i in order]))
+    assert rows(staged, "amount_minor_units", "ingestion_source") == [(1, "reconciliation")]
+
+
+def test_newest_copy_wins_among_equals(spark):
+    staged = stage_transactions(
+        events(
+            spark,
+            ("webhook", transaction("a", "2026-01-01T00:00:00Z", 1)),
+            ("webhook", transaction("a", "2026-01-02T00:00:00Z", 2)),
+        )
+    )
+    assert rows(staged, "amount_minor_units") == [(2,)]
+
+
+def test_rows_without_id_fall_into_one(spark):
+    staged = stage_transactions(
+        events(
+            spark,
+            ("webhook", transaction(None, "2026-01-01T00:00:00Z", 1)),
+            ("webhook", transaction(None, "2026-01-02T00:00:00Z", 2)),
+            ("webhook", transaction("a", "2026-01-02T00:00:00Z", 2)),
+        )
+    )
+    assert staged.count() == 2
+
+
+def test_hot_id_is_cut_before_the_shuffle(spark):
+    """One id on a third of all rows: each task sends at most one of them."""
+    hot = spark.range(0, 30000, 1, 8).select(
+        F.when(F.col("id") < 10000, "hot").otherwise(F.col("id").cast("string")).alias("transaction_id"), "id"
+    )
+    named = {"transaction_id": F.col("transaction_id"), "amount_minor_units": F.col("id")}
+    full = hot.select(*[named.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in STAGING])
+    kept = keep_authoritative(full)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange")
+    assert plan[:exchange].count("WindowGroupLimit") == 1 and "Partial" in plan[exchange:]
+    assert kept.count() == 20001
+    assert rows(kept.filter("transaction_id = 'hot'"), "amount_minor_units") == [(9999,)]
+
+
+def test_raw_read_takes_both_layouts_and_ignores_unknown_keys(spark, layout):
+    put_raw(layout, transaction("a", "2026-01-01T00:00:00Z", 1, surprise={"x": 1}), indent=2)
+    put_raw(layout, transaction("b", "2026-01-02T00:00:00Z", 2))
+    assert rows(read_raw(spark, layout.raw), "transaction.id", "transaction.settled") == [("a", None), ("b", None)]
+
+
+def test_raw_read_of_json_lines(spark, layout):
+    path = Path(layout.raw, "2026/01/01")
+    path.mkdir(parents=True)
+    bodies = [transaction(i, "2026-01-01T00:00:00Z", 1) for i in ("a", "b")]
+    (path / "drop.json").write_text(
+        "\n".join(json.dumps({"source": "webhook", "transaction": b}) for b in bodies)
+    )
+    assert rows(read_raw(spark, layout.raw, lines=True), "transaction.id") == [("a",), ("b",)]
+
+
+def test_malformed_raw_file_stops_the_read(spark, layout):
+    put_raw(layout, transaction("a", "2026-01-01T00:00:00Z", 1)).write_text('{"source": "web')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_raw(spark, layout.raw).collect()
+
+
+def test_listed_paths_give_ids_and_dates(spark, layout):
+    for id in ("a b", "50%", "x+y"):
+        put_raw(layout, transaction(id, "2026-01-31T00:00:00Z", 1))
+    Path(layout.raw, "2026/13/01").mkdir(parents=True)
+    Path(layout.raw, "2026/13/01/odd.json").write_text("{}")
+    Path(layout.raw, "2026/01/31/notes.txt").write_text("")
+    found = raw_path_keys(list_raw_paths(spark, layout.raw))
+    day = datetime(2026, 1, 31).date()
+    assert rows(found) == [("50%", day), ("a b", day), ("odd", None), ("x+y", day)]
