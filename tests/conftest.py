@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -11,6 +13,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from coinweir.layout import Layout  # noqa: E402
+from coinweir.plans.pipeline import build  # noqa: E402
 from coinweir.session import session_builder  # noqa: E402
 
 
@@ -79,13 +82,25 @@ YEAR = [
 ]
 
 
-@pytest.fixture
-def year_layout(layout):
+APRIL = datetime(2026, 4, 2)
+
+
+@pytest.fixture(scope="session")
+def _built_once(spark, tmp_path_factory):
+    layout = Layout(str(tmp_path_factory.mktemp("built")))
     for i, body in enumerate(YEAR):
         put_raw(layout, body, indent=2 if i % 2 else None)
+    assert build(spark, layout, as_of=APRIL) == []
     return layout
 
 
+@pytest.fixture
+def built(_built_once, tmp_path):
+    """A layout of its own in which YEAR has been built."""
+    shutil.copytree(_built_once.base, tmp_path / "built")
+    return Layout(str(tmp_path / "built"))
+
+
 def touch(path, seconds):
     """Set a file's modification time."""
     os.utime(path, (seconds, seconds))
