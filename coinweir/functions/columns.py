@@ -91,11 +91,9 @@ def iso_text(moment: Column) -> Column:
     return F.when(F.length(moment.cast("string")) > 19, F.concat(whole, F.lit("."), micros)).otherwise(whole)
 
 
-# Raw files are named YYYY/MM/DD/<id>.json. Listed paths may be URI-encoded and may use
-# either separator.
-_SEP = r"[/\\]"
+# Raw files are named YYYY/MM/DD/<id>.json; listed paths may use either separator.
 _RAW_NAME = r"([^/\\]+)\.json$"
-_RAW_DATE = rf"(\d{{4}}){_SEP}(\d{{2}}){_SEP}(\d{{2}}){_SEP}[^/\\]+\.json$"
+_RAW_DATE = r"(\d{4}[/\\]\d{2}[/\\]\d{2})[/\\][^/\\]+\.json$"
 
 
 def path_id(path: Column) -> Column:
@@ -105,8 +103,7 @@ def path_id(path: Column) -> Column:
 
 def path_date(path: Column) -> Column:
     """Date from a raw file's path; NULL when the folders are not a date."""
-    parts = [F.regexp_extract(path, _RAW_DATE, i) for i in (1, 2, 3)]
-    return F.concat_ws("-", *parts).try_cast("date")
+    return F.translate(F.regexp_extract(path, _RAW_DATE, 1), "/\\", "--").try_cast("date")
 
 
 def path_month(path: Column) -> Column:

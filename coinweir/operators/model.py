@@ -28,8 +28,9 @@ def dim_category(staging: DataFrame) -> DataFrame:
 def dim_merchant(staging: DataFrame) -> DataFrame:
     """One row per merchant; each attribute is its smallest non-NULL value.
 
-    The distinct comes first because it runs as a hash aggregate that leaves few rows per
-    task. A minimum of strings alone would sort every staging row.
+    Rows are first reduced to distinct combinations by a hash aggregate. A minimum of
+    strings alone would sort every staging row. The count is used, if trivially, because
+    Spark folds a plain distinct into the minimum and the sort is back.
     """
     attributes = {
         "merchant_name": "merchant_name",
@@ -38,13 +39,14 @@ def dim_merchant(staging: DataFrame) -> DataFrame:
         "is_online_merchant": "merchant_online",
         "is_atm": "merchant_atm",
     }
-    variants = (
+    combinations = (
         staging.filter(F.col("merchant_id").isNotNull())
-        .select("merchant_id", *attributes.values())
-        .distinct()
+        .groupBy("merchant_id", *attributes.values())
+        .agg(F.count("*").alias("n"))
     )
-    return variants.groupBy("merchant_id").agg(
-        *[F.min(column).alias(name) for name, column in attributes.items()]
+    seen = F.col("n") > 0
+    return combinations.groupBy("merchant_id").agg(
+        *[F.min(F.when(seen, F.col(column))).alias(name) for name, column in attributes.items()]
     )
 
 

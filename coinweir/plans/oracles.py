@@ -189,8 +189,7 @@ from stg where year(created_at) * 100 + month(created_at) < {r.PRUNE_MONTH:%Y%m}
         "month_spine": _with(_DELIVERIES)
         + f"""select g.month::timestamp as month, count(d.transaction_id) as file_count
 from generate_series(
-  (select date_trunc('month', min(created_at)) from deliveries)::timestamp,
-  timestamp '{r.SPINE_END}', interval 1 month) g(month)
+  date_trunc('month', date '{r.SPINE_START}')::timestamp, timestamp '{r.SPINE_END}', interval 1 month) g(month)
 left join deliveries d on date_trunc('month', d.created_at) = g.month
 group by all""",
         "raw_path_keys": _with(_DELIVERIES)

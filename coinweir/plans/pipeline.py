@@ -16,6 +16,7 @@ from coinweir.operators.incremental import LOOKBACK_DAYS, incremental_watermark,
 from coinweir.operators.staging import flatten_transactions, stage_transactions
 from coinweir.plans import quality
 from coinweir.schemas import STAGING
+from coinweir.session import work_dir
 from coinweir.sources.files import holds_file
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
@@ -103,10 +104,14 @@ def publish_window(layout: Layout, window: Window) -> None:
     publish_staging(rows, layout.staging, replace_all=window.scan_from is None)
 
 
-def model_relations(staging: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions, fact and marts over a staging relation."""
+def model_relations(
+    staging: DataFrame, categories: DataFrame | None = None, merchants: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Dimensions, fact and marts over a staging relation. Dimensions that are stored
+    already can be given."""
     fact = model.fct_transactions(staging)
-    categories, merchants = model.dim_category(staging), model.dim_merchant(staging)
+    categories = model.dim_category(staging) if categories is None else categories
+    merchants = model.dim_merchant(staging) if merchants is None else merchants
     return {
         "dim_account": model.dim_account(staging),
         "dim_category": categories,
@@ -119,9 +124,20 @@ def model_relations(staging: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def stored_dimension(spark: SparkSession, dimension: DataFrame) -> DataFrame:
+    """A dimension written once and read back: several marts join it, and Spark then knows
+    its size when it chooses the join."""
+    path = work_dir(spark)
+    dimension.write.parquet(path)
+    return spark.read.schema(dimension.schema).parquet(path)
+
+
 def refresh_marts(spark: SparkSession, layout: Layout) -> None:
     """Rewrite the marts from published staging. Each reads only the columns it needs."""
-    relations = model_relations(read_staging(spark, layout.staging).select(*STAGING.fieldNames()))
+    staging = read_staging(spark, layout.staging).select(*STAGING.fieldNames())
+    categories = stored_dimension(spark, model.dim_category(staging))
+    merchants = stored_dimension(spark, model.dim_merchant(staging))
+    relations = model_relations(staging, categories, merchants)
     for name in MARTS:
         publish_mart(relations[name], layout.mart(name))
 
