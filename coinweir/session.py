@@ -18,7 +18,7 @@ SETTINGS = {
     # hundreds of them instead of a few dozen.
     "spark.sql.files.openCostInBytes": str(256 * 1024),
     # Size that rebalanced writes split and gather files to.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
