@@ -38,17 +38,14 @@ def window_coverage(
 ) -> DataFrame:
     """Number of `rows` in each account's windows, zero included.
 
-    Windows have one width, so a row's window is computed, not searched for: no range
-    join. Rows are first counted per account and moment, and both join sides are spread
-    over `salts` sub-keys (the account side holds one row per account), so an account
-    with a third of all rows is joined by many tasks.
+    Windows have one width, so a row's window is computed, not searched for: no range join.
+    Both join sides are spread over `salts` sub-keys (the account side holds one row per
+    account), so an account with a third of all rows is met by many tasks. As the counting
+    that follows cannot reuse the salted partitioning, adaptive execution is also free to
+    split a sub-key that is still too large.
     """
-    salt = F.pmod(F.xxhash64("created_at"), F.lit(salts)).cast("int")
-    moments = (
-        rows.filter(F.col("created_at") < lit_time(as_of))
-        .groupBy("account_id", "created_at")
-        .agg(F.count("*").alias("n"))
-        .withColumn("salt", salt)
+    salted = rows.filter(F.col("created_at") < lit_time(as_of)).select(
+        "account_id", "created_at", F.pmod(F.xxhash64("transaction_id"), F.lit(salts)).cast("int").alias("salt")
     )
     spread = accounts.select(
         "account_id", "opened_at", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
@@ -56,10 +53,10 @@ def window_coverage(
     elapsed = clock_micros(F.col("created_at")) - clock_micros(F.col("opened_at"))
     index = F.floor(elapsed / F.lit(max_days * 86400 * 1000000)).cast("int")
     counts = (
-        moments.join(spread, ["account_id", "salt"])
+        salted.join(spread, ["account_id", "salt"])
         .filter(F.col("created_at") >= F.col("opened_at"))
         .groupBy("account_id", index.alias("window_index"))
-        .agg(F.sum("n").alias("transaction_count"))
+        .agg(F.count("*").alias("transaction_count"))
     )
     return (
         backfill_windows(accounts, as_of, max_days)

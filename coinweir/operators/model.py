@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coinweir.functions import category_label, lit_time, major_units, month_start
+from coinweir.functions import category_label, lit_time, major_units, month_start, partition_number
+from coinweir.schemas import PARTITION_COLUMNS
 
 
 def dim_account(staging: DataFrame) -> DataFrame:
@@ -75,7 +76,14 @@ def fct_transactions(staging: DataFrame) -> DataFrame:
 
 
 def recent_lookback(staging: DataFrame, as_of: datetime | str | None, hours: int = 24) -> DataFrame:
-    """Rows created in the last `hours` up to `as_of`. The bound is a literal, so it reaches
-    the Parquet scan."""
+    """Rows created in the last `hours` up to `as_of`, across all accounts.
+
+    The bound is a literal, so it reaches the Parquet scan; on published staging it also
+    becomes a bound on the partitions, and older months are not opened.
+    """
     since = lit_time(as_of) - F.expr(f"interval {int(hours)} hours")
-    return staging.filter(F.col("created_at") >= since)
+    recent = staging.filter(F.col("created_at") >= since)
+    if set(PARTITION_COLUMNS) <= set(staging.columns):
+        year, month = (F.col(name) for name in PARTITION_COLUMNS)
+        recent = recent.filter(partition_number(year, month) >= F.year(since) * 100 + F.month(since))
+    return recent

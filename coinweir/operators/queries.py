@@ -10,33 +10,41 @@ from pyspark.sql import functions as F
 from coinweir.functions import hours_crossed, lit_time
 
 
+# Presentation order of each mart; the last column breaks ties.
+_ORDER = {
+    "spend_by_category": [("transaction_month", "asc"), ("total_spend", "desc"), ("category", "asc")],
+    "monthly_cashflow": [("transaction_month", "desc")],
+    "merchant_summary": [("total_spend", "desc"), ("merchant_id", "asc")],
+    "subscriptions": [("months_charged", "desc"), ("charge_amount", "desc"), ("merchant_id", "asc")],
+}
+
+
+def in_order(mart: DataFrame, name: str) -> DataFrame:
+    """A mart's rows in their presentation order, NULLs last."""
+    return mart.orderBy(*[getattr(F.col(column), f"{way}_nulls_last")() for column, way in _ORDER[name]])
+
+
 def spend_by_category(mart: DataFrame, month: str | None = None) -> DataFrame:
     """Spend per month and category, biggest first within a month. `month` ("YYYY-MM")
     keeps one month; it becomes a literal bound, which reaches the scan."""
     if month:
         start = F.lit(f"{month}-01").try_cast("timestamp_ntz")
         mart = mart.filter((F.col("transaction_month") == start) & F.lit(len(month) == 7))
-    return mart.select(
+    return in_order(mart, "spend_by_category").select(
         "transaction_month", "category", "category_label", "total_spend", "transaction_count"
-    ).orderBy(
-        F.col("transaction_month").asc_nulls_last(),
-        F.col("total_spend").desc_nulls_last(),
-        F.col("category").asc_nulls_last(),
     )
 
 
 def monthly_cashflow(mart: DataFrame, months: int | None = None) -> DataFrame:
     """Cashflow, newest month first; `months` keeps that many."""
-    ordered = mart.select("transaction_month", "income", "expenses", "net").orderBy(
-        F.col("transaction_month").desc_nulls_last()
-    )
+    ordered = in_order(mart, "monthly_cashflow").select("transaction_month", "income", "expenses", "net")
     return ordered if months is None else ordered.limit(int(months))
 
 
 def top_merchants(mart: DataFrame, limit: int = 10) -> DataFrame:
     """The merchants with the highest spend; equal spend is ordered by merchant id."""
     return (
-        mart.orderBy(F.col("total_spend").desc_nulls_last(), F.col("merchant_id").asc_nulls_last())
+        in_order(mart, "merchant_summary")
         .limit(int(limit))
         .select(
             "merchant_name",
@@ -51,11 +59,7 @@ def top_merchants(mart: DataFrame, limit: int = 10) -> DataFrame:
 
 def subscriptions(mart: DataFrame) -> DataFrame:
     """Recurring charges, longest-running first, then by amount."""
-    return mart.orderBy(
-        F.col("months_charged").desc_nulls_last(),
-        F.col("charge_amount").desc_nulls_last(),
-        F.col("merchant_id").asc_nulls_last(),
-    ).select(
+    return in_order(mart, "subscriptions").select(
         "merchant_name",
         "merchant_category",
         "charge_amount",

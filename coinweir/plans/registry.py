@@ -32,7 +32,7 @@ from coinweir.sources.staging import (
     rows_before_month,
     with_partition_columns,
 )
-from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, table, with_envelope
+from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, spread_table, table, with_envelope
 from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS
 from coinweir.streaming.ingest import land_stream
 from coinweir.vocab import MARTS, RECONCILIATION, WEBHOOK
@@ -78,10 +78,10 @@ def _published(spark: SparkSession, rows: DataFrame) -> str:
     return path
 
 
-def _stored_staging(spark: SparkSession, folder: str) -> DataFrame:
-    """Staging rows written once, for queries that go over them many times."""
+def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Staging-shaped rows written once, for queries that go over them many times."""
     path = work_dir(spark)
-    _staging(spark, folder).write.parquet(path)
+    rows.write.parquet(path)
     return spark.read.schema(STAGING).parquet(path)
 
 
@@ -144,7 +144,7 @@ def q_data_quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    relations = model_relations(_stored_staging(spark, folder))
+    relations = model_relations(_stored(spark, _staging(spark, folder)))
     return queries.mart_row_counts({name: relations[name] for name in MARTS})
 
 
@@ -179,7 +179,7 @@ def dq_liveness(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_suite(spark: SparkSession, folder: str) -> DataFrame:
     """Every declared column rule over the whole model."""
-    staging = _stored_staging(spark, folder)
+    staging = _stored(spark, _staging(spark, folder))
     return quality.column_suite({**model_relations(staging), "stg_transactions": staging})
 
 
@@ -200,7 +200,7 @@ def recon_published_vs_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def recon_marts_vs_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Marts built from deliveries that were not deduplicated, against the fact."""
-    deliveries = _deliveries(spark, folder)
+    deliveries = _stored(spark, _deliveries(spark, folder))
     published = model_relations(deliveries)
     return checks.marts_vs_fact(
         model.fct_transactions(keep_authoritative(deliveries)),
@@ -222,17 +222,17 @@ def landing_precedence(spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_times(standing.drop("arrival"))
 
 
-def _streamed_events(spark: SparkSession, folder: str) -> Layout:
+def _streamed_events(spark: SparkSession, folder: str, rebuild: bool) -> Layout:
     """Stream the events as webhook envelopes into a new layout, then stop."""
     layout = Layout(work_dir(spark))
     bodies = with_envelope(event_stream(spark, folder))
-    land_stream(spark, layout, bodies).query.awaitTermination()
+    land_stream(spark, layout, bodies, rebuild=rebuild).query.awaitTermination()
     return layout
 
 
 def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     """The standing copy of every delivery that a stream of envelopes landed."""
-    layout = _streamed_events(spark, folder)
+    layout = _streamed_events(spark, folder, rebuild=False)
     return read_landed_events(spark, layout.landing).select(
         "source", "transaction.id", "transaction.account_id", "transaction.amount", "transaction.created"
     )
@@ -240,7 +240,7 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_staging(spark: SparkSession, folder: str) -> DataFrame:
     """The staging months that the same stream rebuilt."""
-    layout = _streamed_events(spark, folder)
+    layout = _streamed_events(spark, folder, rebuild=True)
     return read_staging(spark, layout.staging).select(
         "transaction_id", "account_id", "amount_minor_units", "created_at", *PARTITION_COLUMNS
     )
@@ -300,9 +300,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recon_marts_vs_fact": recon_marts_vs_fact,
         "recon_subscriptions_vs_fact": recon_subscriptions_vs_fact,
         "landing_precedence": landing_precedence,
-        "validate_events": lambda s, f: validate_events(with_envelope(table(s, f, "events"))).select(
-            "event_id", "reject_reason"
-        ),
+        "validate_events": lambda s, f: validate_events(
+            with_envelope(spread_table(s, f, "events", "event_id"))
+        ).select("event_id", "reject_reason"),
         "stream_landing": stream_landing,
         "stream_staging": stream_staging,
     }

@@ -185,7 +185,10 @@ def test_coverage_equals_a_plain_count(spark):
     moments += [("a", opened["a"] + k * width) for k in range(6)]
     moments += [("a", opened["a"] + k * width - timedelta(microseconds=1)) for k in range(6)]
     accounts = spark.createDataFrame(list(opened.items()), "account_id string, opened_at timestamp_ntz")
-    stamped = spark.createDataFrame(moments, "account_id string, created_at timestamp_ntz")
+    stamped = spark.createDataFrame(
+        [(str(i), *moment) for i, moment in enumerate(moments)],
+        "transaction_id string, account_id string, created_at timestamp_ntz",
+    )
     found = backfill.window_coverage(accounts, stamped, as_of).collect()
     assert {r.account_id for r in found} == set(opened)
     for r in found:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinweir.functions import lit_time
-from coinweir.operators import checks, model, queries
+from coinweir.operators import backfill, checks, model, queries
 from coinweir.plans.pipeline import model_relations
 from coinweir.plans.registry import registered
 from coinweir.schemas import STAGING
@@ -93,6 +93,14 @@ def test_created_filter_reaches_the_scan(spark, built):
     assert "GreaterThanOrEqual(created_at,2026-02-01T00:00)" in found._jdf.queryExecution().toString()
 
 
+def test_recent_rows_open_recent_months_only(spark, built):
+    recent = model.recent_lookback(read_staging(spark, built.staging), "2026-03-08 00:00:00", hours=24 * 7)
+    assert {r.transaction_id for r in recent.collect()} == {"t09", "t10", "t11", "t12"}
+    files = {r[0] for r in recent.select("_metadata.file_path").distinct().collect()}
+    assert files and all("transaction_month=03" in f for f in files)
+    assert "transaction_year" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan(recent)).group(1)
+
+
 def test_work_folder_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark).startswith(shared) and work_dir(spark) != work_dir(spark)
@@ -101,3 +109,32 @@ def test_work_folder_lies_in_the_shared_folder(spark):
 def test_shuffle_width_follows_the_input():
     builder = session_builder(input_bytes=100 * 1024**4)
     assert builder._options["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "409600"
+
+
+def test_hot_account_is_split_by_adaptive_execution(spark):
+    """One account on a third of all rows: the salted join leaves Spark free to split it."""
+    rows = spark.range(0, 90000, 1, 8).selectExpr(
+        "cast(id as string) as transaction_id",
+        "if(id < 30000, 'hot', cast(id % 500 as string)) as account_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as created_at",
+    )
+    accounts = rows.groupBy("account_id").agg(F.min("created_at").alias("opened_at"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        covered = backfill.window_coverage(accounts, rows, "2025-06-01", salts=2)
+        assert covered.agg(F.sum("transaction_count")).first()[0] == 90000
+        counted = covered.collect()
+        assert {r.transaction_count for r in counted if r.account_id == "hot"} == {30000, 0}
+        assert "skewed" in plan(covered) or "skew=true" in plan(covered)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
