@@ -1,8 +1,8 @@
 """Command line: build, ingest, watch, query and check a layout.
 
     python -m coinweir BASE build [--full-refresh] [--source landing] [--lines]
-    python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute"]
-    python -m coinweir BASE watch [--lines] [--every "1 minute"]
+    python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute"] [--land-only]
+    python -m coinweir BASE watch [--source landing] [--lines] [--every "1 minute"]
     python -m coinweir BASE sql ["select * from subscriptions"]
     python -m coinweir BASE health
 """
@@ -19,7 +19,7 @@ from coinweir.plans.pipeline import LANDING, RAW, build
 from coinweir.session import session_builder
 from coinweir.streaming.heartbeat import liveness
 from coinweir.streaming.ingest import ingest, start_ingest
-from coinweir.streaming.rebuild import start_raw_watch
+from coinweir.streaming.rebuild import start_landing_watch, start_raw_watch
 from coinweir.vocab import RECONCILIATION, WEBHOOK
 
 SHOWN_ROWS = 100
@@ -38,7 +38,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     taken.add_argument("--source", choices=[WEBHOOK, RECONCILIATION], default=WEBHOOK)
     taken.add_argument("--lines", action="store_true")
     taken.add_argument("--every")
+    taken.add_argument("--land-only", action="store_true")
     watched = actions.add_parser("watch")
+    watched.add_argument("--source", choices=[RAW, LANDING], default=RAW)
     watched.add_argument("--lines", action="store_true")
     watched.add_argument("--every")
     actions.add_parser("sql").add_argument("text", nargs="?")
@@ -52,12 +54,15 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
     if given.action == "build":
         for warning in build(spark, layout, given.source, given.full_refresh, lines=given.lines):
             print(f"warning: {warning}")
-    elif given.action == "ingest" and given.every:
-        start_ingest(
-            spark, layout, given.folder, given.source, given.lines, given.every
-        ).query.awaitTermination()
     elif given.action == "ingest":
-        print(f"landed {ingest(spark, layout, given.folder, given.source, lines=given.lines).landed}")
+        options = {"source": given.source, "lines": given.lines, "rebuild": not given.land_only}
+        if given.every:
+            started = start_ingest(spark, layout, given.folder, every=given.every, **options)
+            started.query.awaitTermination()
+        else:
+            print(f"landed {ingest(spark, layout, given.folder, **options).landed}")
+    elif given.action == "watch" and given.source == LANDING:
+        start_landing_watch(spark, layout, given.every).awaitTermination()
     elif given.action == "watch":
         start_raw_watch(spark, layout, given.lines, given.every).awaitTermination()
     elif given.action == "sql":

@@ -13,6 +13,7 @@ from coinweir.sources.files import total_bytes
 from coinweir.vocab import RECONCILIATION, WEBHOOK
 
 SMALL_TABLE_BYTES = 128 * 1024 * 1024
+BYTES_PER_TASK = 256 * 1024
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,9 +27,9 @@ def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataF
     others wait. Its shuffle is as small as the file; a larger table is read as it is split.
     """
     rows = table(spark, folder, name)
-    if total_bytes(spark, f"{folder}/{name}.parquet") >= SMALL_TABLE_BYTES:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, key)
+    size = total_bytes(spark, f"{folder}/{name}.parquet")
+    tasks = min(spark.sparkContext.defaultParallelism, size // BYTES_PER_TASK)
+    return rows.repartition(tasks, key) if size < SMALL_TABLE_BYTES and tasks > 1 else rows
 
 
 def _iso(moment: str) -> Column:

@@ -16,7 +16,7 @@ from coinweir.sources.raw import read_raw
 from coinweir.sources.staging import read_staging
 from coinweir.streaming.heartbeat import liveness, read_heartbeat, record_run
 from coinweir.streaming.ingest import ingest, read_rejects, start_ingest
-from coinweir.streaming.rebuild import start_raw_watch
+from coinweir.streaming.rebuild import start_landing_watch, start_raw_watch
 
 CLOCK = 1_700_000_000
 
@@ -177,6 +177,30 @@ def test_raw_watch_rebuilds_touched_months(spark, layout):
     assert rows(api.get_spend_by_category(spark, layout, "2026-03"), "category")[0] == ("bills",)
 
 
+def test_two_feeds_land_while_one_job_publishes(spark, layout, incoming, pulled):
+    drop(incoming, "w1", webhook(transaction("a", "2026-01-15T10:00:00Z", -100)))
+    drop(incoming, "w2", webhook(transaction("b", "2026-02-15T10:00:00Z", -100)))
+    drop(pulled, "r1", transaction("a", "2026-01-15T10:00:00Z", -150))
+    ingest(spark, layout, str(incoming), rebuild=False)
+    ingest(spark, layout, str(pulled), "reconciliation", rebuild=False)
+    start_landing_watch(spark, layout).awaitTermination()
+    assert rows(staged(spark, layout), "transaction_id", "amount_minor_units") == [("a", -150), ("b", -100)]
+    february = Path(layout.staging, "transaction_year=2026/transaction_month=02")
+    untouched = sorted(p.name for p in february.iterdir())
+    drop(pulled, "r2", transaction("c", "2026-01-20T10:00:00Z", -1))
+    ingest(spark, layout, str(pulled), "reconciliation", rebuild=False)
+    start_landing_watch(spark, layout).awaitTermination()
+    assert staged(spark, layout).count() == 3
+    assert sorted(p.name for p in february.iterdir()) == untouched
+    assert rows(api.get_monthly_cashflow(spark, layout), "expenses") == [(1.0,), (1.51,)]
+
+
+def test_equal_rejects_are_counted(spark, layout, incoming):
+    drop(incoming, "many", "\n".join(["junk", json.dumps(webhook(YEAR[0])), "junk", "other"]))
+    ingest(spark, layout, str(incoming), lines=True)
+    assert rows(read_rejects(spark, layout), "body", "n_bodies") == [("junk", 2), ("other", 1)]
+
+
 def test_heartbeat_counts_the_run_also_when_empty(spark, layout, pulled):
     drop(pulled, "1", transaction("a", "2026-01-15T10:00:00Z", -1))
     ingest(spark, layout, str(pulled), "reconciliation")
