@@ -16,8 +16,7 @@ from coinweir.operators.incremental import LOOKBACK_DAYS, incremental_watermark,
 from coinweir.operators.staging import flatten_transactions, stage_transactions
 from coinweir.plans import quality
 from coinweir.schemas import STAGING
-from coinweir.session import work_dir
-from coinweir.sources.files import holds_file
+from coinweir.sources.files import holds_file, work_folder
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
 from coinweir.sources.raw import list_raw_paths, raw_path_keys, read_raw_window
@@ -124,22 +123,24 @@ def model_relations(
     }
 
 
-def stored_dimension(spark: SparkSession, dimension: DataFrame) -> DataFrame:
-    """A dimension written once and read back: several marts join it, and Spark then knows
-    its size when it chooses the join."""
-    path = work_dir(spark)
-    dimension.write.parquet(path)
-    return spark.read.schema(dimension.schema).parquet(path)
+def _stored(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def refresh_marts(spark: SparkSession, layout: Layout) -> None:
-    """Rewrite the marts from published staging. Each reads only the columns it needs."""
+    """Rewrite the marts from published staging. Each reads only the columns it needs.
+
+    The dimensions are written once and read back: several marts join them, and Spark then
+    knows their size when it chooses the join.
+    """
     staging = read_staging(spark, layout.staging).select(*STAGING.fieldNames())
-    categories = stored_dimension(spark, model.dim_category(staging))
-    merchants = stored_dimension(spark, model.dim_merchant(staging))
-    relations = model_relations(staging, categories, merchants)
-    for name in MARTS:
-        publish_mart(relations[name], layout.mart(name))
+    with work_folder(spark) as folder:
+        categories = _stored(spark, model.dim_category(staging), f"{folder}/category")
+        merchants = _stored(spark, model.dim_merchant(staging), f"{folder}/merchant")
+        relations = model_relations(staging, categories, merchants)
+        for name in MARTS:
+            publish_mart(relations[name], layout.mart(name))
 
 
 def check_build(

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from coinweir.functions import lit_time, wall_time
 from coinweir.layout import Layout
 from coinweir.operators import backfill, checks, incremental, model, queries
-from coinweir.operators import marts as mart_ops
 from coinweir.operators.events import validate_events
 from coinweir.operators.landing import resolve_deliveries
 from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions

@@ -212,5 +212,8 @@ def test_adhoc_sql(spark, built):
 def test_marts_follow_staging(spark, built):
     put_raw(built, transaction("t13", "2026-03-30T00:00:00Z", -100, "bills"))
     publish_window(built, plan_window(spark, built, as_of=APRIL))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = sorted(shared.iterdir())
     refresh_marts(spark, built)
     assert rows(api.get_spend_by_category(spark, built, "2026-03"), "category", "total_spend")[0] == ("bills", 1.0)
+    assert sorted(shared.iterdir()) == before

@@ -110,6 +110,23 @@ def test_a_replayed_batch_changes_nothing(spark, layout, incoming):
     assert read_rejects(spark, again).count() == 1
 
 
+def test_crash_between_landing_and_publishing(spark, layout, incoming, monkeypatch):
+    for body in YEAR[:4]:
+        drop(incoming, body["id"], webhook(body))
+
+    def crash(*_):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("coinweir.streaming.ingest.rebuild_landed_months", crash)
+        with pytest.raises(Exception, match="lost the driver"):
+            ingest(spark, layout, str(incoming))
+    assert read_landing(spark, layout.landing).count() == 4
+    run = ingest(spark, layout, str(incoming))
+    assert run.landed == 4 and read_landing(spark, layout.landing).count() == 8
+    assert rows(staged(spark, layout), "transaction_id") == [("t01",), ("t02",), ("t03",), ("t04",)]
+
+
 def test_stream_equals_batch(spark, layout, incoming):
     """Two files per batch, out of order and with repeats."""
     for i, body in enumerate(reversed(YEAR)):
