@@ -168,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
         ]
     )
     return {
+        "raw_scan": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
         "flatten_transactions": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
         "stg_transactions": _BOTH + f"select {_COLUMNS} from stg",
         "stg_incremental": _with(
@@ -261,6 +262,10 @@ from stg""",
 union all select 'monthly_cashflow', count(*) from cashflow
 union all select 'merchant_summary', count(*) from summary
 union all select 'subscriptions', count(*) from subs""",
+        "q_adhoc_sql": _ALL
+        + """select s.category, count(*) as n_months, sum(s.transaction_count)::bigint as transaction_count,
+  max(f.expenses) as highest_expenses
+from spend s, cashflow f where f.transaction_month = s.transaction_month group by s.category""",
         "dq_unique": _with(_DELIVERIES)
         + """select transaction_id as value, count(*) as n_records from deliveries
 where transaction_id is not null group by all having count(*) > 1""",

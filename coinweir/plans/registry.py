@@ -18,12 +18,12 @@ from coinweir.operators import backfill, checks, incremental, model, queries
 from coinweir.operators.events import validate_events
 from coinweir.operators.landing import resolve_deliveries
 from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions
-from coinweir.plans import quality
+from coinweir.plans import api, pipeline, quality
 from coinweir.plans.pipeline import model_relations
 from coinweir.schemas import PARTITION_COLUMNS, STAGING
 from coinweir.session import work_dir
 from coinweir.sources.landing import read_landed_events
-from coinweir.sources.raw import raw_month_counts, raw_path_keys
+from coinweir.sources.raw import raw_month_counts, raw_path_keys, read_raw
 from coinweir.sources.staging import (
     publish_staging,
     published_months,
@@ -47,6 +47,10 @@ LIVENESS_AS_OF = "2024-02-01 12:00:00"
 SPEND_MONTH = "1998-07"
 PRUNE_MONTH = date(1999, 1, 1)
 WIDE_LOOKBACK_DAYS = 365
+ADHOC_SQL = """select s.category, count(*) as n_months, sum(s.transaction_count) as transaction_count,
+  max(f.expenses) as highest_expenses
+from spend_by_category s join monthly_cashflow f on f.transaction_month = s.transaction_month
+group by s.category"""
 
 
 def _deliveries(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +98,28 @@ def _partition_paths(staging: DataFrame) -> DataFrame:
     )
 
 
+def _raw_layout(spark: SparkSession, folder: str) -> Layout:
+    """The card feed written as raw JSON lines into a new layout; keys without a value are
+    left out, as a real feed leaves them out."""
+    layout = Layout(work_dir(spark))
+    card_feed(spark, folder).write.json(layout.raw)
+    return layout
+
+
+def raw_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed read back from raw JSON under the declared schema."""
+    return flatten_transactions(read_raw(spark, _raw_layout(spark, folder).raw, lines=True))
+
+
+def q_adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole build, raw JSON to published marts, then SQL over the mart views."""
+    layout = _raw_layout(spark, folder)
+    pipeline.publish_window(layout, pipeline.plan_window(spark, layout, full_refresh=True, lines=True))
+    pipeline.refresh_marts(spark, layout)
+    (result,) = api.run_sql(spark, layout, ADHOC_SQL)
+    return result
+
+
 def staging_publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_staging(spark, _published(spark, _staging(spark, folder)))
 
@@ -257,6 +283,7 @@ def _dates_as_times(rows: DataFrame) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "raw_scan": raw_scan,
         "flatten_transactions": _deliveries,
         "stg_transactions": _staging,
         "stg_incremental": stg_incremental,
@@ -285,6 +312,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_subscriptions": lambda s, f: queries.subscriptions(_marts(s, f)["subscriptions"]),
         "q_data_quality_report": q_data_quality_report,
         "q_mart_row_counts": q_mart_row_counts,
+        "q_adhoc_sql": q_adhoc_sql,
         "dq_unique": lambda s, f: checks.not_unique(_deliveries(s, f), "transaction_id"),
         "dq_duplicates": lambda s, f: checks.duplicate_keys(_deliveries(s, f), "merchant_id"),
         "dq_not_null": lambda s, f: checks.not_null(_deliveries(s, f), STAGING.fieldNames()),
