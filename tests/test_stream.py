@@ -147,7 +147,7 @@ def test_late_rows_rebuild_their_month_and_are_counted(spark, layout, incoming):
     drop(incoming, "2", webhook(transaction("late", "2024-02-15T10:00:00Z", -1)), at=9)
     ingest(spark, layout, str(incoming))
     assert rows(staged(spark, layout), "transaction_id", "transaction_month") == [("late", "02"), ("new", "06")]
-    assert rows(spark.read.parquet(layout.late_rows), "created_month", "rows_in_month") == [("2024-02", 1)]
+    assert rows(spark.read.parquet(layout.late_rows), "created_month", "n_deliveries") == [("2024-02", 1)]
 
 
 def test_build_from_landing(spark, layout, incoming):
