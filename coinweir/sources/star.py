@@ -101,11 +101,11 @@ def event_deliveries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table read as a stream, with the place of arrival of each row."""
+    """The events table read as a stream, with the place of arrival of each row. The path is
+    a glob because a stream takes a folder or a glob, and the table may be a single file."""
     return (
         spark.readStream.schema(table(spark, folder, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
+        .parquet(f"{folder}/events.parque[t]")
         .select(
             "*",
             F.col("_metadata.file_modification_time").alias("arrived_at"),
