@@ -19,7 +19,7 @@ from coinweir.schemas import STAGING
 from coinweir.sources.files import holds_file, work_folder
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
-from coinweir.sources.raw import list_raw_paths, raw_path_keys, read_raw_window
+from coinweir.sources.raw import candidate_months, list_raw_paths, raw_path_keys, read_raw_window
 from coinweir.sources.staging import (
     check_published_columns,
     publish_staging,
@@ -73,19 +73,13 @@ def plan_window(
 def _landing_window(spark: SparkSession, layout: Layout, scan_from: date | None, through: date) -> Window:
     if not holds_file(spark, layout.landing, ".parquet"):
         raise FileNotFoundError(f"no landed events below {layout.landing}")
-    months = [] if scan_from is None else _months_between(scan_from, through)
+    months = [] if scan_from is None else candidate_months(spark, scan_from, through)
     months = [m for m in months if holds_file(spark, f"{layout.landing}/landing_month={m}", ".parquet")]
     if months:
         return Window(read_landed_events(spark, layout.landing, months), scan_from)
     return Window(read_landed_events(spark, layout.landing), None)
 
 
-def _months_between(first: date, last: date) -> list[str]:
-    count = (last.year - first.year) * 12 + last.month - first.month + 1
-    numbers = [first.year * 12 + first.month - 1 + i for i in range(count)]
-    return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in numbers]
-
-
 def modelled_staging(spark: SparkSession, layout: Layout, window: Window) -> DataFrame:
     """All staging rows: the window's, plus the published rows of earlier months."""
     rows = stage_transactions(window.events)

@@ -13,6 +13,7 @@ from coinweir.operators.staging import stage_transactions
 from coinweir.plans import api
 from coinweir.plans.pipeline import build, modelled_staging, plan_window, publish_window, refresh_marts
 from coinweir.schemas import STAGING
+from coinweir.sources.marts import publish_mart
 from coinweir.sources.raw import month_folders, read_raw
 from coinweir.sources.staging import publish_staging, published_months, read_staging, rows_before_month
 
@@ -161,6 +162,24 @@ def test_full_refresh_drops_months_that_left_raw(spark, built):
     assert read_staging(spark, rest.staging).select("transaction_month").distinct().count() == 2
 
 
+def test_failed_full_refresh_leaves_what_was_published(spark, built):
+    before = rows(read_staging(spark, built.staging))
+    put_raw(built, transaction("broken", "2026-03-30T00:00:00Z", -1)).write_text('{"source": "web')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        build(spark, built, full_refresh=True, as_of=APRIL)
+    assert rows(read_staging(spark, built.staging)) == before
+
+
+def test_failed_mart_leaves_the_former_one(spark, built):
+    flow = api.get_monthly_cashflow(spark, built)
+    before = rows(flow)
+    with pytest.raises(Exception, match="boom"):
+        publish_mart(flow.withColumn("net", F.raise_error(F.lit("boom")).cast("double")), built.mart("monthly_cashflow"))
+    assert len(list(Path(built.mart("monthly_cashflow")).parent.iterdir())) == 4
+    publish_mart(flow.filter("income > 0"), built.mart("monthly_cashflow"))
+    assert rows(api.get_monthly_cashflow(spark, built)) == before
+
+
 def test_changed_columns_need_a_full_refresh(spark, built):
     older = Layout(built.base + "/older")
     shutil.copytree(built.raw, older.raw)
