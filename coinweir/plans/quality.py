@@ -139,7 +139,9 @@ def enforce(report: DataFrame) -> list[str]:
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    return union
+    """All frames in one union, paired up like a tree: a chain would be analysed again in
+    full at every link."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return _union(frames[:middle]).unionByName(_union(frames[middle:]))

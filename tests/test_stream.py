@@ -244,7 +244,7 @@ def test_liveness(spark, layout, zone):
         assert rows(liveness(spark, layout), "signal", "is_stale") == [("heartbeat", True), ("monthly_cashflow", True)]
         now = datetime.now(timezone.utc)
         record_run(spark, layout, 0, now)
-        spark.range(1).write.parquet(layout.mart("monthly_cashflow"))
+        spark.range(0).write.parquet(layout.mart("monthly_cashflow"))
         for hours, stale in ((1, (False, False)), (25, (True, False)), (49, (True, True))):
             found = rows(liveness(spark, layout, now + timedelta(hours=hours)), "signal", "is_stale")
             assert found == [("heartbeat", stale[0]), ("monthly_cashflow", stale[1])]
