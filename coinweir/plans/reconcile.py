@@ -29,10 +29,12 @@ def reconcile(
     `as_of` (None lands all, for a backfill), then write the heartbeat. Returns their number.
 
     The lookback should span several runs, so that a missed run is caught up by the next;
-    landing a transaction again is harmless. `transactions` has the columns of the declared
-    transaction struct.
+    landing a transaction again is harmless. A time without a zone is UTC. `transactions`
+    has the columns of the declared transaction struct.
     """
     as_of = as_of or datetime.now(timezone.utc)
+    if as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=timezone.utc)
     created = wall_time(F.col("created"))
     if lookback_hours is not None:
         since = lit_time(as_of) - F.expr(f"interval {int(lookback_hours)} hours")
