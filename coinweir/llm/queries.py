@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe
+from coinweir.llm import byte_bpe, quality_rules
 from coinweir.llm.tables import table
 
 
@@ -23,9 +23,25 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "failed_rules",
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op3_quality_rules": op3_quality_rules,
     }
 
 
