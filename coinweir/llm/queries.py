@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, quality_rules
+from coinweir.llm import byte_bpe, quality_rules, simhash
 from coinweir.llm.tables import table
 
 
@@ -38,10 +38,16 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
+        "op9_simhash": op9_simhash,
     }
 
 
