@@ -12,6 +12,7 @@ import base64
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,117 +20,161 @@ from pyspark.sql import types as T
 
 from coinweir.llm.tables import field
 
-#: Encoded pieces that a task remembers before it starts afresh.
-REMEMBERED = 800_000
+#: Encoded pieces that a task remembers before the older half of them goes.
+REMEMBERED = 500_000
 
 #: Ranks that one bitmap covers, as a power of two, and the bits in it.
 SPAN = 10
 BITS = [1 << at for at in range(1 << SPAN)]
 
+#: Ids are below this power of two; a pair of ids is one number.
+ID_BITS = 21
+BREAK = -1
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class Encoder:
-    """Encodes texts; keeps what short pieces came to, so that a repeated one costs a look-up."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self._split = regex.compile(pattern).findall
-        self._crowded = regex.compile(r"\s\s").search
-        self._bitmaps = [0] * ((max(ranks.values(), default=0) >> SPAN) + 1)  # all zero between pre-tokens
-        self._pieces: dict[str, bytes] = {}
-        self._spaced: dict[str, bytes] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        rank_of = self.ranks.get
-        if (whole := rank_of(piece)) is not None:
-            return [whole]
-        size, bitmaps, within = len(piece), self._bitmaps, (1 << SPAN) - 1
-        buckets: dict[int, list[int]] = {}
+class Merger:
+    """Merges pre-tokens, many in one go: they lie in one linked list with breaks between, and share the queue."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self._whole = ranks
+        self._pairs = {
+            ranks[token[:cut]] << ID_BITS | ranks[token[cut:]]: rank
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        }
+        self._bytes = [ranks[bytes([byte])] for byte in range(256)]
+        size = max(ranks.values(), default=0) + 1
+        self._buckets: list[list[int]] = [[] for _ in range(size)]  # positions by rank; all empty between calls
+        self._bitmaps = [0] * ((size >> SPAN) + 1)
+
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each pre-token."""
+        whole = [self._whole.get(piece) for piece in pieces]
+        ids = [BREAK]
+        for piece, known in zip(pieces, whole, strict=True):
+            if known is None:
+                ids += map(self._bytes.__getitem__, piece)
+                ids.append(BREAK)
+        ids.append(BREAK)
+        self._merge(ids)
+        found = iter(ids)
+        next(found)
+        return [list(iter(found.__next__, BREAK)) if known is None else [known] for known in whole]
+
+    def _merge(self, ids: list[int]) -> None:
+        """Merges in place; `ids` has a break at its start, two at its end, and keeps only live positions."""
+        rank_of, buckets, bitmaps, within = self._pairs.get, self._buckets, self._bitmaps, (1 << SPAN) - 1
+        size = len(ids)
+        after = list(range(1, size + 1))
+        before = list(range(-1, size - 1))
+        # a pair with a break is a negative number and has no rank
+        pair = [rank_of(one << ID_BITS | other, BREAK) for one, other in zip(ids, ids[1:], strict=False)] + [BREAK]
         summary = 0  # which bitmaps are not zero
-        after = list(range(1, size + 2))
-        before = list(range(-1, size))
-        pair = [rank_of(piece[at : at + 2], -1) for at in range(size - 1)]  # rank of a live position's pair
-        pair += (-1, -1)
-        added = [(rank, at) for at, rank in enumerate(pair) if rank >= 0]
-        while added or summary:
-            for rank, at in added:
-                if (bucket := buckets.get(rank)) is None:
-                    buckets[rank] = [at]
-                    bitmaps[rank >> SPAN] |= BITS[rank & within]
-                    summary |= 1 << (rank >> SPAN)
-                else:
-                    bucket.append(at)
-            added = []
-            if not summary:
-                break
+
+        def push(rank: int, at: int) -> int:
+            bucket = buckets[rank]
+            if not bucket:
+                bitmaps[rank >> SPAN] |= BITS[rank & within]
+            bucket.append(at)
+            return 1 << (rank >> SPAN)
+
+        for at, rank in enumerate(pair):
+            if rank >= 0:
+                summary |= push(rank, at)
+        while summary:
             top = (summary & -summary).bit_length() - 1
             bits = bitmaps[top]
             least = (top << SPAN) | ((bits & -bits).bit_length() - 1)
-            if not (bits := bits & (bits - 1)):
+            bitmaps[top] = bits = bits & (bits - 1)
+            if not bits:
                 summary &= summary - 1
-            bitmaps[top] = bits
-            bucket = buckets.pop(least)
-            if len(bucket) > 1:
-                bucket.sort()
+            bucket = buckets[least]
+            buckets[least] = []
+            bucket.sort()
             for turn, at in enumerate(bucket):
                 if pair[at] != least:
                     continue  # stale
                 gone = after[at]
                 end = after[at] = after[gone]
-                pair[gone] = -1
                 before[end] = at
-                lower = False
-                if end < size:
-                    pair[at] = rank = rank_of(piece[at : after[end]], -1)
-                    if rank >= 0:
-                        added.append((rank, at))
-                        lower = rank < least
-                else:
-                    pair[at] = -1
+                ids[at] = least
+                ids[gone] = pair[gone] = -2
                 left = before[at]
-                if left >= 0:
-                    pair[left] = rank = rank_of(piece[left:end], -1)
-                    if rank >= 0:
-                        added.append((rank, left))
-                        lower |= rank < least
-                if lower:  # the new pair goes first
-                    added += [(least, rest) for rest in bucket[turn + 1 :]]
+                lower = False
+                pair[at] = rank = rank_of(least << ID_BITS | ids[end], BREAK)
+                if rank >= 0:
+                    summary |= push(rank, at)
+                    lower = rank < least
+                pair[left] = rank = rank_of(ids[left] << ID_BITS | least, BREAK)
+                if rank >= 0:
+                    summary |= push(rank, left)
+                    lower |= rank < least
+                if lower and turn + 1 < len(bucket):  # the new pair goes first
+                    for rest in bucket[turn + 1 :]:
+                        summary |= push(least, rest)
                     break
-        ids, at = [], 0
-        while at < size:
-            ids.append(self.ranks[piece[at : after[at]]])
-            at = after[at]
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        if (packed := self._pieces.get(piece)) is None:
-            ids = self.merge(piece.encode())
-            packed = self._pieces[piece] = struct.pack(f"<{len(ids)}i", *ids)
-        return packed
-
-    def _after_space(self, chunk: str) -> bytes:
-        if (packed := self._spaced.get(chunk)) is None:
-            packed = self._spaced[chunk] = b"".join(map(self._piece, self._split(" " + chunk)))
-        return packed
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian 32-bit numbers.
+        ids[:] = [each for each in ids if each != -2]
+
+
+class Memory(dict):
+    """What short pieces came to. The older half goes when the newer is full; what is met again is kept."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self._limit, self._older = limit // 2, {}
+
+    def missing(self, pieces: set[str]) -> list[str]:
+        """Those that are not known at all."""
+        if len(self) > self._limit:
+            self._older = dict(self)
+            self.clear()
+        older = self._older
+        rest = pieces.difference(self)
+        self.update((piece, older[piece]) for piece in rest if piece in older)
+        return [piece for piece in rest if piece not in older]
+
+
+class Encoder:
+    """Encodes batches of texts; of pieces that were met before, it looks up the ids."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self._merger = Merger(ranks)
+        self._split = regex.compile(pattern).findall
+        self._crowded = regex.compile(r"\s\s").search
+        self._pieces = Memory(REMEMBERED)
+        self._chunks = Memory(REMEMBERED)
+
+    def _learn(self, pieces: set[str]) -> None:
+        new = self._pieces.missing(pieces)
+        merged = self._merger.merge([piece.encode() for piece in new])
+        self._pieces.update((piece, struct.pack(f"<{len(ids)}i", *ids)) for piece, ids in zip(new, merged, strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers.
 
         Where no two white-space characters meet, a match of the pattern cannot run across a space into the next
-        word, so the text may be cut before every space and repeated words are looked up. Other texts are split whole.
+        word, so a text may be cut before every space and repeated chunks are looked up. Other texts are split whole.
         """
-        for known in (self._pieces, self._spaced):
-            if len(known) > REMEMBERED:
-                known.clear()
-        if self._crowded(text):
-            return b"".join(map(self._piece, self._split(text)))
-        first, *rest = text.split(" ")
-        return b"".join(map(self._piece, self._split(first))) + b"".join(map(self._after_space, rest))
+        split, pieces, chunks = self._split, self._pieces, self._chunks
+        cut = []
+        for text in texts:
+            if self._crowded(text):
+                cut.append((split(text), []))
+            else:
+                first, *rest = text.split(" ")
+                cut.append((split(first), rest))
+        new = chunks.missing({chunk for _, rest in cut for chunk in rest})
+        found = [split(" " + chunk) for chunk in new]
+        self._learn({piece for each in found for piece in each}.union(*(first for first, _ in cut)))
+        for chunk, each in zip(new, found, strict=True):
+            chunks[chunk] = b"".join([pieces[piece] for piece in each])
+        return [b"".join([*map(pieces.__getitem__, first), *map(chunks.__getitem__, rest)]) for first, rest in cut]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}  # one per worker process
@@ -162,7 +207,7 @@ def encode(documents: DataFrame, path: str, pattern: str, id_column: str = "doc_
         for batch in batches:
             for start in range(0, batch.num_rows, 512):  # keeps a batch of ids small
                 part = batch.slice(start, 512)
-                ids = _id_lists([encoder.encode(text or "") for text in part.column(1).to_pylist()])
+                ids = _id_lists(encoder.encode([text or "" for text in part.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], [id_column, "ids"])
 
     schema = T.StructType([field(documents, id_column), T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -175,10 +220,21 @@ def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: token for token, rank in load_ranks(path).items()}
+        sizes = np.zeros(max(token, default=0) + 1, np.int64)
+        sizes[list(token)] = [len(each) for each in token.values()]
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        alphabet = np.frombuffer(b"".join(token[rank] for rank in sorted(token)), np.uint8)
         for batch in batches:
-            ids = batch.column(columns.index(ids_column))
-            texts = [b"".join(map(token.__getitem__, each or ())) for each in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*columns, "decoded"])
+            for at in range(0, batch.num_rows, 512):  # keeps the bytes of a batch small
+                part = batch.slice(at, 512)
+                ids = part.column(columns.index(ids_column))
+                each = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                ends = np.concatenate(([0], np.cumsum(sizes[each])))
+                source = np.repeat(starts[each] - ends[:-1], sizes[each]) + np.arange(ends[-1])
+                spans = np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())))
+                data = pa.py_buffer(alphabet[source].tobytes())
+                texts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends[spans].astype("<i8").tobytes()), data])
+                yield pa.RecordBatch.from_arrays([*part.columns, texts.cast(pa.binary())], [*columns, "decoded"])
 
     schema = T.StructType([*(field(encoded, name) for name in columns), T.StructField("decoded", T.BinaryType())])
     return encoded.select(*columns).mapInArrow(run, schema)
