@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, quality_rules, simhash
-from coinweir.llm.tables import table
+from coinweir.llm import byte_bpe, quality_rules, simhash, toxicity
+from coinweir.llm.tables import remainder, table
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,6 +38,18 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(remainder("doc_id", 5) != 0)
+    machine = toxicity.fit(documents, labels)
+    return toxicity.score(documents, machine, keep=["doc_id"]).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -47,6 +59,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
+        "op6_toxicity": op6_toxicity,
         "op9_simhash": op9_simhash,
     }
 
