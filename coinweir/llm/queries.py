@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, quality_rules, simhash, toxicity
+from coinweir.llm import byte_bpe, quality_rules, repeats, simhash, toxicity
 from coinweir.llm.tables import remainder, table
 
 
@@ -50,6 +50,17 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    left = repeats.without_repeats(table(spark, folder, "documents"), length=200, keep=["doc_id"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -60,6 +71,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_byte_bpe": op1_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
         "op6_toxicity": op6_toxicity,
+        "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
     }
 
