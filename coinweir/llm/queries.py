@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, quality_rules, repeats, simhash, toxicity
+from coinweir.llm import byte_bpe, packing, quality_rules, repeats, simhash, toxicity
 from coinweir.llm.tables import remainder, table
 
 
@@ -38,6 +38,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    made = packing.pieces(table(spark, folder, "documents"), path, end_id=1, capacity=4096, keep=["doc_id"])
+    made = made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(made, capacity=4096)
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(remainder("doc_id", 5) != 0)
@@ -70,6 +77,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
+        "op4_packing": op4_packing,
         "op6_toxicity": op6_toxicity,
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
