@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, packing, quality_rules, repeats, simhash, toxicity
+from coinweir.llm import byte_bpe, neighbours, packing, quality_rules, repeats, simhash, toxicity
 from coinweir.llm.tables import remainder, table
 
 
@@ -73,6 +73,11 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    found = neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -81,6 +86,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": op6_toxicity,
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
+        "op10_neighbours": op10_neighbours,
     }
 
 
