@@ -25,7 +25,7 @@ SAMPLE = 8192
 LEAF_ROWS = 32
 
 #: Leaves that a search opens, over all trees.
-PROBES = 480
+PROBES = 640
 
 #: Vectors of a leaf that are compared in one go; larger leaves are divided.
 BLOCK_ROWS = 20_000
