@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, neighbours, packing, quality_rules, repeats, simhash, toxicity
+from coinweir.llm import byte_bpe, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
 from coinweir.llm.tables import remainder, table
+from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +58,18 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    Rule(BLOCK, "net", "/"),
+    Rule(ALLOW, "example.net", "/en/"),
+    Rule(BLOCK, "example.com", "/de/"),
+    Rule(ALLOW, "org", "/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     left = repeats.without_repeats(table(spark, folder, "documents"), length=200, keep=["doc_id"])
     return left.select(
@@ -84,6 +97,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
         "op6_toxicity": op6_toxicity,
+        "op7_url_filter": op7_url_filter,
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
         "op10_neighbours": op10_neighbours,
@@ -91,4 +105,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_url_filter": url_filter.oracle(URL_RULES),
+    }
