@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
+from coinweir.llm import byte_bpe, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
 from coinweir.llm.tables import remainder, table
 from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -46,6 +46,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(made, capacity=4096)
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = line_dedup.without_shared_lines(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(remainder("doc_id", 5) != 0)
@@ -96,6 +101,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_byte_bpe": op1_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
+        "op5_line_dedup": op5_line_dedup,
         "op6_toxicity": op6_toxicity,
         "op7_url_filter": op7_url_filter,
         "op8_repeats": op8_repeats,
