@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -333,3 +334,19 @@ def without_repeats(documents: DataFrame, length: int = 200, text_column: str =
     kinds = [T.LongType(), T.BinaryType(), T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))]
     schema = T.StructType([*(field(documents, column) for column in columns), *map(T.StructField, results, kinds)])
     return joined.mapInArrow(run, schema)
+
+
+def texts_without_repeats(documents: DataFrame, length: int = 200, text_column: str = "text") -> DataFrame:
+    """The documents with their text cut like `without_repeats`, and `n_removed`, the bytes taken out. Where a cut leaves part of a
+    character, that part goes as well. A null text becomes an empty one."""
+    columns = documents.columns
+    size, kept = fresh("n_bytes", columns), fresh("kept", columns)
+    rows = without_repeats(documents, length, text_column)
+
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for left in batches:
+            yield left.map(lambda data: bytes(data).decode(errors="ignore"))
+
+    text = F.pandas_udf(whole, T.StringType())(F.col(kept))
+    cut = [text.alias(column) if column == text_column else F.col(column) for column in columns]
+    return rows.select(*cut, (F.col(size) - F.octet_length(kept)).alias(fresh("n_removed", columns)))
