@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
+from coinweir.llm import byte_bpe, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
 from coinweir.llm.tables import remainder, table
 from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -24,6 +24,19 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_katz(spark: SparkSession, folder: str) -> DataFrame:
+    scored = katz.score(table(spark, folder, "documents"), remainder("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select(
@@ -99,6 +112,7 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_katz": op2_katz,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
         "op5_line_dedup": op5_line_dedup,
