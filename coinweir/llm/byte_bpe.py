@@ -18,6 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from coinweir.llm.memory import Memory
 from coinweir.llm.tables import field
 
 #: Encoded pieces that a task remembers before the older half of them goes.
@@ -122,24 +123,6 @@ class Merger:
         ids[:] = [each for each in ids if each != -2]
 
 
-class Memory(dict):
-    """What short pieces came to. The older half goes when the newer is full; what is met again is kept."""
-
-    def __init__(self, limit: int):
-        super().__init__()
-        self._limit, self._older = limit // 2, {}
-
-    def missing(self, pieces: set[str]) -> list[str]:
-        """Those that are not known at all."""
-        if len(self) > self._limit:
-            self._older = dict(self)
-            self.clear()
-        older = self._older
-        rest = pieces.difference(self)
-        self.update((piece, older[piece]) for piece in rest if piece in older)
-        return [piece for piece in rest if piece not in older]
-
-
 class Encoder:
     """Encodes batches of texts; of pieces that were met before, it looks up the ids."""
 
@@ -162,6 +145,8 @@ class Encoder:
         word, so a text may be cut before every space and repeated chunks are looked up. Other texts are split whole.
         """
         split, pieces, chunks = self._split, self._pieces, self._chunks
+        pieces.turn()
+        chunks.turn()
         cut = []
         for text in texts:
             if self._crowded(text):

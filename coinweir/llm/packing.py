@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coinweir.llm.memory import Memory
 from coinweir.llm.tables import field, fresh, stored
 
-#: Encoded chunks of text that a task remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Encoded chunks of text that a task remembers before the older half of them goes.
+REMEMBERED = 1_000_000
 
 
 class Encoder:
@@ -36,9 +37,19 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._chunks: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[bytes]) -> None:
+        self._chunks = Memory(REMEMBERED)
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        new = self._chunks.missing(chunks)
+        # a mark behind a letter or digit is a token of its own, so that the word before it is looked up alone
+        marked = [chunk for chunk in new if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalnum()]
+        plain = set(new).difference(marked).union(chunk[:-1] for chunk in marked)
+        if marked:
+            plain |= {b".", b","}
+        self._tokenize(self._chunks.missing(plain))
+        self._chunks.update((chunk, self._chunks[chunk[:-1]] + self._chunks[chunk[-1:]]) for chunk in marked)
+
+    def _tokenize(self, new: list[bytes]) -> None:
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             found = self._tokenizer.encode([chunk.decode() for chunk in part], is_pretokenized=True, add_special_tokens=False)
@@ -51,11 +62,11 @@ class Encoder:
                 start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self._chunks) > REMEMBERED:
-            self._chunks.clear()
-        cut = [text.encode().split() for text in texts]
-        self._learn(list({chunk for chunks in cut for chunk in chunks}.difference(self._chunks)))
+        """The ids of each text as little-endian unsigned 32-bit numbers. A-Z may be lower-cased first, as the tokenizer does it
+        with all letters."""
+        self._chunks.turn()
+        cut = [text.encode().lower().split() for text in texts]
+        self._learn({chunk for chunks in cut for chunk in chunks})
         return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
 
 
