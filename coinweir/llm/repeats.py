@@ -148,37 +148,40 @@ class RunIndex:
 
     def _order(self, signs: np.ndarray, longest: int) -> None:
         """Suffixes in order, by doubling the length that they are ranked by; settled ones drop out."""
-        size = len(signs)
-        order = np.argsort(signs, kind="stable")
-        ranked = signs[order]
-        rank = np.empty(size, np.int64)
+        size, kinds, span = len(signs), int(signs.max(initial=0)) + 1, 1
+        rank = signs
+        while span < 4 and kinds < 1 << 31:  # what follows the end of a text does not matter, for ends differ
+            rank = rank * kinds + np.append(rank[span:], np.zeros(span, np.int64))
+            kinds, span = kinds * kinds, span * 2
+        order = np.argsort(rank, kind="stable")
+        ranked = rank[order]
         turn = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+        rank = np.empty(size, np.int64)
         rank[order] = np.maximum.accumulate(np.where(turn, np.arange(size), 0))  # the first place of equal ones
-        span = 1
         while span <= longest + 1:
             alone = np.concatenate((turn, [True]))
             active = np.flatnonzero(~(alone[:-1] & alone[1:]))  # places in the order that are still shared
             if not len(active):
                 break
             suffixes = order[active]
-            ahead = rank[np.minimum(suffixes + span, size - 1)]
-            resort = np.lexsort((ahead, rank[suffixes]))
-            suffixes, ahead = suffixes[resort], ahead[resort]
+            both = rank[suffixes] * size + rank[np.minimum(suffixes + span, size - 1)]
+            resort = np.argsort(both)
+            suffixes, both = suffixes[resort], both[resort]
             order[active] = suffixes
-            own = rank[suffixes]
-            new = np.ones(len(active), bool)
-            new[1:] = (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])
+            new = np.concatenate(([True], both[1:] != both[:-1]))
             rank[suffixes] = np.maximum.accumulate(np.where(new, active, 0))
             turn[active] = new
             span *= 2
         self.order = order
 
-    def _common(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-        """How far the texts at two places agree, ends of texts excluded."""
-        owner = np.searchsorted(self.starts, one, "right") - 1, np.searchsorted(self.starts, other, "right") - 1
-        room = np.minimum(self.ends[owner[0]] - one, self.ends[owner[1]] - other)
+    def _common(self, one: np.ndarray, other: np.ndarray, least: int) -> np.ndarray:
+        """How far the texts at two places agree, ends of texts excluded; less may come out where it is less than `least`."""
+        ends = np.repeat(self.ends, self.ends - self.starts + 1)
+        room = np.minimum(ends[one] - one, ends[other] - other)
         found = np.zeros(len(one), np.int64)
-        live = np.arange(len(one))
+        live = np.flatnonzero(room >= least)
+        for at in (least - 1, least // 2, 0):
+            live = live[self.data[one[live] + at] == self.data[other[live] + at]]
         while len(live):
             live = live[found[live] < room[live]]
             steps = np.minimum(room[live] - found[live], 16)
@@ -190,13 +193,13 @@ class RunIndex:
             live = live[agreed == 16]
         return found
 
-    def matches(self) -> np.ndarray:
+    def matches(self, least: int) -> np.ndarray:
         """For each place, how far it agrees with the suffix before it in order: compared where a run starts, one less than at
-        the place before it elsewhere."""
+        the place before it elsewhere. Only matches of `least` and more are exact."""
         samples, previous = self.samples, self.previous
         found = np.zeros(len(samples), np.int64)
         there = previous >= 0
-        found[there] = self._common(samples[there], previous[there])
+        found[there] = self._common(samples[there], previous[there], least)
         by_place = np.argsort(samples)
         places, values = samples[by_place], found[by_place]
         last = np.searchsorted(places, np.arange(len(self.data)), "right") - 1
@@ -204,7 +207,7 @@ class RunIndex:
 
     def repeated(self, length: int) -> np.ndarray:
         """The places where a string of `length` bytes starts that starts somewhere else as well."""
-        long = self.matches()[self.order] >= length
+        long = self.matches(length)[self.order] >= length
         marked = np.zeros(len(self.data), bool)
         marked[self.order[long]] = True
         marked[self.order[np.flatnonzero(long) - 1]] = True
@@ -268,7 +271,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     `document` is a hash of the text; rows with the same one count as that many occurrences. Nothing for texts below `length` bytes.
     """
     kinds = "anchor long, piece long, document long, first int, stop int"
-    pieces = texts.select("document", "text").mapInArrow(_pieces(length), kinds)
+    pieces = stored(texts.select("document", "text").mapInArrow(_pieces(length), kinds))
     again = pieces.groupBy("anchor").count().filter("count > 1").select("anchor")
     # copies of a text count as occurrences but need one row
     pieces = stored(pieces.join(again, "anchor").groupBy("anchor", "piece", "document", "first", "stop").agg(F.count("*").alias("n")))
