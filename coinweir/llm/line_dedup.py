@@ -88,17 +88,18 @@ def blocks(one: list, other: list, sizes: list[int]) -> list[int]:
     return gone
 
 
-def _order(id_column: str) -> Column:
+def _order(id_column: str, text_column: str) -> Column:
     """What makes a document earlier: its id, null behind all others, then its text's hash."""
-    return F.struct(F.col(id_column).isNull().alias("late"), F.col(id_column).alias("id"), F.col("_hash").alias("hash"))
+    number = F.col(id_column)
+    return F.struct(number.isNull().alias("late"), number.alias("id"), F.xxhash64(text_of(text_column)).alias("hash"))
 
 
 def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(document, gone): the places of lines to delete, for documents that lose any. `document` is a struct of id and text hash."""
-    lines = F.split(F.col("_text"), "\n")
-    rows = documents.select(id_column, text_of(text_column).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    rows = documents.select(_order(id_column, text_column).alias("document"), F.split(text_of(text_column), "\n").alias("_lines"))
+    lines = F.col("_lines")
     rows = rows.select(
-        _order(id_column).alias("document"),
+        "document",
         F.transform(lines, lambda line: F.xxhash64(line)).alias("lines"),
         F.transform(lines, lambda line: F.length(F.trim(line))).alias("sizes"),
     )
@@ -139,8 +140,7 @@ def without_shared_lines(documents: DataFrame, id_column: str = "doc_id", text_c
     marks = fresh("gone", columns)
     key = fresh("document", columns)
     names = [fresh(name, columns) for name in ("n_lines", "n_removed")]
-    rows = documents.withColumn("_hash", F.xxhash64(text_of(text_column)))
-    rows = rows.withColumn(key, _order(id_column)).drop("_hash")
+    rows = documents.withColumn(key, _order(id_column, text_column))
     rows = rows.join(stored(gone).select(F.col("document").alias(key), F.col("gone").alias(marks)), key, "left")
     split = fresh("lines", columns)
     rows = rows.withColumn(split, F.split(F.col(text_column), "\n"))
