@@ -1,9 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are the lower-case words of a text and the stems that words begin with, hashed to a fixed number of buckets. Over all labelled
-training texts, Spark counts in how many texts of either label each bucket occurs; the buckets whose counts depend most on the label
-are kept. The machine, w0 + sum of w_i x_i + sum over pairs of <v_i, v_j> x_i x_j, is fitted on a bounded sample by gradient steps, so
-that a pair of terms can weigh more, or less, than its two linear weights.
+Terms are the lower-case words of a text and the stems that words begin with, hashed to a fixed number of buckets. Over the labelled
+texts of a bounded sample, Spark counts in how many of either label each bucket occurs; the buckets whose counts depend most on the
+label are kept. The machine, w0 + sum of w_i x_i + sum over pairs of <v_i, v_j> x_i x_j, is fitted on them by gradient steps, so that
+a pair of terms can weigh more, or less, than its two linear weights.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinweir.llm.tables import field, fresh, text_of
+from coinweir.llm.tables import stored, text_of
 
 #: Buckets that terms are hashed to, and how many of them the machine may use.
 BUCKETS = 1 << 20
-FEATURES = 8192
+FEATURES = 2048
 
 #: A bucket counts only with at least this chi-square: about five texts, all of one label that every ninth text has. Rarer ones
 #: are too many for their labels to mean anything.
@@ -30,11 +30,11 @@ LEAST_CHI = 38.0
 #: Code points of a word's stems, beside the whole word.
 STEMS = (4, 5)
 
-#: Bound on the labelled texts that the machine is fitted on, half of them for each label.
+#: Bound on the labels that the machine is fitted on.
 SAMPLE = 20_000
 
 FACTORS = 8
-STEPS = 300
+STEPS = 200
 DECAY = 1e-4
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -110,21 +110,20 @@ def fit(
 ) -> Machine:
     """A machine for `labels` (id, `toxic` 0 or 1) of the documents.
 
-    Which buckets count is decided over all labelled texts; the weights are fitted on `sample` texts at most, of each label those
-    with the lowest hashes of their ids. Of several labels of a document the highest counts; null labels and ids are passed over.
-    Without texts of both labels, the machine has no weights and gives every text the share of toxic labels, or 0.
+    It is fitted on the texts of `sample` labels at most, those with the lowest hashes of their ids. Of several labels of a document the
+    highest counts; null labels and ids are passed over. Without texts of both labels, the machine has no weights and gives
+    every text the share of toxic labels, or 0.
     """
-    marks = labels.filter("toxic IS NOT NULL").groupBy(id_column).agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = documents.select(id_column, F.col(text_column).alias("_text")).join(marks, id_column)
-    labelled = hashed_terms(labelled, [id_column, "toxic"], "_text")
+    marks = labels.filter(F.col("toxic").isNotNull() & F.col(id_column).isNotNull())
+    marks = marks.groupBy(id_column).agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = marks.orderBy(F.xxhash64(F.col(id_column).cast("string")), id_column).limit(sample)
+    # `sample` bounds what is broadcast
+    labelled = documents.select(id_column, F.col(text_column).alias("_text")).join(F.broadcast(marks), id_column)
+    labelled = stored(hashed_terms(labelled, [id_column, "toxic"], "_text"))
     buckets = _informative(labelled, features)
-    order = F.xxhash64(F.col(id_column).cast("string")), F.col(id_column)
-    rows = []
-    for label in (1, 0):
-        part = labelled.filter(F.col("toxic") == label).select(
-            "toxic", F.array_sort(F.array_intersect("terms", F.lit(buckets.tolist()).cast("array<int>"))).alias("terms"), *[o.alias(f"_{k}") for k, o in enumerate(order)]
-        )
-        rows += part.orderBy("_0", "_1", F.xxhash64("terms")).limit(sample // 2).select("toxic", "terms").collect()
+    known = F.array_sort(F.array_intersect("terms", F.lit(buckets.tolist()).cast("array<int>")))
+    rows = labelled.select("toxic", known.alias("terms")).orderBy(F.xxhash64(F.col(id_column).cast("string")), "terms").limit(sample)
+    rows = rows.collect()
     return _train(buckets, [np.array(row.terms, np.int64) for row in rows], np.array([row.toxic for row in rows], float))
 
 
@@ -167,7 +166,6 @@ def score(documents: DataFrame, machine: Machine, text_column: str = "text", nam
     """The rows (or their columns `keep`) with `name`, the probability that the whole text is toxic; null and empty
     texts get the machine's bias. The machine's size is bounded by its features and factors."""
     columns = documents.columns if keep is None else keep
-    terms = fresh("terms", columns)
     renamed = {f"_c{place}": column for place, column in enumerate(columns)}
     rows = documents.select(*[F.col(column).alias(alias) for alias, column in renamed.items()], F.col(text_column).alias("_text"))
     hashed = hashed_terms(rows, list(renamed), "_text").withColumnRenamed("terms", "_terms")
