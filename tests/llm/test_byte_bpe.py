@@ -1,0 +1,90 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from coinweir.llm import byte_bpe
+from coinweir.llm.byte_bpe import Encoder, Merger, load_ranks
+from coinweir.llm.memory import Memory
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PARTS = ["a", "b", "the", " ", "  ", "\n", "\t", "\xa0", "　", "é", "ß", "1", "23", "'s", "'ll", "!", "$$$", "\x1c", "\x85", "漢", "aaaaaaaa", "😀", "́"]
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return load_ranks(PATH)
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def ids_of(packed):
+    return np.frombuffer(packed, "<i4").tolist()
+
+
+def test_agrees_with_the_library_on_random_texts(ranks, library):
+    draw = random.Random(1)
+    texts = ["".join(draw.choices(PARTS, k=draw.randint(0, 30))) for _ in range(3000)]
+    found = Encoder(ranks, public_tokenizers.PATTERN).encode(texts)
+    assert [ids_of(each) for each in found] == [library.encode_ordinary(text) for text in texts]
+
+
+def test_very_long_pre_tokens(ranks, library):
+    text = "ab" * 40_000 + "aaab" * 1000 + "x" * 30_001
+    assert ids_of(Encoder(ranks, public_tokenizers.PATTERN).encode([text])[0]) == library.encode_ordinary(text)
+
+
+def test_lower_ranks_go_first():
+    # "bc" has a higher rank than the "abcd" that it makes possible, and "bcx" must wait for it
+    ranks = {bytes([byte]): byte + 10 for byte in range(256)} | {b"bc": 400, b"abc": 1, b"cb": 500}
+    pieces = [b"abcbcb", b"bcabc", b"cbcb", b"abcabc"]
+
+    def plain(piece):
+        parts = [piece[at : at + 1] for at in range(len(piece))]
+        while True:
+            pairs = [(ranks[a + b], at) for at, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+            if not pairs:
+                return [ranks[part] for part in parts]
+            _, at = min(pairs)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    assert Merger(ranks).merge(pieces) == [plain(piece) for piece in pieces]
+
+
+def test_query_over_the_table(spark, folder, library):
+    from coinweir.llm.queries import op1_byte_bpe
+
+    texts = {row.doc_id: row.text or "" for row in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = op1_byte_bpe(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = library.encode_ordinary(texts[row.doc_id])
+        digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert (row.n_tokens, row.ids_sha256) == (len(ids), digest)
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, "a b", 0), (1, "a b", 0), (None, "x", 1), (2, None, 2), (3, "", 3)]
+    documents = spark.createDataFrame(rows, "doc_id int, text string, ids int").withColumn("decoded", F.lit(1))
+    encoded = byte_bpe.encode(documents, PATH, public_tokenizers.PATTERN)
+    back = [(row.doc_id, bytes(row.decoded).decode()) for row in byte_bpe.decode(encoded, PATH).collect()]
+    assert sorted(back, key=str) == sorted([(1, "a b"), (1, "a b"), (None, "x"), (2, ""), (3, "")], key=str)
+    assert byte_bpe.decode(byte_bpe.encode(documents.limit(0), PATH, public_tokenizers.PATTERN), PATH).count() == 0
+
+
+def test_what_was_met_is_remembered_within_bounds():
+    memory = Memory(4)
+    for turn in range(20):
+        memory.turn()
+        new = memory.missing({"kept", f"once{turn}"})
+        memory.update((piece, piece.encode()) for piece in new)
+        assert memory["kept"] == b"kept" and len(memory) <= 6
+    assert memory.missing({"kept"}) == []

@@ -1,0 +1,94 @@
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from coinweir.llm import line_dedup
+from coinweir.llm.queries import op5_line_dedup
+
+
+def plain(documents):
+    """What each (id, text) keeps, by loops."""
+    order = sorted(set(documents), key=lambda each: (each[0] is None, each[0] or 0))
+    lines = {each: (each[1] or "").split("\n") for each in order}
+    holders = defaultdict(list)
+    for each in order:
+        for line in dict.fromkeys(lines[each]):
+            if line.strip(" "):
+                holders[line].append(each)
+    kept = {}
+    for each in order:
+        shared = defaultdict(list)
+        for line in dict.fromkeys(lines[each]):
+            if line in holders and holders[line][0] != each:
+                shared[holders[line][0]].append(line)
+        gone = set()
+        for holder, common in shared.items():
+            size = lambda line: len(line.strip(" "))
+            rare = any(len(holders[line]) <= line_dedup.RARE and size(line) >= line_dedup.LINE_CHARS for line in common)
+            if rare or sum(map(size, common)) >= line_dedup.PASSAGE_CHARS:
+                gone |= set(line_dedup.blocks(lines[holder], lines[each], list(map(size, lines[each]))))
+        text = "\n".join(line for place, line in enumerate(lines[each]) if place not in gone)
+        kept[each] = (len(gone), text if gone else each[1])
+    return kept
+
+
+def test_alignments_are_common_and_in_order():
+    draw = random.Random(2)
+    for _ in range(2000):
+        one, other = (draw.choices("abcdefgh", k=draw.randint(0, 12)) for _ in range(2))
+        found = line_dedup.aligned(one, other)
+        assert all(one[a] == other[b] for a, b in found)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:], strict=False))
+    assert line_dedup.aligned(list("axbyc"), list("1b2yc3")) == [(2, 1), (3, 3), (4, 4)]
+
+
+def test_all_of_the_table(spark, folder, documents):
+    expected = plain(documents)
+    texts = dict(documents)
+    rows = line_dedup.without_shared_lines(spark.read.parquet(f"{folder}/documents.parquet")).collect()
+    assert [(row.n_removed, row.text) for row in rows] == [expected[row.doc_id, texts[row.doc_id]] for row in rows]
+    assert sum(row.n_removed > 0 for row in rows) > 10
+    assert sum(row.n_removed for row in op5_line_dedup(spark, folder).collect()) == sum(row.n_removed for row in rows)
+
+
+LINE = "this is a line of good length {}"
+SMALL = [
+    (1, "\n".join(LINE.format(at) for at in range(5))),
+    (2, "x\n" + "\n".join(LINE.format(at) for at in range(1, 4)) + "\ny"),
+    (3, "x\ny"),
+    (4, None),
+    (5, ""),
+    (None, LINE.format(2)),
+    (6, LINE.format(7)),
+    (6, LINE.format(7)),
+    (7, LINE.format(7) + "\n" + LINE.format(2)),
+    (8, "\n".join([LINE.format(1)] * 4)),
+]
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = spark.createDataFrame(SMALL, "doc_id int, text string").selectExpr("*", "1 AS gone", "2 AS document", "3 AS lines", "4 AS _hash")
+    found = line_dedup.without_shared_lines(rows).collect()
+    expected = plain(SMALL)
+    texts = dict(SMALL)
+    assert len(found) == len(SMALL)
+    assert all((row.n_removed, row.text) == expected[row.doc_id, texts[row.doc_id]] for row in found)
+    assert all((row.gone, row.document, row.lines) == (1, 2, 3) for row in found)
+    assert line_dedup.without_shared_lines(rows.limit(0)).count() == 0
+
+
+def test_frequent_lines_need_a_passage(spark):
+    license_ = [f"licensed under the {kind} license" for kind in ("first", "second", "third", "fourth", "fifth")]
+    documents = [(at, f"own text of document {at}, which no other has\n{license_[0]}") for at in range(70)]
+    documents += [(at, "\n".join(license_)) for at in range(70, 140)]
+    rows = {row.doc_id: row for row in line_dedup.without_shared_lines(spark.createDataFrame(documents, "doc_id int, text string")).collect()}
+    assert all(row.n_removed == 0 for row in rows.values() if row.doc_id <= 70)
+    # copies of a group larger than any rare line's still lose what they share with its first
+    assert all(row.text == license_[0] or row.text == "" for row in rows.values() if row.doc_id > 70)
+
+
+def test_no_more_pairs_than_lines(spark):
+    group = [(at, "\n".join(f"passage {part} of the group of copies" for part in range(10)) + f"\nend {at}") for at in range(300)]
+    gone = line_dedup.removed_lines(spark.createDataFrame(group, "doc_id int, text string"))
+    assert gone.agg(F.count("*"), F.sum(F.size("gone"))).first() == (299, 2990)

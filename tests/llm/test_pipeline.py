@@ -1,0 +1,72 @@
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from coinweir.llm.tables import stored
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The rows before and after each stage, at a size where toxic documents are learned."""
+    folder = "/root/testdata/sf0.01"
+    rows, found = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, rows = rows, stored(stage(spark, rows, folder))
+        found[name] = before, rows
+    return found
+
+
+def ids(rows):
+    return {row.doc_id for row in rows.select("doc_id").collect()}
+
+
+def test_stages_keep_the_columns(stages):
+    assert list(stages) == ["toxicity", "line_dedup", "simhash", "repeats", "packing"]
+    columns = stages["toxicity"][0].dtypes
+    assert all(after.dtypes == columns for name, (_, after) in stages.items() if name != "packing")
+    for name in ("line_dedup", "repeats"):
+        assert stages[name][1].filter(F.col("n_chars") != F.length("text")).count() == 0
+
+
+def test_toxic_documents_go_and_others_stay(stages, spark):
+    before, after = stages["toxicity"]
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    gone = before.join(after.select("doc_id"), "doc_id", "left_anti").join(labels, "doc_id")
+    assert gone.filter("toxic = 0").count() == 0
+    assert gone.filter("toxic = 1").count() > 20
+
+
+def test_each_near_copy_group_keeps_one(stages):
+    from coinweir.llm import simhash
+
+    before, after = stages["simhash"]
+    groups = simhash.near_duplicates(before)
+    assert ids(after) == {row.component_id for row in groups.select("component_id").distinct().collect()}
+
+
+def test_nothing_long_repeats_at_the_end(stages):
+    from coinweir.llm import repeats
+
+    before, after = stages["repeats"]
+    assert ids(after) <= ids(before)
+    kept = {row.doc_id: bytes(row.kept).decode(errors="ignore") for row in repeats.without_repeats(before).collect()}
+    assert all(row.text == kept[row.doc_id] for row in after.collect())
+
+
+def test_everything_left_is_packed(stages):
+    before, after = stages["packing"]
+    assert ids(before) == ids(after)
+    full = after.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert full.filter("n <> end OR n > 4096").count() == 0
+
+
+def test_empty_and_odd_documents(spark, tmp_path):
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars int"
+    odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "", "en", "s", 0), (2, "some text", "en", "s", 9), (None, "x", "de", None, 1)]
+    for rows in ([], odd):
+        folder = str(tmp_path / str(len(rows)))
+        spark.createDataFrame(rows, kinds).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        found = corpus_pipeline.run(spark, folder)
+        # one of the empty texts stays, the one with an id
+        assert sorted((row.doc_id for row in found.collect()), key=str) == ([] if not rows else [1, 2, None])

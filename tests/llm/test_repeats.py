@@ -1,0 +1,116 @@
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from coinweir.llm import repeats
+from coinweir.llm.queries import op8_repeats
+
+
+def plain(texts, length):
+    """(kept bytes, removed spans) of each text, by counting all windows."""
+    seen = Counter(text[at : at + length] for text in texts for at in range(len(text) - length + 1))
+    results = []
+    for text in texts:
+        gone = bytearray(len(text))
+        for at in range(len(text) - length + 1):
+            if seen[text[at : at + length]] > 1:
+                gone[at : at + length] = b"\1" * length
+        spans = sum(gone[at] and (at == 0 or not gone[at - 1]) for at in range(len(gone)))
+        results.append((bytes(byte for byte, flag in zip(text, gone, strict=True) if not flag), spans))
+    return results
+
+
+def test_index_marks_all_repeated_windows():
+    draw = random.Random(3)
+    for _ in range(80):
+        alphabet = draw.choice([b"ab", b"abcdefgh"])
+        base = bytes(draw.choices(alphabet, k=300))
+        texts = []
+        for _ in range(draw.randint(1, 8)):
+            start = draw.randint(0, 250)
+            inside = base[start : draw.randint(start, 300)]
+            texts.append(bytes(draw.choices(alphabet, k=draw.randint(0, 40))) + inside + bytes(draw.choices(alphabet, k=20)))
+        length = draw.choice([5, 12, 30])
+        seen = Counter(text[at : at + length] for text in texts for at in range(len(text) - length + 1))
+        index = repeats.RunIndex(texts)
+        marked = index.repeated(length)
+        for text, start in zip(texts, index.starts, strict=True):
+            expected = [at + length <= len(text) and seen[text[at : at + length]] > 1 for at in range(len(text))]
+            assert marked[start : start + len(text)].tolist() == expected
+
+
+def test_index_of_copies_has_few_runs():
+    base = bytes(random.Random(4).choices(b"abcdefgh", k=500))
+    single, copies = repeats.RunIndex([base]), repeats.RunIndex([base] * 20)
+    assert len(copies.heads) <= len(single.heads) + 40
+    assert copies.order.tolist() == sorted(range(len(copies.data)), key=lambda at: suffix(copies, at))
+
+
+def suffix(index, at):
+    number = at // 501
+    return [*(byte + 256 for byte in index.data[at : index.ends[number]].tolist()), number]
+
+
+def test_query_over_the_table(spark, folder, documents):
+    expected = dict(zip([doc_id for doc_id, _ in documents], plain([(text or "").encode() for _, text in documents], 200), strict=True))
+    sizes = {doc_id: len((text or "").encode()) for doc_id, text in documents}
+    rows = op8_repeats(spark, folder).collect()
+    assert len(rows) == len(documents)
+    for row in rows:
+        kept, spans = expected[row.doc_id]
+        assert (row.n_bytes, row.n_removed, row.n_spans) == (sizes[row.doc_id], sizes[row.doc_id] - len(kept), spans)
+        assert row.kept_sha256 == hashlib.sha256(kept).hexdigest()
+    assert sum(row.n_removed for row in rows) > 0
+
+
+SMALL = [
+    (1, "ab" * 300),
+    (2, "x" * 199),
+    (2, "x" * 200),
+    (3, None),
+    (None, "y" * 1000),
+    (4, ""),
+    (5, "é" * 150 + "q" * 30),
+    (6, "zz" + "é" * 150),
+    (7, "a b c"),
+    (7, "a b c"),
+    (8, "r" * 200),
+    (9, "r" * 200),
+    (9, "s" * 250),
+    (9, "s" * 250),
+]
+
+
+@pytest.mark.parametrize("crowded", [1, repeats.CROWDED])
+def test_nulls_repeats_runs_and_clashing_columns(spark, monkeypatch, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    rows = spark.createDataFrame(SMALL, "doc_id int, text string").withColumn("document", F.lit(1)).withColumn("kept", F.lit("x"))
+    expected = plain([(text or "").encode() for _, text in SMALL], 200)
+    expected = sorted((str(doc_id), *each) for (doc_id, _), each in zip(SMALL, expected, strict=True))
+    found = repeats.without_repeats(rows, 200).collect()
+    assert sorted((str(row.doc_id), bytes(row["_kept"]), len(row.removed)) for row in found) == expected
+    assert repeats.without_repeats(rows.limit(0), 200).count() == 0
+
+
+def test_many_pieces_around_one_passage(spark, monkeypatch):
+    draw = random.Random(5)
+    words = [bytes(draw.choices(b"abcdefghijklmnop", k=7)).decode() for _ in range(4000)]
+    passage = " ".join(draw.choices(words, k=60))
+    texts = [f"{' '.join(draw.choices(words, k=40))} {passage} {' '.join(draw.choices(words, k=40))}" for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    expected = plain([text.encode() for text in texts], 200)
+    for crowded in (10, repeats.CROWDED):
+        monkeypatch.setattr(repeats, "CROWDED", crowded)
+        found = {row.doc_id: bytes(row.kept) for row in repeats.without_repeats(rows, 200).collect()}
+        assert [found[doc_id] for doc_id in range(60)] == [kept for kept, _ in expected]
+
+
+def test_texts_stay_whole_characters(spark):
+    shared = "é" * 120
+    rows = spark.createDataFrame([(1, "a" + shared + "b"), (2, "ü" + shared + "ö"), (3, None)], "doc_id int, text string")
+    found = {row.doc_id: (row.text, row.n_removed) for row in repeats.texts_without_repeats(rows, 200).collect()}
+    # the first byte of ö ends a string that also starts earlier among the é; its second byte goes with it
+    assert found == {1: ("ab", 240), 2: ("ü", 241), 3: ("", 0)}

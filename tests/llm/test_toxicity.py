@@ -1,0 +1,67 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from coinweir.llm import toxicity
+from coinweir.llm.tables import remainder
+
+
+def corpus(size, seed):
+    """Insults are toxic only next to a group, and groups by themselves are not; no single term tells."""
+    draw = random.Random(seed)
+    rows = []
+    for doc_id in range(size):
+        insult, group = draw.random() < 0.5, draw.random() < 0.5
+        words = [f"filler{draw.randint(0, 300)}" for _ in range(15)] + ["vermin"] * insult + ["harbour"] * group
+        draw.shuffle(words)
+        rows.append((doc_id, " ".join(words), int(insult and group)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def interacting(spark):
+    return spark.createDataFrame(corpus(3000, 1), "doc_id int, text string, toxic int").cache()
+
+
+def test_pairs_weigh_more_than_their_terms(spark, interacting):
+    machine = toxicity.fit(interacting.select("doc_id", "text"), interacting.select("doc_id", "toxic"))
+    texts = [(1, "vermin harbour filler1 filler2"), (2, "vermin filler1 filler2"), (3, "harbour filler1 filler2"), (4, "filler1")]
+    rows = toxicity.score(spark.createDataFrame(texts, "doc_id int, text string"), machine).collect()
+    found = {row.doc_id: row.score for row in rows}
+    assert found[1] > 0.9 and max(found[2], found[3], found[4]) < 0.5
+    unseen = spark.createDataFrame(corpus(500, 2), "doc_id int, text string, toxic int")
+    right = toxicity.score(unseen, machine).filter((F.col("score") >= 0.5) == (F.col("toxic") == 1)).count()
+    assert right >= 490
+
+
+def test_the_sum_over_pairs():
+    random_ = np.random.default_rng(0)
+    machine = toxicity.Machine(np.arange(5), 0.3, random_.normal(size=5), random_.normal(size=(5, 3)))
+    for features in ([], [2], [0, 3], [0, 1, 2, 4]):
+        scale = 1 / np.sqrt(max(len(features), 1))
+        value = 0.3 + scale * machine.linear[features].sum()
+        value += sum(scale**2 * machine.factors[a] @ machine.factors[b] for a in features for b in features if a < b)
+        assert machine.scores([np.array(features, np.int64)])[0] == pytest.approx(1 / (1 + np.exp(-value)))
+    assert machine.scores([np.array([77])])[0] == pytest.approx(1 / (1 + np.exp(-0.3)))
+
+
+def test_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    machine = toxicity.fit(documents, labels.filter(remainder("doc_id", 5) != 0))
+    held = toxicity.score(documents, machine, keep=["doc_id"]).join(labels.filter(remainder("doc_id", 5) == 0), "doc_id")
+    counts = {(row.toxic, row.said): row["count"] for row in held.groupBy("toxic", (F.col("score") >= 0.5).alias("said")).count().collect()}
+    assert counts[1, True] >= 0.8 * (counts[1, True] + counts.get((1, False), 0))
+    assert counts.get((0, True), 0) <= 0.02 * counts[0, False]
+
+
+def test_nulls_repeats_and_missing_labels(spark):
+    rows = [(1, "a"), (1, "a"), (None, "b"), (2, None), (3, "")]
+    documents = spark.createDataFrame(rows, "doc_id int, text string").withColumn("terms", F.lit(1)).withColumn("toxic", F.lit("x"))
+    for labels, expected in (([], 0.0), ([(1, 1), (1, 0), (2, None), (None, 1)], 1.0), ([(1, 0)], 0.0)):
+        machine = toxicity.fit(documents, spark.createDataFrame(labels, "doc_id int, toxic int"))
+        scored = toxicity.score(documents, machine).collect()
+        assert len(scored) == 5 and all(row.score == pytest.approx(expected, abs=1e-9) and row.terms == 1 for row in scored)
+    assert toxicity.score(documents.limit(0), machine).count() == 0
