@@ -141,7 +141,8 @@ def without_shared_lines(documents: DataFrame, id_column: str = "doc_id", text_c
     key = fresh("document", columns)
     names = [fresh(name, columns) for name in ("n_lines", "n_removed")]
     rows = documents.withColumn(key, _order(id_column, text_column))
-    rows = rows.join(stored(gone).select(F.col("document").alias(key), F.col("gone").alias(marks)), key, "left")
+    gone = stored(gone).select(F.col("document").alias(key), F.col("gone").alias(marks))
+    rows = rows.join(gone.hint("merge"), key, "left")  # the same plan whether few or many documents lose lines
     split = fresh("lines", columns)
     rows = rows.withColumn(split, F.split(F.col(text_column), "\n"))
     lines = F.col(split)

@@ -285,7 +285,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     wanted = different.filter("pieces > 1").select("document", F.struct("anchor", "piece", "first", "stop", "m", "pieces").alias("each"))
     wanted = wanted.groupBy("document").agg(F.collect_list("each").alias("wanted"))  # no more than a text has pieces
     one_each = texts.groupBy("document").agg(F.first("text").alias("text"))
-    cut = stored(_cut(one_each.join(wanted, "document"), length))
+    cut = stored(_cut(one_each.join(wanted.hint("merge"), "document"), length))
     crowds = several.filter(F.col("pieces") > CROWDED).select("anchor", F.lit(True).alias("crowded"))
     cut = cut.join(stored(crowds), "anchor", "left")
     bounded = cut.filter("crowded IS NULL").repartition("anchor").sortWithinPartitions("anchor")
@@ -322,7 +322,7 @@ def without_repeats(documents: DataFrame, length: int = 200, text_column: str =
     rows = rows.withColumn("document", F.xxhash64("text"))
     marks = repeated_windows(rows, length)
     marks = marks.groupBy("document").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))  # within a text
-    joined = rows.join(stored(marks), "document", "left").select(*names, "text", "marks")
+    joined = rows.join(stored(marks).hint("merge"), "document", "left").select(*names, "text", "marks")
     results = [fresh(name, columns) for name in ("n_bytes", "kept", "removed")]
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 

@@ -142,12 +142,16 @@ def near_duplicates(
 def one_of_each(documents: DataFrame, words_each: int = 3, max_bits: int = 2, id_column: str = "doc_id") -> DataFrame:
     """The documents without near-duplicates: of every component the row with its smallest id stays, one of them if rows
     repeat. A component without any id keeps one row."""
-    group, place = fresh("group", documents.columns), fresh("place", documents.columns)
-    mark = fresh("fingerprint", documents.columns)
-    rows = fingerprints(documents, words_each, mark)
-    distinct = stored(rows.select(F.col(mark).alias("fingerprint")).distinct())
-    reached = components(links(distinct, max_bits)).select(F.col("node").alias(mark), F.col("component").alias(group))
-    rows = rows.join(reached, mark, "left").withColumn(group, F.coalesce(group, mark))
-    order = [F.col(id_column).asc_nulls_last(), F.xxhash64(*documents.columns)]
-    window = Window.partitionBy(group).orderBy(*order)
-    return rows.withColumn(place, F.row_number().over(window)).filter(F.col(place) == 1).select(*documents.columns)
+    key, place = fresh("row", documents.columns), fresh("place", documents.columns)
+    number = F.col(id_column)
+    # rows with the same key are equal in all columns
+    rows = documents.withColumn(key, F.struct(number.isNull().alias("late"), number.alias("id"), F.xxhash64(*documents.columns).alias("hash")))
+    mark = fresh("fingerprint", [key])
+    marked = stored(fingerprints(rows, words_each, mark, keep=[key]))
+    least = stored(marked.groupBy(F.col(mark).alias("fingerprint")).agg(F.min(key).alias(key)))
+    reached = components(links(least.select("fingerprint"), max_bits)).withColumnRenamed("node", "fingerprint")
+    group = F.coalesce("component", "fingerprint")
+    firsts = least.join(reached, "fingerprint", "left").groupBy(group).agg(F.min(key).alias(key)).select(key)
+    kept = rows.join(firsts.hint("merge"), key, "left_semi")
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return kept.withColumn(place, turn).filter(F.col(place) == 1).select(*documents.columns)
