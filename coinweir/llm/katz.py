@@ -33,7 +33,7 @@ from coinweir.llm.tables import stored, text_of
 DISCOUNTED = 5
 
 #: Text of a block, and tokens for which there is a partition.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 PARTITION_TOKENS = 1_500_000
 
 #: A history with at least this share of all tokens is spread over all partitions; there are at most 1000.
@@ -104,6 +104,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int,
         yield task << 24 | turn, held
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch; each may be large."""
+    for place in range(batch.num_rows):
+        yield batch.slice(place, 1).to_pylist()[0]
+
+
 def discounts(numbers: list[int]) -> np.ndarray:
     """Katz's factors for counts 0 to `DISCOUNTED`, from how many types have count 1, 2 and so on, one further. Where the numbers
     are too few or too uneven for a factor between 0 and 1, half an occurrence is taken off."""
@@ -154,7 +160,7 @@ def _frequent(rows: DataFrame) -> tuple[list[int], int]:
                 words = text.encode().lower().split()
                 seen.update(words)
                 total += len(words) + 1
-            if len(seen) > 1_000_000:  # what is rare so far in this task is not frequent in it
+            if len(seen) > 300_000:  # what is rare so far in this task is not frequent in it
                 seen = Counter({word: count for word, count in seen.items() if count >= total * FREQUENT / 20})
         own = [(xxhash.xxh64_intdigest(word), count) for word, count in seen.items() if count >= total * FREQUENT / 2]
         words = np.array([word for word, _ in own], np.uint64).view(np.int64)
@@ -269,7 +275,7 @@ def _count(rows: DataFrame, partitions: int, frequent: np.ndarray) -> DataFrame:
     def adding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 if held and row["part"] != part:
                     yield from answered(part, held)
                     held = []
@@ -473,7 +479,7 @@ def score(documents: DataFrame, training: Column, id_column: str = "doc_id", tex
         for batch in batches:
             if not kinds:
                 kinds.append(batch.schema.field("ids").type)
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 if row["block"] != number:
                     yield from done()
                     number, answers, sent = row["block"], [], []
