@@ -3,8 +3,11 @@
     python -m coinweir BASE build [--full-refresh] [--source landing] [--lines]
     python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute"] [--land-only]
     python -m coinweir BASE watch [--source landing] [--lines] [--every "1 minute"]
-    python -m coinweir BASE sql ["select * from subscriptions"]
+    python -m coinweir BASE sql ["select * from subscriptions"] [--rows 100 | --into FOLDER]
     python -m coinweir BASE health
+
+`--input-gb N` before the action says how much a job reads, which sets how finely its shuffles start out. `sql` shows the first
+rows of each result and says if there are more; `--into` writes whole results as Parquet instead.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ SHOWN_ROWS = 100
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="coinweir")
     parser.add_argument("base")
+    parser.add_argument("--input-gb", type=float)
     actions = parser.add_subparsers(dest="action", required=True)
     built = actions.add_parser("build")
     built.add_argument("--full-refresh", action="store_true")
@@ -43,7 +47,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     watched.add_argument("--source", choices=[RAW, LANDING], default=RAW)
     watched.add_argument("--lines", action="store_true")
     watched.add_argument("--every")
-    actions.add_parser("sql").add_argument("text", nargs="?")
+    asked = actions.add_parser("sql")
+    asked.add_argument("text", nargs="?")
+    asked.add_argument("--rows", type=int, default=SHOWN_ROWS)
+    asked.add_argument("--into")
     actions.add_parser("health")
     return parser.parse_args(argv)
 
@@ -66,8 +73,11 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
     elif given.action == "watch":
         start_raw_watch(spark, layout, given.lines, given.every).awaitTermination()
     elif given.action == "sql":
-        for result in run_sql(spark, layout, given.text):
-            for_presentation(result).show(SHOWN_ROWS, truncate=False)
+        for number, result in enumerate(run_sql(spark, layout, given.text)):
+            if given.into:
+                result.write.parquet(f"{given.into.rstrip('/')}/{number}")
+            else:
+                for_presentation(result).show(given.rows, truncate=False)
     elif given.action == "health":
         signals = liveness(spark, layout).collect()
         for signal in signals:
@@ -77,4 +87,6 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
 
 
 if __name__ == "__main__":
-    raise SystemExit(run(session_builder().getOrCreate(), arguments()))
+    asked = arguments()
+    size = None if asked.input_gb is None else int(asked.input_gb * 1024**3)
+    raise SystemExit(run(session_builder(input_bytes=size).getOrCreate(), asked))

@@ -91,19 +91,26 @@ def iso_text(moment: Column) -> Column:
     return F.when(F.length(moment.cast("string")) > 19, F.concat(whole, F.lit("."), micros)).otherwise(whole)
 
 
-# Raw files are named YYYY/MM/DD/<id>.json; listed paths may use either separator.
-_RAW_NAME = r"([^/\\]+)\.json$"
-_RAW_DATE = r"(\d{4}[/\\]\d{2}[/\\]\d{2})[/\\][^/\\]+\.json$"
+RAW_SUFFIX = ".json"
+
+
+def _path_part(path: Column, from_end: int) -> Column:
+    return F.try_element_at(F.split(path, "/"), F.lit(-from_end))
 
 
 def path_id(path: Column) -> Column:
-    """Transaction id from a raw file's path."""
-    return F.regexp_extract(path, _RAW_NAME, 1)
+    """Transaction id from a raw file's path, YYYY/MM/DD/<id>.json; empty for other files."""
+    name = _path_part(path, 1)
+    bare = F.substring(name, F.lit(1), F.length(name) - len(RAW_SUFFIX))
+    return F.when(path.isNotNull(), F.when(name.endswith(RAW_SUFFIX), bare).otherwise(""))
 
 
 def path_date(path: Column) -> Column:
     """Date from a raw file's path; NULL when the folders are not a date."""
-    return F.translate(F.regexp_extract(path, _RAW_DATE, 1), "/\\", "--").try_cast("date")
+    year, month, day = (_path_part(path, place) for place in (4, 3, 2))
+    dated = (F.length(year) == 4) & (F.length(month) == 2) & (F.length(day) == 2)
+    dated &= _path_part(path, 1).endswith(RAW_SUFFIX)
+    return F.when(dated, F.concat_ws("-", year, month, day).try_cast("date"))
 
 
 def path_month(path: Column) -> Column:

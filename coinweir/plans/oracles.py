@@ -167,6 +167,16 @@ def oracle_sql() -> dict[str, str]:
             ),
         ]
     )
+    recon_raw_vs_staging = (
+        _BOTH
+        + f""", landed as (
+  select distinct transaction_id from deliveries
+  where ingestion_source = 'webhook' and created_at::date < date '{r.TODAY}'
+), staged as (select distinct transaction_id from stg where created_at < timestamp '{r.TODAY}')
+select '{RAW_NOT_STAGED}' as issue, transaction_id from landed anti join staged using (transaction_id)
+union all
+select '{STAGED_NOT_RAW}', transaction_id from staged anti join landed using (transaction_id)"""
+    )
     return {
         "raw_scan": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
         "flatten_transactions": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
@@ -300,14 +310,7 @@ select signal, last_at, max_hours,
   (epoch_us(timestamp '{r.LIVENESS_AS_OF}') - epoch_us(last_at)) / 3600e6::double > max_hours as is_stale
 from signals""",
         "dq_suite": _ALL + _suite_sql(),
-        "recon_raw_vs_staging": _BOTH
-        + f""", landed as (
-  select distinct transaction_id from deliveries
-  where ingestion_source = 'webhook' and created_at::date < date '{r.TODAY}'
-), staged as (select distinct transaction_id from stg where created_at < timestamp '{r.TODAY}')
-select '{RAW_NOT_STAGED}' as issue, transaction_id from landed anti join staged using (transaction_id)
-union all
-select '{STAGED_NOT_RAW}', transaction_id from staged anti join landed using (transaction_id)""",
+        "recon_raw_vs_staging": recon_raw_vs_staging,
         "recon_published_vs_model": _with(
             _DELIVERIES,
             " published as (select transaction_id, count(*) as n from deliveries "
@@ -350,6 +353,21 @@ where pick = 1""",
   when 'signup' then 'Missing fields: account_id, created'
   when 'click' then 'Missing fields: amount' end as reject_reason
 from events""",
+        "iso_presentation": """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S')
+  || case when microsecond(ts) % 1000000 > 0 then strftime(ts, '.%f') else '' end as ts
+from events""",
+        "recon_raw_lines": recon_raw_vs_staging,
+        "reconcile_heartbeat": _with(_DELIVERIES)
+        + f"""select timestamp '{r.LOOKBACK_AS_OF}' as last_run_at, count(*) as transactions_written
+from deliveries where created_at >= timestamp '{r.LOOKBACK_AS_OF}' - interval 24 hour""",
+        "stream_rejects": """select reject_reason, count(*)::bigint as n_bodies from (
+  select case event_type
+    when 'error' then 'Invalid JSON'
+    when 'view' then 'Unsupported event type'
+    when 'signup' then 'Missing fields: account_id, created'
+    when 'click' then 'Missing fields: amount' end as reject_reason
+  from events
+) where reject_reason is not null group by reject_reason""",
         "stream_landing": _STREAMED
         + """select 'webhook' as source, 'tx_' || user_id as id, user_id::varchar as account_id,
   amount, replace(ts::varchar, ' ', 'T') || 'Z' as created

@@ -19,7 +19,14 @@ from coinweir.schemas import STAGING
 from coinweir.sources.files import holds_file, work_folder
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
-from coinweir.sources.raw import candidate_months, list_raw_paths, raw_path_keys, read_raw_window
+from coinweir.sources.raw import (
+    candidate_months,
+    list_raw_paths,
+    raw_line_keys,
+    raw_path_keys,
+    read_raw,
+    read_raw_window,
+)
 from coinweir.sources.staging import (
     check_published_columns,
     publish_staging,
@@ -38,6 +45,7 @@ class Window:
 
     events: DataFrame
     scan_from: date | None
+    folders: list[str] | None = None  # of raw months, if only those are read
 
 
 def plan_window(
@@ -66,8 +74,8 @@ def plan_window(
         return _landing_window(spark, layout, scan_from, through)
     if not holds_file(spark, layout.raw, ".json"):
         raise FileNotFoundError(f"no raw events below {layout.raw}")
-    events, scoped = read_raw_window(spark, layout.raw, scan_from, through, lines)
-    return Window(events, scan_from if scoped else None)
+    events, folders = read_raw_window(spark, layout.raw, scan_from, through, lines)
+    return Window(events, scan_from if folders else None, folders)
 
 
 def _landing_window(spark: SparkSession, layout: Layout, scan_from: date | None, through: date) -> Window:
@@ -143,11 +151,13 @@ def check_build(
     window: Window,
     source: str = RAW,
     as_of: datetime | None = None,
+    lines: bool = False,
 ) -> DataFrame:
     """Summary of all checks, read back from what was published.
 
     The published ids are compared with the ids of the events themselves: which copy of a
-    delivery stands does not change the set of ids.
+    delivery stands does not change the set of ids. Raw files of one event are compared by their names, of the
+    months that the build read; files of JSON lines by the ids and dates in them.
     """
     staging = read_staging(spark, layout.staging).select(*STAGING.fieldNames())
     marts = {name: read_mart(spark, layout, name) for name in MARTS}
@@ -158,12 +168,18 @@ def check_build(
     if window.scan_from is not None:
         earlier = rows_before_month(read_staging(spark, layout.staging), window.scan_from)
         model_ids = model_ids.unionByName(earlier.select("transaction_id"))
+    staged = staging
     if source == LANDING:
         keys = landed_keys(spark, layout.landing)
+    elif lines:
+        keys = raw_line_keys(read_raw(spark, layout.raw, window.folders, lines=True))
     else:
-        keys = raw_path_keys(list_raw_paths(spark, layout.raw))
+        keys = raw_path_keys(list_raw_paths(spark, layout.raw, window.folders))
+    if window.folders is not None:
+        keys = keys.filter(F.col("path_date") >= F.lit(window.scan_from))
+        staged = staging.filter(F.col("created_at") >= lit_time(window.scan_from))
     reconciliations = [
-        quality.Check("raw vs staging", quality.ERROR, checks.raw_vs_staging(keys, staging, as_of)),
+        quality.Check("raw vs staging", quality.ERROR, checks.raw_vs_staging(keys, staged, as_of)),
         quality.Check("published vs model", quality.ERROR, checks.published_vs_model(staging, model_ids)),
         quality.Check(
             "marts vs fact",
@@ -192,4 +208,4 @@ def build(
     window = plan_window(spark, layout, source, full_refresh, lookback_days, as_of, lines)
     publish_window(layout, window)
     refresh_marts(spark, layout)
-    return quality.enforce(check_build(spark, layout, window, source, as_of))
+    return quality.enforce(check_build(spark, layout, window, source, as_of, lines))

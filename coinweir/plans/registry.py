@@ -7,7 +7,7 @@ they compare the deliveries of one feed with the transactions of another.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,11 @@ from coinweir.operators.landing import resolve_deliveries
 from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions
 from coinweir.plans import api, pipeline, quality
 from coinweir.plans.pipeline import model_relations
+from coinweir.plans.reconcile import reconcile
 from coinweir.schemas import PARTITION_COLUMNS, STAGING
 from coinweir.session import work_dir
 from coinweir.sources.landing import read_landed_events
-from coinweir.sources.raw import raw_month_counts, raw_path_keys, read_raw
+from coinweir.sources.raw import raw_line_keys, raw_month_counts, raw_path_keys, read_raw
 from coinweir.sources.staging import (
     publish_staging,
     published_months,
@@ -31,9 +32,9 @@ from coinweir.sources.staging import (
     rows_before_month,
     with_partition_columns,
 )
-from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, spread_table, table, with_envelope
-from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS
-from coinweir.streaming.ingest import land_stream
+from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, table, with_envelope
+from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS, read_heartbeat
+from coinweir.streaming.ingest import land_stream, read_rejects
 from coinweir.vocab import MARTS, RECONCILIATION, WEBHOOK
 
 # Clock values the registered queries use in place of the current time.
@@ -69,8 +70,13 @@ def _relation(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: model_relations(_staging(spark, folder))[name]
 
 
+def _mart(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A mart over staging that is written once: the fact and a dimension both come from it."""
+    return lambda spark, folder: _marts(spark, folder)[name]
+
+
 def _marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    relations = model_relations(_staging(spark, folder))
+    relations = model_relations(_stored(spark, _staging(spark, folder)))
     return {name: relations[name] for name in MARTS}
 
 
@@ -157,7 +163,7 @@ def month_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def backfill_windows(spark: SparkSession, folder: str) -> DataFrame:
-    staging = _staging(spark, folder)
+    staging = _stored(spark, _staging(spark, folder))
     accounts = model.dim_account(staging).select(
         "account_id", F.col("first_transaction_at").alias("opened_at")
     )
@@ -242,6 +248,24 @@ def recon_subscriptions_vs_fact(spark: SparkSession, folder: str) -> DataFrame:
     return checks.subscriptions_vs_fact(fact, model_relations(deliveries)["subscriptions"])
 
 
+def recon_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw JSON lines of the webhook feed against staging of both feeds."""
+    layout = Layout(work_dir(spark))
+    card_feed(spark, folder).filter(F.col("source") == WEBHOOK).write.json(layout.raw)
+    keys = raw_line_keys(read_raw(spark, layout.raw, lines=True))
+    return checks.raw_vs_staging(keys, _staging(spark, folder), TODAY)
+
+
+def reconcile_heartbeat(spark: SparkSession, folder: str) -> DataFrame:
+    """The heartbeat after a pull of the last day's transactions."""
+    layout = Layout(work_dir(spark))
+    transactions = card_feed(spark, folder).select("transaction.*")
+    reconcile(spark, layout, transactions, datetime.fromisoformat(LOOKBACK_AS_OF))
+    return read_heartbeat(spark, layout).select(
+        F.col("last_run_at").cast("timestamp_ntz").alias("last_run_at"), "transactions_written"
+    )
+
+
 def landing_precedence(spark: SparkSession, folder: str) -> DataFrame:
     standing = resolve_deliveries(event_deliveries(spark, folder))
     return _dates_as_times(standing.drop("arrival"))
@@ -271,6 +295,12 @@ def stream_staging(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """How many bodies the same stream rejected, by reason."""
+    rejected = read_rejects(spark, _streamed_events(spark, folder, rebuild=False))
+    return rejected.groupBy("reject_reason").agg(F.sum("n_bodies").alias("n_bodies"))
+
+
 def _dates_as_times(rows: DataFrame) -> DataFrame:
     """Dates as midnight, so that both engines hand them over as one type."""
     return rows.select(
@@ -299,10 +329,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_category": _relation("dim_category"),
         "dim_merchant": _relation("dim_merchant"),
         "fct_transactions": _relation("fct_transactions"),
-        "mart_spend_by_category": _relation("spend_by_category"),
+        "mart_spend_by_category": _mart("spend_by_category"),
         "mart_monthly_cashflow": _relation("monthly_cashflow"),
-        "mart_merchant_summary": _relation("merchant_summary"),
-        "mart_subscriptions": _relation("subscriptions"),
+        "mart_merchant_summary": _mart("merchant_summary"),
+        "mart_subscriptions": _mart("subscriptions"),
         "q_spend_by_category": lambda s, f: queries.spend_by_category(_marts(s, f)["spend_by_category"]),
         "q_spend_by_category_month": lambda s, f: queries.spend_by_category(
             _marts(s, f)["spend_by_category"], SPEND_MONTH
@@ -327,9 +357,13 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recon_marts_vs_fact": recon_marts_vs_fact,
         "recon_subscriptions_vs_fact": recon_subscriptions_vs_fact,
         "landing_precedence": landing_precedence,
-        "validate_events": lambda s, f: validate_events(
-            with_envelope(spread_table(s, f, "events", "event_id"))
-        ).select("event_id", "reject_reason"),
+        "validate_events": lambda s, f: validate_events(with_envelope(table(s, f, "events"))).select(
+            "event_id", "reject_reason"
+        ),
+        "iso_presentation": lambda s, f: api.for_presentation(table(s, f, "events").select("event_id", "ts")),
+        "recon_raw_lines": recon_raw_lines,
+        "reconcile_heartbeat": reconcile_heartbeat,
+        "stream_rejects": stream_rejects,
         "stream_landing": stream_landing,
         "stream_staging": stream_staging,
     }

@@ -9,36 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.sources.files import total_bytes
+from coinweir.sources.files import ANY_FILE_AGE
 from coinweir.vocab import RECONCILIATION, WEBHOOK
 
-SMALL_TABLE_BYTES = 128 * 1024 * 1024
-BYTES_PER_TASK = 256 * 1024
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """Like `table`, with the rows of a small table spread over all cores by `key`.
-
-    A file below one split's size tends to be one row group, which one task reads while the
-    others wait. Its shuffle is as small as the file; a larger table is read as it is split.
-    """
-    rows = table(spark, folder, name)
-    size = total_bytes(spark, f"{folder}/{name}.parquet")
-    tasks = min(spark.sparkContext.defaultParallelism, size // BYTES_PER_TASK)
-    return rows.repartition(tasks, key) if size < SMALL_TABLE_BYTES and tasks > 1 else rows
-
-
 def _iso(moment: str) -> Column:
     return F.concat(F.replace(F.col(moment).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def card_feed(spark: SparkSession, folder: str) -> DataFrame:
     """One raw event per line item. Left joins keep every delivery, whatever it refers to."""
-    lines = spread_table(spark, folder, "lineitem", "l_orderkey")
+    lines = table(spark, folder, "lineitem")
     orders, parts, suppliers = (table(spark, folder, name) for name in ("orders", "part", "supplier"))
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -105,6 +89,7 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     a glob because a stream takes a folder or a glob, and the table may be a single file."""
     return (
         spark.readStream.schema(table(spark, folder, "events").schema)
+        .option("maxFileAge", ANY_FILE_AGE)
         .parquet(f"{folder}/events.parque[t]")
         .select(
             "*",

@@ -13,6 +13,10 @@ REJECT_BAD_JSON = "Invalid JSON"
 REJECT_BAD_TYPE = "Unsupported event type"
 REJECT_MISSING = "Missing fields: "
 
+# Reject reasons of deliveries that cannot be filed or read back.
+REJECT_BAD_TIME = "Unreadable created time"
+REJECT_MISFIT = "Transaction does not fit the schema"
+
 # Accepted currencies and the known category vocabulary.
 CURRENCIES = ("GBP",)
 CATEGORIES = (

@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle
+from coinweir.plans import oracles, registry
 
 FOLDER = "/root/testdata/sf0.001"
 TYPES = {
@@ -20,13 +21,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert registry.registered().keys() == oracles.oracle_sql().keys()
+    assert registry.registered().keys() <= driver.queries().keys()
+    assert oracles.oracle_sql().items() <= driver.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.registered()))
 def test_query_equals_sql(spark, con, name):
-    found = driver.queries()[name](spark, FOLDER)
-    expected = con.sql(driver.oracle_sql()[name])
+    found = registry.registered()[name](spark, FOLDER)
+    expected = con.sql(oracles.oracle_sql()[name])
     types = dict(zip(expected.columns, map(str, expected.types)))
     assert {column: TYPES[kind] for column, kind in found.dtypes} == types
     rows = oracle.normalised(found.toPandas())

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta, timezone
 
-from conftest import YEAR, rows
+from conftest import YEAR, rows, transaction
 from pyspark.sql import functions as F
 
 from coinweir.plans.pipeline import LANDING, build
@@ -9,6 +9,7 @@ from coinweir.schemas import TRANSACTION
 from coinweir.sources.landing import read_landed_events, read_landing
 from coinweir.sources.staging import read_staging
 from coinweir.streaming.heartbeat import read_heartbeat
+from coinweir.streaming.ingest import read_rejects
 
 AS_OF = datetime(2026, 3, 8, 18, tzinfo=timezone.utc)
 
@@ -49,3 +50,24 @@ def test_backfill_then_build(spark, layout):
     assert rows(staged.filter("merchant_name = 'Cinema'"), "transaction_id", "ingestion_source") == [
         ("t02", "reconciliation"), ("t06", "reconciliation"), ("t10", "reconciliation"),
     ]
+
+
+def test_bad_rows_are_rejected_and_counted(spark, layout):
+    bodies = [
+        transaction("a", "2026-03-08T10:00:00Z", -1),
+        transaction("b", None, -1),
+        transaction("c", "soon", -1),
+        dict(transaction("d", "2026-03-08T10:00:00Z", -1), id=None),
+    ]
+    for hours, landed in ((24, 1), (None, 1)):
+        assert reconcile(spark, layout, table(spark, bodies), AS_OF, lookback_hours=hours) == landed
+    reasons = read_rejects(spark, layout).groupBy("reject_reason").agg(F.sum("n_bodies").alias("n"))
+    assert rows(reasons, "reject_reason", "n") == [("Missing fields: id, created", 4), ("Unreadable created time", 2)]
+    assert read_landing(spark, layout.landing).filter("landing_month IS NULL").count() == 0
+
+
+def test_a_time_column_prunes_the_source(spark, layout, tmp_path):
+    source = table(spark).withColumn("day", F.col("created").cast("timestamp_ntz").cast("date"))
+    source.write.partitionBy("day").parquet(str(tmp_path / "source"))
+    stored = spark.read.parquet(str(tmp_path / "source"))
+    assert reconcile(spark, layout, stored, AS_OF, time_column="day") == 3

@@ -17,6 +17,7 @@ from coinweir.sources.staging import read_staging
 from coinweir.streaming.heartbeat import liveness, read_heartbeat, record_run
 from coinweir.streaming.ingest import ingest, read_rejects, start_ingest
 from coinweir.streaming.rebuild import start_landing_watch, start_raw_watch
+from coinweir.vocab import REJECT_MISFIT
 
 CLOCK = 1_700_000_000
 
@@ -161,11 +162,56 @@ def test_build_from_landing(spark, layout, incoming):
     assert rows(api.get_subscriptions(spark, layout), "merchant_name") == [("Cinema",)]
 
 
-def test_payload_that_breaks_the_schema_stops_the_build(spark, layout, incoming):
+def test_payload_that_breaks_the_schema_is_rejected(spark, layout, incoming, pulled):
     drop(incoming, "1", webhook(dict(transaction("a", "2026-01-15T10:00:00Z", -1), amount={"pence": 1})))
-    ingest(spark, layout, str(incoming), rebuild=False)
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        read_landed_events(spark, layout.landing).collect()
+    drop(incoming, "2", webhook(dict(transaction("b", "2026-01-15T10:00:00Z", -1), amount="abc")))
+    drop(incoming, "3", webhook(dict(transaction("c", "2026-01-15T10:00:00Z", -1), merchant="a name")))
+    drop(incoming, "4", webhook(dict(transaction("d", "2026-01-15T10:00:00Z", -1), unknown={"x": 1})))
+    assert ingest(spark, layout, str(incoming)).landed == 1
+    drop(incoming, "5", webhook(transaction("e", "2026-01-16T10:00:00Z", -1)), at=9)
+    assert ingest(spark, layout, str(incoming)).landed == 1
+    drop(pulled, "6", dict(transaction("f", "2026-01-15T10:00:00Z", -1), amount=[1]))
+    assert ingest(spark, layout, str(pulled), "reconciliation").landed == 0
+    assert rows(staged(spark, layout), "transaction_id") == [("d",), ("e",)]
+    assert rows(read_rejects(spark, layout), "reject_reason") == [(REJECT_MISFIT,)] * 4
+    assert build(spark, layout, source=LANDING, as_of=datetime(2026, 2, 2)) == []
+
+
+def test_files_of_any_age_are_landed(spark, layout, incoming):
+    drop(incoming, "1", webhook(transaction("a", "2026-01-15T10:00:00Z", -1)))
+    ingest(spark, layout, str(incoming))
+    drop(incoming, "2", webhook(transaction("old", "2026-01-15T10:00:00Z", -1)), at=-400 * 86400)
+    drop(incoming, "3", webhook(transaction("b", "2026-01-15T10:00:00Z", -1)), at=9)
+    ingest(spark, layout, str(incoming))
+    assert rows(staged(spark, layout), "transaction_id") == [("a",), ("b",), ("old",)]
+
+
+def published(spark, layout):
+    return rows(staged(spark, layout), "transaction_id", "transaction_month")
+
+
+def test_an_id_that_moves_to_another_month_is_published_once(spark, layout, incoming):
+    drop(incoming, "1", webhook(transaction("m", "2026-01-31T10:00:00Z", -1)))
+    drop(incoming, "2", webhook(transaction("x", "2026-03-01T10:00:00Z", -1)))
+    ingest(spark, layout, str(incoming))
+    drop(incoming, "3", webhook(transaction("m", "2026-02-01T10:00:00Z", -2)), at=9)
+    ingest(spark, layout, str(incoming))
+    assert published(spark, layout) == [("m", "02"), ("x", "03")]
+    # a later event of the former month does not bring the id back there
+    drop(incoming, "4", webhook(transaction("n", "2026-01-05T10:00:00Z", -1)), at=19)
+    ingest(spark, layout, str(incoming))
+    assert published(spark, layout) == [("m", "02"), ("n", "01"), ("x", "03")]
+    assert build(spark, layout, source=LANDING, full_refresh=True, as_of=datetime(2026, 4, 2)) == []
+    assert published(spark, layout) == [("m", "02"), ("n", "01"), ("x", "03")]
+
+
+def test_a_moved_id_in_the_raw_watch(spark, layout):
+    put_raw(layout, transaction("m", "2026-01-31T10:00:00Z", -1))
+    put_raw(layout, transaction("x", "2026-01-30T10:00:00Z", -1))
+    start_raw_watch(spark, layout, marts=False).awaitTermination()
+    put_raw(layout, transaction("m", "2026-02-01T10:00:00Z", -2))
+    start_raw_watch(spark, layout, marts=False).awaitTermination()
+    assert [row[0] for row in published(spark, layout)] == ["m", "x"]
 
 
 def test_running_query_picks_up_new_files(spark, layout, incoming):
@@ -229,10 +275,15 @@ def test_heartbeat_counts_the_run_also_when_empty(spark, layout, pulled):
     assert second.transactions_written == 0 and second.last_run_at > first.last_run_at
 
 
-def test_failed_run_leaves_the_heartbeat(spark, layout, pulled):
+def test_failed_run_leaves_the_heartbeat(spark, layout, pulled, monkeypatch):
     record_run(spark, layout, 7, datetime(2026, 1, 1, tzinfo=timezone.utc))
-    drop(pulled, "1", transaction("a", "2026-01-15T10:00:00Z", {"not": "a number"}))
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+    drop(pulled, "1", transaction("a", "2026-01-15T10:00:00Z", -1))
+
+    def crash(*_):
+        raise RuntimeError("lost the disk")
+
+    monkeypatch.setattr("coinweir.streaming.ingest.append_landing", crash)
+    with pytest.raises(Exception, match="lost the disk"):
         ingest(spark, layout, str(pulled), "reconciliation")
     assert read_heartbeat(spark, layout).first().transactions_written == 7
 
