@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +65,7 @@ class Encoder:
         with all letters."""
         self._chunks.turn()
         cut = [text.encode().lower().split() for text in texts]
-        self._learn({chunk for chunks in cut for chunk in chunks})
+        self._learn(set().union(*cut))
         return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
 
 
@@ -185,26 +184,20 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 def pack(made: DataFrame, capacity: int, length_column: str = "length") -> DataFrame:
     """The rows with `sequence_id` and `offset`: no sequence longer than `capacity`, offsets gapless from 0.
 
-    Rows are pieces; only their lengths matter. They are written once, with their rank among the pieces of their length
-    in the task that wrote them, so that a lost executor cannot change a rank. No rows make no sequences.
+    Rows are pieces; only their lengths matter. They are written once, with the task that wrote them and their order in it, so that a
+    lost executor cannot change a rank: that of a piece among those of its length is how many of them other tasks have before it,
+    and its turn in its own. No rows make no sequences.
     """
-    task, turn, length = (fresh(name, made.columns) for name in ("task", "turn", "length_"))
-    place = len(made.columns)
-
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            lengths = batch.column(place).to_numpy()
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            turns = np.empty(len(lengths), np.int64)
-            turns[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered) + seen[ordered]
-            seen += np.bincount(lengths, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(lengths), number)), pa.array(turns)], [*columns, length, task, turn])
-
+    task, order, length, turn = (fresh(name, made.columns) for name in ("task", "order", "length_", "turn"))
     columns = made.columns
-    schema = T.StructType([*(field(made, column) for column in columns), *(T.StructField(name, T.LongType()) for name in (length, task, turn))])
-    rows = stored(made.withColumn(length, F.col(length_column).cast("long")).mapInArrow(ranked, schema))
+    rows = stored(
+        made.select(
+            "*",
+            F.col(length_column).cast("long").alias(length),
+            F.spark_partition_id().alias(task),
+            F.monotonically_increasing_id().alias(order),
+        )
+    )
     counts = rows.groupBy(length, task).agg(F.count("*").alias("n"))
     before = Window.partitionBy(length).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
@@ -212,7 +205,9 @@ def pack(made: DataFrame, capacity: int, length_column: str = "length") -> DataF
     entries = plan({row[length]: row["n"] for row in totals}, capacity)
     kinds = "at long, first long, stop long, bin long, each long, place long"
     entries = rows.sparkSession.createDataFrame([tuple(map(int, entry)) for entry in entries], kinds)
-    counts = counts.select(F.col(length).alias("of"), F.col(task).alias("by"), "before")
+    counts = counts.select(F.col(length).alias("of"), F.col(task).alias("by"), "before").hint("merge")
+    in_task = Window.partitionBy(length, task).orderBy(order)
+    rows = rows.withColumn(turn, F.row_number().over(in_task) - 1)
     found = rows.join(counts, (F.col(length) == F.col("of")) & (F.col(task) == F.col("by")))
     rank = F.col("before") + F.col(turn)
     # the plan has a few entries for each of at most `capacity` lengths
