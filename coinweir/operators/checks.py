@@ -45,6 +45,31 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "n_records")
 
 
+def key_and_nulls(rows: DataFrame, key: str | None, columns: Sequence[str]) -> DataFrame:
+    """One row: how many values of `key` repeat, NULL left out, as `repeated`, and the NULLs of each of the
+    columns. Nulls are counted per key, so that both come from one scan and one shuffle of partial counts."""
+    nulls = [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in columns]
+    if key is None:
+        return rows.agg(F.lit(0).cast("bigint").alias("repeated"), *nulls)
+    per_key = rows.groupBy(F.col(key).alias("value")).agg(F.count("*").alias("n"), *nulls)
+    repeated = F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("repeated")
+    return per_key.agg(
+        repeated, *[F.coalesce(F.sum(f"null_{name}"), F.lit(0)).alias(f"null_{name}") for name in columns]
+    )
+
+
+def vocabularies(rows: DataFrame, accepted: dict[str, Sequence[str]]) -> DataFrame:
+    """One row: for each column, how many of its values are not accepted; NULL passes. The values of all columns come from one scan."""
+    each = F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in accepted])
+    found = rows.select(F.inline(each)).distinct()
+    return found.agg(
+        *[
+            F.count_if((F.col("name") == name) & ~F.col("value").isin(*values)).alias(name)
+            for name, values in accepted.items()
+        ]
+    )
+
+
 def not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns that hold NULLs, with their number."""
     return null_counts(rows, columns).filter(F.col("n_records") > 0)

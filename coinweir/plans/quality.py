@@ -12,7 +12,7 @@ from coinweir.vocab import CATEGORIES, CURRENCIES, RECONCILIATION, WEBHOOK
 
 ERROR, WARN = "error", "warn"
 
-# Column rules per relation.
+# Column rules per relation.
 UNIQUE = {
     "stg_transactions": "transaction_id",
     "dim_account": "account_id",
@@ -56,14 +56,6 @@ class Check:
     violations: DataFrame
 
 
-def unique_checks(relations: dict[str, DataFrame]) -> list[Check]:
-    return [
-        Check(f"unique {name}.{column}", ERROR, checks.not_unique(relations[name], column))
-        for name, column in UNIQUE.items()
-        if name in relations
-    ]
-
-
 def accepted_value_checks(relations: dict[str, DataFrame]) -> list[Check]:
     return [
         Check(f"accepted_values {name}.{column}", severity, checks.outside_vocabulary(relations[name], column, values))
@@ -84,17 +76,41 @@ def relationship_checks(relations: dict[str, DataFrame]) -> list[Check]:
     ]
 
 
-def not_null_check_rows(relations: dict[str, DataFrame]) -> list[DataFrame]:
-    """All not-null rules of a relation from one scan of it."""
-    return [
-        checks.null_counts(relations[name], columns).select(
-            F.concat(F.lit(f"not_null {name}."), F.col("column_name")).alias("check_name"),
-            F.lit(ERROR).alias("severity"),
-            F.col("n_records").alias("violations"),
+def _long(one_row: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """A row per rule (name, severity, column) of a relation's only row."""
+    each = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.lit(severity).alias("severity"),
+            F.coalesce(F.col(f"`{column}`"), F.lit(0)).cast("bigint").alias("violations"),
         )
-        for name, columns in NOT_NULL.items()
-        if name in relations
+        for name, severity, column in rules
     ]
+    return one_row.select(F.inline(F.array(*each)))
+
+
+def key_and_null_rows(relations: dict[str, DataFrame]) -> list[DataFrame]:
+    """The unique and not-null rules of a relation, from one scan of it."""
+    rows = []
+    for name in [*UNIQUE, *(name for name in NOT_NULL if name not in UNIQUE)]:
+        if name in relations:
+            key, columns = UNIQUE.get(name), NOT_NULL.get(name, [])
+            rules = [(f"unique {name}.{key}", ERROR, "repeated")] if key else []
+            rules += [(f"not_null {name}.{column}", ERROR, f"null_{column}") for column in columns]
+            rows.append(_long(checks.key_and_nulls(relations[name], key, columns), rules))
+    return rows
+
+
+def accepted_value_rows(relations: dict[str, DataFrame]) -> list[DataFrame]:
+    """The accepted-value rules of a relation, from one scan of it."""
+    rows = []
+    for relation in dict.fromkeys(name for name, *_ in ACCEPTED):
+        if relation in relations:
+            own = [(column, values, severity) for name, column, values, severity in ACCEPTED if name == relation]
+            rules = [(f"accepted_values {relation}.{column}", severity, column) for column, _, severity in own]
+            counted = checks.vocabularies(relations[relation], {column: values for column, values, _ in own})
+            rows.append(_long(counted, rules))
+    return rows
 
 
 def details(declared: list[Check]) -> DataFrame:
@@ -111,21 +127,21 @@ def details(declared: list[Check]) -> DataFrame:
     return _union(rows)
 
 
-def summary(declared: list[Check], null_rows: list[DataFrame] = ()) -> DataFrame:
-    """One row per check: name, severity, number of violations."""
+def summary(declared: list[Check], counted_rows: list[DataFrame] = ()) -> DataFrame:
+    """One row per check: name, severity, number of violations; `counted_rows` have that shape already."""
     counted = [
         check.violations.agg(F.count("*").alias("violations")).select(
             F.lit(check.name).alias("check_name"), F.lit(check.severity).alias("severity"), "violations"
         )
         for check in declared
     ]
-    return _union(counted + list(null_rows))
+    return _union(counted + list(counted_rows))
 
 
 def column_suite(relations: dict[str, DataFrame]) -> DataFrame:
     """Summary of every declared column rule over the given relations."""
-    declared = unique_checks(relations) + accepted_value_checks(relations) + relationship_checks(relations)
-    return summary(declared, not_null_check_rows(relations))
+    counted = key_and_null_rows(relations) + accepted_value_rows(relations)
+    return summary(relationship_checks(relations), counted)
 
 
 def enforce(report: DataFrame) -> list[str]:

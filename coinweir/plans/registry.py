@@ -88,10 +88,10 @@ def _published(spark: SparkSession, rows: DataFrame) -> str:
 
 
 def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Staging-shaped rows written once, for queries that go over them many times."""
+    """Rows written once, for queries that go over them many times."""
     path = work_dir(spark)
     rows.write.parquet(path)
-    return spark.read.schema(STAGING).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _partition_paths(staging: DataFrame) -> DataFrame:
@@ -211,7 +211,10 @@ def dq_liveness(spark: SparkSession, folder: str) -> DataFrame:
 def dq_suite(spark: SparkSession, folder: str) -> DataFrame:
     """Every declared column rule over the whole model."""
     staging = _stored(spark, _staging(spark, folder))
-    return quality.column_suite({**model_relations(staging), "stg_transactions": staging})
+    categories, merchants = _stored(spark, model.dim_category(staging)), _stored(spark, model.dim_merchant(staging))
+    relations = model_relations(staging, categories, merchants)
+    relations["dim_account"] = _stored(spark, relations["dim_account"])
+    return quality.column_suite({**relations, "stg_transactions": staging})
 
 
 def recon_raw_vs_staging(spark: SparkSession, folder: str) -> DataFrame:
