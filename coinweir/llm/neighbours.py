@@ -152,11 +152,11 @@ def nearest(
     """(query_id, rank, id, score): for each row where `asked` holds, the `k` rows found with the largest inner products, its own
     row excepted, best first, ties to the smaller id; all rows, if there are fewer.
 
-    `score` is the inner product in double precision. Ids are unique; rows with a null id, or a vector that is null, zero, of another
+    `score` is the inner product in double precision. Ids are unique integers; rows with a null id, or a vector that is null, zero, of another
     length than most, or holds a null or non-finite component, take no part. No rows, no results.
     """
     rows = vectors.select(
-        F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("vector"), F.coalesce(asked, F.lit(False)).alias("asked")
+        F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"), F.coalesce(asked, F.lit(False)).alias("asked")
     ).filter(F.col("id").isNotNull() & _usable(F.col("vector")))
     dimension = rows.agg(F.mode(F.size("vector"), deterministic=True).alias("size")).first()["size"] or 1
     rows = rows.filter(F.size("vector") == dimension)

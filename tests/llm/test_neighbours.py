@@ -45,7 +45,7 @@ def test_recall_where_few_leaves_are_opened(spark):
     data = [(at, (centres[at % 60] * (1 + at % 3) + 0.3 * random.normal(size=16)).tolist()) for at in range(6000)]
     vectors = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     data = [(row.vec_id, row.embedding) for row in vectors.collect()]
-    found = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, 10, sample=2000, leaf_rows=16, probes=120)
+    found = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, 10, sample=2000, leaf_rows=16, probes=240)
     found = found.withColumnRenamed("id", "vec_id").collect()
     assert recall(found, data, lambda number: number % 20 == 0, 10) >= 0.9
 

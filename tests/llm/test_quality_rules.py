@@ -37,7 +37,11 @@ def test_measures_of_odd_texts(spark, text):
 
 
 def tail(tries, hits, share):
-    return sum(math.comb(tries, at) * share**at * (1 - share) ** (tries - at) for at in range(hits + 1))
+    logs = [
+        math.lgamma(tries + 1) - math.lgamma(at + 1) - math.lgamma(tries - at + 1) + at * math.log(share) + (tries - at) * math.log(1 - share)
+        for at in range(hits + 1)
+    ]
+    return sum(map(math.exp, logs))
 
 
 def test_binomial_tail_is_exact(spark):
