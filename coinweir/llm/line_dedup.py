@@ -108,7 +108,8 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
     each = sequences.select("document", F.explode(F.array_distinct(F.arrays_zip("lines", "sizes"))).alias("line"))
     each = each.select("document", F.col("line.lines").alias("line"), F.col("line.sizes").alias("size")).filter("size > 0")
     holders = each.groupBy("line").agg(F.min("document").alias("holder"), F.count("*").alias("holders")).filter("holders > 1")
-    shared = each.join(holders, "line").filter("holder < document")
+    # stored, so that a frequent line can be split in the join
+    shared = each.join(stored(holders).hint("merge"), "line").filter("holder < document")
     joined = shared.groupBy("document", "holder").agg(
         F.bool_or((F.col("holders") <= RARE) & (F.col("size") >= LINE_CHARS)).alias("rare"), F.sum("size").alias("chars")
     )

@@ -272,9 +272,10 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     """
     kinds = "anchor long, piece long, document long, first int, stop int"
     pieces = stored(texts.select("document", "text").mapInArrow(_pieces(length), kinds))
-    again = pieces.groupBy("anchor").count().filter("count > 1").select("anchor")
-    # copies of a text count as occurrences but need one row
-    pieces = stored(pieces.join(again, "anchor").groupBy("anchor", "piece", "document", "first", "stop").agg(F.count("*").alias("n")))
+    again = stored(pieces.groupBy("anchor").count().filter("count > 1").select("anchor"))
+    # copies of a text count as occurrences but need one row; what is joined is stored, so that a frequent anchor can be split
+    pieces = pieces.groupBy("anchor", "piece", "document", "first", "stop").agg(F.count("*").alias("n"))
+    pieces = stored(pieces.join(again.hint("merge"), "anchor"))
     different = pieces.groupBy("anchor", "piece").agg(F.sum("n").alias("m"), F.min(F.struct("n", "document", "first", "stop")).alias("one"))
     several = different.groupBy("anchor").agg(F.count("*").alias("pieces"))
     different = stored(different.join(several, "anchor").select("anchor", "piece", "m", "pieces", "one.*"))
