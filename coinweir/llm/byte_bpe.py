@@ -154,7 +154,7 @@ class Encoder:
             else:
                 first, *rest = text.split(" ")
                 cut.append((split(first), rest))
-        new = chunks.missing({chunk for _, rest in cut for chunk in rest})
+        new = chunks.missing(set().union(*(rest for _, rest in cut)))
         found = [split(" " + chunk) for chunk in new]
         self._learn({piece for each in found for piece in each}.union(*(first for first, _ in cut)))
         for chunk, each in zip(new, found, strict=True):
@@ -199,27 +199,51 @@ def encode(documents: DataFrame, path: str, pattern: str, id_column: str = "doc_
     return documents.select(id_column, text_column).mapInArrow(run, schema)
 
 
+class Decoder:
+    """Bytes of ids, gathered from the bytes of all tokens laid end to end."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self._sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        self._sizes[list(ranks.values())] = [len(token) for token in ranks]
+        self._starts = np.concatenate(([0], np.cumsum(self._sizes)))
+        self._bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.__getitem__)), np.uint8)
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        each = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = self._sizes[each]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        source = np.repeat(self._starts[each] - ends[:-1], sizes) + np.arange(ends[-1])
+        spans = np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())))
+        buffers = [None, pa.py_buffer(ends[spans].astype("<i8").tobytes()), pa.py_buffer(self._bytes[source].tobytes())]
+        return pa.Array.from_buffers(pa.large_binary(), len(ids), buffers).cast(pa.binary())
+
+
 def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     """The rows with `decoded`, the bytes that their ids stand for; null ids decode to no bytes."""
     columns = [name for name in encoded.columns if name != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {rank: token for token, rank in load_ranks(path).items()}
-        sizes = np.zeros(max(token, default=0) + 1, np.int64)
-        sizes[list(token)] = [len(each) for each in token.values()]
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        alphabet = np.frombuffer(b"".join(token[rank] for rank in sorted(token)), np.uint8)
+        decoder = Decoder(load_ranks(path))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):  # keeps the bytes of a batch small
                 part = batch.slice(at, 512)
-                ids = part.column(columns.index(ids_column))
-                each = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                ends = np.concatenate(([0], np.cumsum(sizes[each])))
-                source = np.repeat(starts[each] - ends[:-1], sizes[each]) + np.arange(ends[-1])
-                spans = np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())))
-                data = pa.py_buffer(alphabet[source].tobytes())
-                texts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends[spans].astype("<i8").tobytes()), data])
-                yield pa.RecordBatch.from_arrays([*part.columns, texts.cast(pa.binary())], [*columns, "decoded"])
+                texts = decoder.decode(part.column(columns.index(ids_column)))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*columns, "decoded"])
 
     schema = T.StructType([*(field(encoded, name) for name in columns), T.StructField("decoded", T.BinaryType())])
     return encoded.select(*columns).mapInArrow(run, schema)
+
+
+def round_trip(documents: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, ids, decoded): `encode`, then `decode` of its ids, in one pass over the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _encoder(path, pattern), Decoder(load_ranks(path))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                ids = _id_lists(encoder.encode([text or "" for text in part.column(1).to_pylist()]))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoder.decode(ids)], [id_column, "ids", "decoded"])
+
+    kinds = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+    return documents.select(id_column, text_column).mapInArrow(run, T.StructType([field(documents, id_column), *kinds]))

@@ -15,8 +15,8 @@ from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
-    return byte_bpe.decode(encoded, path).select(
+    encoded = byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
