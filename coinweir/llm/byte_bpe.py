@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from coinweir.llm.memory import Memory
+from coinweir.llm.memory import Memory, held_by, keep_only
 from coinweir.llm.tables import field
 
 #: Encoded pieces that a task remembers before the older half of them goes.
@@ -162,10 +162,11 @@ class Encoder:
         return [b"".join([*map(pieces.__getitem__, first), *map(chunks.__getitem__, rest)]) for first, rest in cut]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}  # one per worker process
+_encoders: dict[tuple[str, str], Encoder] = held_by("byte_bpe")
 
 
 def _encoder(path: str, pattern: str) -> Encoder:
+    keep_only("byte_bpe")
     if (path, pattern) not in _encoders:
         _encoders[path, pattern] = Encoder(load_ranks(path), pattern)
     return _encoders[path, pattern]

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coinweir.llm.memory import keep_only
 from coinweir.llm.tables import fresh, stored, text_of
 
 #: A line is rare in no more documents than this.
@@ -118,6 +119,7 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
     pairs = pairs.join(sequences, "document").join(first, "holder").select("document", "first", "lines", "sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             compared = zip(*(batch.column(place).to_pylist() for place in (1, 2, 3)), strict=True)
             gone = pa.array([blocks(*each) for each in compared], pa.list_(pa.int32()))

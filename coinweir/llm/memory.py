@@ -3,6 +3,21 @@
 from __future__ import annotations
 
 
+_held: dict[str, dict] = {}
+
+
+def held_by(owner: str) -> dict:
+    """What an operator keeps in a worker process from one task to the next."""
+    return _held.setdefault(owner, {})
+
+
+def keep_only(owner: str | None = None) -> None:
+    """To be called where a task begins: what other operators kept in this process is given back."""
+    for name, kept in _held.items():
+        if name != owner:
+            kept.clear()
+
+
 class Memory(dict):
     """What short pieces came to. When the newer half is full, it becomes the older one, and what was old and not met since goes."""
 

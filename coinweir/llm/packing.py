@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinweir.llm.memory import Memory
+from coinweir.llm.memory import Memory, held_by, keep_only
 from coinweir.llm.tables import field, fresh, stored
 
 #: Encoded chunks of text that a task remembers before the older half of them goes.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 
 class Encoder:
@@ -69,7 +69,7 @@ class Encoder:
         return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
 
 
-_encoders: dict[str, Encoder] = {}  # one per worker process
+_encoders: dict[str, Encoder] = held_by("packing")
 
 
 def pieces(
@@ -86,6 +86,7 @@ def pieces(
     end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("packing")
         if path not in _encoders:
             _encoders[path] = Encoder(path)
         encoder = _encoders[path]

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coinweir.llm.memory import keep_only
 from coinweir.llm.tables import field, fresh, stored, text_of
 
 #: Bytes that an anchor is the hash of; at most the length sought.
@@ -80,6 +81,7 @@ def pieces_of(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: i
 
 def _pieces(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             texts = [text.encode() for text in batch.column(1).to_pylist()]
             documents = batch.column(0).to_numpy(zero_copy_only=False)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coinweir.llm.components import components
+from coinweir.llm.memory import keep_only
 from coinweir.llm.tables import field, fresh, stored
 
 SEED = 42
@@ -56,6 +57,7 @@ def fingerprints(
     place = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             found = [fingerprint(text or "", words_each) for text in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(found, pa.int64())], [*columns, name])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coinweir.llm.memory import keep_only
 from coinweir.llm.tables import stored, text_of
 
 #: Buckets that terms are hashed to, and how many of them the machine may use.
@@ -171,6 +172,7 @@ def score(documents: DataFrame, machine: Machine, text_column: str = "text", nam
     hashed = hashed_terms(rows, list(renamed), "_text").withColumnRenamed("terms", "_terms")
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        keep_only()
         for texts in batches:
             yield pd.Series(machine.scores([np.asarray(text, np.int64) for text in texts]))
 
