@@ -24,7 +24,7 @@ from coinweir.llm.memory import Memory, held_by, keep_only
 from coinweir.llm.tables import field, fresh, stored
 
 #: Encoded chunks of text that a task remembers before the older half of them goes.
-REMEMBERED = 700_000
+REMEMBERED = 600_000
 
 
 class Encoder:
@@ -38,6 +38,10 @@ class Encoder:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._chunks = Memory(REMEMBERED)
 
+    def forget(self) -> None:
+        """Gives memory back; a worker may be idle for long after a task."""
+        self._chunks = Memory(REMEMBERED)
+
     def _learn(self, chunks: set[bytes]) -> None:
         new = self._chunks.missing(chunks)
         # a mark behind a letter or digit is a token of its own, so that the word before it is looked up alone
@@ -91,20 +95,24 @@ def pieces(
             _encoders[path] = Encoder(path)
         encoder = _encoders[path]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                owner, numbers, cuts = [], [], []
-                for row, ids in enumerate(encoder.encode([text or "" for text in part.column(len(names)).to_pylist()])):
-                    ids += end
-                    count = -(-len(ids) // step)
-                    owner += [row] * count
-                    numbers += range(count)
-                    cuts += [ids[step * number : step * (number + 1)] for number in range(count)]
-                number = np.array(numbers, np.int32)
-                lengths = np.array([len(ids) // 4 for ids in cuts], np.int64)
-                kept = part.take(pa.array(owner, pa.int64())).columns[: len(names)]
-                made = [pa.array(number), pa.array(number.astype(np.int64) * capacity), pa.array(lengths), pa.array(cuts, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*kept, *made], [*columns, "piece", "start", "length", "ids"])
+            yield from cut(encoder, batch)
+        encoder.forget()
+
+    def cut(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            owner, numbers, cuts = [], [], []
+            for row, ids in enumerate(encoder.encode([text or "" for text in part.column(len(names)).to_pylist()])):
+                ids += end
+                count = -(-len(ids) // step)
+                owner += [row] * count
+                numbers += range(count)
+                cuts += [ids[step * number : step * (number + 1)] for number in range(count)]
+            number = np.array(numbers, np.int32)
+            lengths = np.array([len(ids) // 4 for ids in cuts], np.int64)
+            kept = part.take(pa.array(owner, pa.int64())).columns[: len(names)]
+            made = [pa.array(number), pa.array(number.astype(np.int64) * capacity), pa.array(lengths), pa.array(cuts, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*kept, *made], [*columns, "piece", "start", "length", "ids"])
 
     kinds = {"piece": T.IntegerType(), "start": T.LongType(), "length": T.LongType(), "ids": T.BinaryType()}
     if clash := set(kinds) & set(columns):
