@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -312,8 +311,11 @@ def _kept(data: bytes, marks: list[tuple[int, int]], length: int) -> tuple[bytes
     return b"".join(kept), [{"start": start, "stop": stop} for start, stop in spans]
 
 
-def without_repeats(documents: DataFrame, length: int = 200, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The rows (or their columns `keep`) with `n_bytes`, `kept` (the bytes left) and `removed` (array of start, stop).
+def without_repeats(
+    documents: DataFrame, length: int = 200, text_column: str = "text", keep: list[str] | None = None, whole: bool = False
+) -> DataFrame:
+    """The rows (or their columns `keep`) with `n_bytes`, `kept` (the bytes left) and `removed` (array of start, stop). With
+    `whole`, what is left is a string of whole characters: where a cut leaves part of one, that part goes as well.
 
     A byte goes if it lies under a string of `length` bytes that also starts anywhere else, in the same text or another; matches
     don't cross texts, overlaps count, and strings are judged on the input. Null texts count as empty; null ids and repeated
@@ -334,25 +336,21 @@ def without_repeats(documents: DataFrame, length: int = 200, text_column: str =
             texts = [text.encode() for text in batch.column(len(names)).to_pylist()]
             marked = [[(each["first"], each["stop"]) for each in found or ()] for found in batch.column(len(names) + 1).to_pylist()]
             kept = [_kept(data, found, length) for data, found in zip(texts, marked, strict=True)]
-            arrays = [pa.array([len(data) for data in texts], pa.int64()), pa.array([data for data, _ in kept], pa.binary()), pa.array([removed for _, removed in kept], spans)]
+            left = [data.decode(errors="ignore") if whole else data for data, _ in kept]
+            arrays = [pa.array([len(data) for data in texts], pa.int64()), pa.array(left, pa.string() if whole else pa.binary()), pa.array([removed for _, removed in kept], spans)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*columns, *results])
 
-    kinds = [T.LongType(), T.BinaryType(), T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))]
+    kinds = [T.LongType(), T.StringType() if whole else T.BinaryType(), T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))]
     schema = T.StructType([*(field(documents, column) for column in columns), *map(T.StructField, results, kinds)])
     return joined.mapInArrow(run, schema)
 
 
 def texts_without_repeats(documents: DataFrame, length: int = 200, text_column: str = "text") -> DataFrame:
-    """The documents with their text cut like `without_repeats`, and `n_removed`, the bytes taken out. Where a cut leaves part of a
-    character, that part goes as well. A null text becomes an empty one."""
+    """The documents with their text cut like `without_repeats`, in whole characters, and `n_removed`, the bytes taken out by
+    the cuts. A null text becomes an empty one."""
     columns = documents.columns
-    size, kept = fresh("n_bytes", columns), fresh("kept", columns)
-    rows = without_repeats(documents, length, text_column)
-
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for left in batches:
-            yield left.map(lambda data: bytes(data).decode(errors="ignore"))
-
-    text = F.pandas_udf(whole, T.StringType())(F.col(kept))
-    cut = [text.alias(column) if column == text_column else F.col(column) for column in columns]
-    return rows.select(*cut, (F.col(size) - F.octet_length(kept)).alias(fresh("n_removed", columns)))
+    kept, removed = fresh("kept", columns), fresh("removed", columns)
+    rows = without_repeats(documents, length, text_column, whole=True)
+    gone = F.aggregate(removed, F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"])
+    cut = [F.col(kept).alias(column) if column == text_column else F.col(column) for column in columns]
+    return rows.select(*cut, gone.alias(fresh("n_removed", columns)))
