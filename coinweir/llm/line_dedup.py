@@ -1,8 +1,8 @@
 """Line deduplication by pairwise alignment.
 
 Every line has a first holder, the earliest document with it, and each later document with the line is a pair with that one; no
-pairs are made among later ones, so pairs are at most as many as lines. A pair is an overlap if a rare line joins it, one that few
-documents have; where lines are frequent, as among thousands of near copies, several must join it that amount to a passage. The two
+pairs are made among later ones, so pairs are at most as many as lines. A pair is an overlap if a rare line joins it, one that at most
+half of the documents have; where lines are more frequent, several must join it that amount to a passage, or the whole texts are equal. The two
 sequences of line hashes are then aligned by patience diff, and blocks of aligned lines go from the later document. The first holder
 of a line never loses it, for a block could take it only if an earlier document had it.
 """
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from coinweir.llm.memory import keep_only
 from coinweir.llm.tables import fresh, stored, text_of
 
-#: A line is rare in no more documents than this.
+#: A line is rare in no more documents than this, or than this share of all: what a line is must not change as a corpus grows.
 RARE = 50
+RARE_SHARE = 0.5
 
 #: Characters, blanks at the ends not counted, of a line that can make an overlap or a block by itself, and of
 #: frequent lines that do so together.
@@ -111,10 +112,16 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
     holders = each.groupBy("line").agg(F.min("document").alias("holder"), F.count("*").alias("holders")).filter("holders > 1")
     # stored, so that a frequent line can be split in the join
     shared = each.join(stored(holders).hint("merge"), "line").filter("holder < document")
+    most = max(RARE, int(sequences.count() * RARE_SHARE))
     joined = shared.groupBy("document", "holder").agg(
-        F.bool_or((F.col("holders") <= RARE) & (F.col("size") >= LINE_CHARS)).alias("rare"), F.sum("size").alias("chars")
+        F.bool_or((F.col("holders") <= most) & (F.col("size") >= LINE_CHARS)).alias("rare"), F.sum("size").alias("chars")
     )
     pairs = joined.filter(F.col("rare") | (F.col("chars") >= PASSAGE_CHARS)).select("document", "holder")
+    # equal texts overlap, however frequent their lines are
+    wholes = sequences.filter(F.array_max("sizes") >= LINE_CHARS).select("document", F.xxhash64("lines").alias("whole"))
+    originals = wholes.groupBy("whole").agg(F.min("document").alias("holder"), F.count("*").alias("copies")).filter("copies > 1")
+    copies = wholes.join(stored(originals).hint("merge"), "whole").filter("holder < document")
+    pairs = pairs.union(copies.select("document", "holder")).distinct()
     first = sequences.select(F.col("document").alias("holder"), F.col("lines").alias("first"))
     pairs = pairs.join(sequences, "document").join(first, "holder").select("document", "first", "lines", "sizes")
 

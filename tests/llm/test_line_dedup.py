@@ -92,3 +92,17 @@ def test_no_more_pairs_than_lines(spark):
     group = [(at, "\n".join(f"passage {part} of the group of copies" for part in range(10)) + f"\nend {at}") for at in range(300)]
     gone = line_dedup.removed_lines(spark.createDataFrame(group, "doc_id int, text string"))
     assert gone.agg(F.count("*"), F.sum(F.size("gone"))).first() == (299, 2990)
+
+
+def test_a_line_is_judged_alike_as_the_corpus_grows(spark):
+    for size in (40, 400):
+        own = "own text of document {}, which no other has"
+        documents = [(at, f"{own.format(at)}\n{LINE.format(0)}" if at % 4 == 0 else own.format(at)) for at in range(size)]
+        rows = line_dedup.without_shared_lines(spark.createDataFrame(documents, "doc_id int, text string")).collect()
+        assert {row.doc_id for row in rows if row.n_removed == 1} == set(range(4, size, 4))
+
+
+def test_copies_of_a_line_that_most_documents_have(spark):
+    documents = [(at, LINE.format(0) if at % 2 else f"{LINE.format(0)}\n{at}") for at in range(140)]
+    rows = line_dedup.without_shared_lines(spark.createDataFrame(documents, "doc_id int, text string")).collect()
+    assert {row.doc_id for row in rows if row.n_removed == 1} == set(range(3, 140, 2))
