@@ -106,3 +106,38 @@ def test_copies_of_a_line_that_most_documents_have(spark):
     documents = [(at, LINE.format(0) if at % 2 else f"{LINE.format(0)}\n{at}") for at in range(140)]
     rows = line_dedup.without_shared_lines(spark.createDataFrame(documents, "doc_id int, text string")).collect()
     assert {row.doc_id for row in rows if row.n_removed == 1} == set(range(3, 140, 2))
+
+
+def whole(documents):
+    """The lines that documents in order lose if each meets every earlier one with a line of LINE_CHARS in common."""
+    lines = [text.split("\n") for text in documents]
+    sizes = [[len(line.strip(" ")) for line in each] for each in lines]
+    gone = [set() for _ in lines]
+    for later, each in enumerate(lines):
+        for earlier in lines[:later]:
+            if any(line in earlier and size >= line_dedup.LINE_CHARS for line, size in zip(each, sizes[later], strict=True)):
+                gone[later] |= set(line_dedup.blocks(earlier, each, sizes[later]))
+    return list(map(len, gone))
+
+
+def removed(spark, texts):
+    rows = line_dedup.without_shared_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    return [row.n_removed for row in rows.orderBy("doc_id").collect()]
+
+
+def test_a_copy_of_a_later_holder(spark):
+    one = [LINE.format(at) for at in range(100)]
+    assert removed(spark, ["\n".join(lines) for lines in (one, one[::-1], one[::-1])]) == [0, 1, 100]
+
+
+def test_short_lines_beside_a_line_that_another_had_first(spark):
+    block = ["a", "", "b", LINE.format(1), "c", "d"]
+    texts = [f"{LINE.format(2)}\na\nc", LINE.format(1), "\n".join([LINE.format(3), *block, LINE.format(4)]), "\n".join(["x", *block, "y"])]
+    assert removed(spark, texts) == [0, 0, 1, 6]
+
+
+def test_every_earlier_holder_is_met(spark):
+    draw = random.Random(5)
+    pool = [LINE.format(at) for at in range(8)] + list("abc") + [""]
+    texts = ["\n".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(40)]
+    assert removed(spark, texts) == whole(texts)
