@@ -24,9 +24,8 @@ from coinweir.llm.tables import stored, text_of
 BUCKETS = 1 << 20
 FEATURES = 2048
 
-#: A bucket counts only with at least this chi-square: about five texts, all of one label that every ninth text has. Rarer ones
-#: are too many for their labels to mean anything.
-LEAST_CHI = 38.0
+#: A bucket counts only in so many texts; a single text's label says nothing about others.
+LEAST_TEXTS = 2
 
 #: Code points of a word's stems, beside the whole word.
 STEMS = (4, 5)
@@ -93,11 +92,12 @@ def _informative(labelled: DataFrame, features: int) -> np.ndarray:
         return np.empty(0, np.int64)
     counts = labelled.select("toxic", F.explode("terms").alias("bucket")).groupBy("bucket")
     counts = counts.agg(F.count("*").cast("double").alias("n"), F.sum("toxic").cast("double").alias("hits"))
+    counts = counts.filter(F.col("n") >= LEAST_TEXTS)
     expected = F.col("n") * (toxic / whole.n)
     other = F.col("n") * (clean / whole.n)
     excess = F.col("hits") - expected
     chosen = counts.select("bucket", (excess * excess * (1 / expected + 1 / other)).alias("chi"))
-    top = chosen.filter(F.col("chi") >= LEAST_CHI).orderBy(F.col("chi").desc(), "bucket").limit(features)
+    top = chosen.orderBy(F.col("chi").desc(), "bucket").limit(features)
     return np.sort(np.array([row.bucket for row in top.collect()], np.int64))
 
 
@@ -124,8 +124,10 @@ def fit(
     buckets = _informative(labelled, features)
     known = F.array_sort(F.array_intersect("terms", F.lit(buckets.tolist()).cast("array<int>")))
     rows = labelled.select("toxic", known.alias("terms")).orderBy(F.xxhash64(F.col(id_column).cast("string")), "terms").limit(sample)
-    rows = rows.collect()
-    return _train(buckets, [np.array(row.terms, np.int64) for row in rows], np.array([row.toxic for row in rows], float))
+    rows = rows.toArrow()
+    terms = rows.column("terms").combine_chunks()
+    texts = np.split(terms.flatten().to_numpy(), np.cumsum(terms.value_lengths().to_numpy())[:-1])
+    return _train(buckets, texts[: len(rows)], rows.column("toxic").to_numpy().astype(float))
 
 
 def _train(buckets: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray) -> Machine:
@@ -136,24 +138,30 @@ def _train(buckets: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray) -> M
     machine = Machine(buckets, start, np.zeros(len(buckets)), random.normal(0, 0.01, (len(buckets), FACTORS)))
     if not len(buckets) or not 0 < share < 1:
         return machine
-    rows = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
-    places = np.searchsorted(buckets, np.concatenate(texts))
+    # bounded by the sample and the features
+    there = np.zeros((len(texts), len(buckets)), np.float32)
+    for row, text in zip(there, texts, strict=True):
+        row[np.searchsorted(buckets, text)] = 1
     weight = np.where(toxic == 1, 0.5 / share, 0.5 / (1 - share)) / len(toxic)
-    scale = (1 / np.sqrt(np.maximum(np.bincount(rows, minlength=len(texts)), 1)))[rows]
+    scale = 1 / np.sqrt(np.maximum(there.sum(axis=1, dtype=float), 1))
     machine.bias = 0.0
     values = [np.array([0.0]), machine.linear, machine.factors]
     moments = [(np.zeros_like(value), np.zeros_like(value)) for value in values]
     for step in range(1, STEPS + 1):
         machine.bias = float(values[0][0])
-        raw, sums = machine.raw(rows, places, len(texts))
+        factors = machine.factors
+        inputs = np.column_stack([machine.linear, (factors**2).sum(axis=1), factors]).astype(np.float32)
+        linear, squares, *sums = (there @ inputs).T.astype(float)
+        sums = np.stack(sums, axis=1) * scale[:, None]
+        raw = machine.bias + linear * scale + 0.5 * ((sums**2).sum(axis=1) - squares * scale**2)
         slope = (_sigmoid(raw) - toxic) * weight
-        at = slope[rows] * scale
-        each = machine.factors[places] * scale[:, None]
-        pull = (sums[rows] - each) * at[:, None]
+        at = slope * scale
+        outputs = np.column_stack([at, at * scale, at[:, None] * sums]).astype(np.float32)
+        pull, own, *each = (there.T @ outputs).T.astype(float)
         gradients = [
             np.array([slope.sum()]),
-            np.bincount(places, at, len(buckets)) + DECAY * machine.linear,
-            np.stack([np.bincount(places, pull[:, f], len(buckets)) for f in range(FACTORS)], axis=1) + DECAY * machine.factors,
+            pull + DECAY * machine.linear,
+            np.stack(each, axis=1) - own[:, None] * factors + DECAY * factors,
         ]
         for value, gradient, (mean, square), rate in zip(values, gradients, moments, (0.05, 0.1, 0.03), strict=True):
             mean += 0.1 * (gradient - mean)

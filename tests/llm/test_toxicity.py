@@ -65,3 +65,13 @@ def test_nulls_repeats_and_missing_labels(spark):
         scored = toxicity.score(documents, machine).collect()
         assert len(scored) == 5 and all(row.score == pytest.approx(expected, abs=1e-9) and row.terms == 1 for row in scored)
     assert toxicity.score(documents.limit(0), machine).count() == 0
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_recall_on_small_tables(spark, size):
+    documents, labels = (spark.read.parquet(f"/root/testdata/{size}/{name}.parquet") for name in ("documents", "labels"))
+    machine = toxicity.fit(documents, labels)
+    scored = toxicity.score(documents, machine, keep=["doc_id"]).join(labels.filter("toxic IS NOT NULL"), "doc_id").filter("score >= 0.5")
+    found = {row.toxic: row["count"] for row in scored.groupBy("toxic").count().collect()}
+    marked = {row.toxic: row["count"] for row in labels.groupBy("toxic").count().collect()}
+    assert found.get(1, 0) >= 0.9 * marked[1] and found.get(0, 0) <= 0.02 * marked[0]
