@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
+from coinweir.llm import byte_bpe, filter_audit, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
 from coinweir.llm.tables import remainder, table
 from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -109,6 +109,10 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), part="lang")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -121,10 +125,12 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
         "op10_neighbours": op10_neighbours,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_url_filter": url_filter.oracle(URL_RULES),
+        "op13_filter_audit": filter_audit.oracle(),
     }

@@ -1,0 +1,126 @@
+import itertools
+import re
+from collections import Counter
+
+import oracle
+import pytest
+
+from coinweir.llm import filter_audit
+from coinweir.llm.queries import op13_filter_audit
+
+WORDS = [f"w{i}" for i in range(250)]
+PLAIN = " ".join(WORDS)
+DOCUMENTS = [
+    (1, PLAIN, "en"),
+    (2, PLAIN, "de"),
+    (3, PLAIN.upper(), "en"),
+    (4, "one\ttwo\x0bthree\x85four", "en"),
+    (5, " ".join(["w"] * 500), "fr"),
+    (6, " ".join(WORDS) + " 100%", "en"),
+    (7, None, None),
+    (8, "", ""),
+    (9, "  \n ", None),
+    (10, "é" * 96 + "ABC", "fr"),
+    (10, "é" * 97 + "ABC", "fr"),
+    (11, "x " * 200_000, "en"),
+    (12, PLAIN, "en"),
+    (12, PLAIN, "en"),
+    (None, PLAIN, "en"),
+    (None, None, None),
+    (13, " ".join(WORDS[:199]), "en"),
+    (14, " ".join(WORDS[:200]), "en"),
+    (15, " ".join(WORDS[:100] * 2), "en"),
+    (16, " ".join(WORDS[:100] * 2 + ["w0"]), "en"),
+]
+LABELS = [(1, 1, 0), (3, 1, 1), (4, None, 1), (6, 1, None), (6, 0, 1), (12, 1, 0), (None, 1, 1), (99, 1, 1), (7, 1, 0)]
+
+
+def plain(documents, labels):
+    """Every order walked for every document by itself."""
+    least = {}
+    for number, text, _ in documents:
+        if number is not None:
+            least[text or ""] = min(number, least.get(text or "", number))
+    parts, rows = {}, Counter()
+    for number, text, lang in documents:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": re.search(r"[#$%&*|]", text) is not None,
+            "E": number is not None and least[text] < number,
+        }
+        good = any(n == number and q == 1 for n, q, _ in labels if n is not None)
+        toxic = any(n == number and t == 1 for n, _, t in labels if n is not None)
+        parts.setdefault(lang or "", []).append(({letter for letter in fails if fails[letter]}, good, toxic))
+    for part, held in parts.items():
+        for order in map("".join, itertools.permutations("ABCDE")):
+            for step, letter in enumerate(order, 1):
+                before = set(order[: step - 1])
+                removed = [each for each in held if letter in each[0] and not each[0] & before]
+                rows[part, order, step] = (
+                    sum(not each[0] & {*before, letter} for each in held),
+                    len(removed),
+                    sum(letter in each[0] for each in held) - len(removed),
+                    sum(each[0] == {letter} for each in held),
+                    sum(each[1] for each in removed),
+                    sum(each[2] for each in removed),
+                )
+    shapley = Counter()
+    for (part, order, step), counts in rows.items():
+        shapley[part, order[step - 1]] += counts[1]
+    return sorted((*key, *counts, shapley[key[0], key[1][key[2] - 1]]) for key, counts in rows.items())
+
+
+def documents_of(spark, rows):
+    return spark.createDataFrame(
+        [(*row, "clash", 1) for row in rows], "doc_id long, text string, lang string, mask string, part int"
+    )
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame([(*row, "x") for row in rows], "doc_id long, quality int, toxic int, lang string")
+
+
+def test_against_brute_force(spark):
+    found = filter_audit.audit(documents_of(spark, DOCUMENTS), labels_of(spark, LABELS)).collect()
+    assert sorted(map(tuple, found)) == plain(DOCUMENTS, LABELS)
+
+
+def test_nothing(spark):
+    assert filter_audit.audit(documents_of(spark, []), labels_of(spark, LABELS)).collect() == []
+    found = filter_audit.audit(documents_of(spark, DOCUMENTS[:4]), labels_of(spark, [])).collect()
+    assert sorted(map(tuple, found)) == plain(DOCUMENTS[:4], [])
+
+
+def test_query_equals_sql_and_brute_force(spark, folder):
+    found = oracle.normalised(op13_filter_audit(spark, folder).toPandas())
+    assert found == oracle.normalised(oracle.connect(folder).sql(filter_audit.oracle()).df())
+    documents = [tuple(row) for row in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    labels = [tuple(row) for row in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    rows = op13_filter_audit(spark, folder).collect()
+    assert sorted(map(tuple, rows)) == plain(documents, labels)
+
+
+def test_more_parts_than_the_limit_on_recursion_allows(spark):
+    limit = spark.conf.get(filter_audit.ROW_LIMIT)
+    spark.conf.set(filter_audit.ROW_LIMIT, "100")
+    try:
+        rows = [(number, "a", f"part {number}") for number in range(20)]
+        found = filter_audit.audit(documents_of(spark, rows), labels_of(spark, []))
+        assert found.count() == 20 * 600
+        with pytest.raises(Exception, match="RECURSION_ROW_LIMIT_EXCEEDED"):
+            spark.sql("WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 200) SELECT * FROM r").collect()
+        assert spark.conf.get(filter_audit.ROW_LIMIT) == "100"
+    finally:
+        spark.conf.set(filter_audit.ROW_LIMIT, limit)
+
+
+def test_counting_sees_each_group_of_copies_once_a_task(spark):
+    rows = spark.range(2000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'same', CAST(id AS STRING)) AS text", "'en' AS lang")
+    fails = filter_audit.failures(rows)
+    assert fails.filter("E").count() == 666
+    plan = fails._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min") == 1 and "Window" not in plan and "CartesianProduct" not in plan
