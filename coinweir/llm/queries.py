@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, filter_audit, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter
-from coinweir.llm.tables import remainder, table
+from coinweir.llm import byte_bpe, filter_audit, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter, warc
+from coinweir.llm.tables import remainder, stored, table
 from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
+from coinweir.session import work_dir
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,6 +110,23 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    path = work_dir(spark)
+    warc.write_archives(pages, path, least_bytes=1000)
+    records = stored(warc.read_records(spark, path).drop("payload"))
+    captures = warc.full_payloads(warc.assemble(records))
+    number = pages.schema["page_id"].dataType
+    digest = F.coalesce("payload_digest", F.replace("declared_digest", F.lit("sha1:"), F.lit("")))
+    return captures.select(
+        warc.field("metadata", "page").cast(number).alias("page_id"),
+        "payload_bytes",
+        digest.alias("payload_digest"),
+        "record_type",
+        F.when(F.col("record_type") == "revisit", warc.field("source", "page").cast(number)).alias("refers_to"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), part="lang")
 
@@ -125,6 +143,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
         "op10_neighbours": op10_neighbours,
+        "op12_warc": op12_warc,
         "op13_filter_audit": op13_filter_audit,
     }
 
@@ -132,5 +151,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_url_filter": url_filter.oracle(URL_RULES),
+        "op12_warc": warc.oracle(),
         "op13_filter_audit": filter_audit.oracle(),
     }

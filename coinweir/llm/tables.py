@@ -16,10 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(rows: DataFrame, *partition_by: str) -> DataFrame:
+def stored(rows: DataFrame, *partition_by: str, compression: str | None = None) -> DataFrame:
     """The rows written once to the folder that all executors share, and read back."""
     path = work_dir(rows.sparkSession)
-    rows.write.partitionBy(*partition_by).parquet(path)
+    rows.write.partitionBy(*partition_by).parquet(path, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -1,0 +1,185 @@
+import gzip
+import hashlib
+from collections import defaultdict
+
+import oracle
+import pytest
+
+from coinweir.llm import warc
+from coinweir.llm.queries import op12_warc
+
+LONG = "é" * 600
+PAGES = [
+    (1, "http://a.test/x?q=1#f", LONG),
+    (2, "https://B.test", LONG),
+    (3, "nothing", LONG + "!"),
+    (4, None, None),
+    (5, "http://a.test/\r\nWARC-Type: response", ""),
+    (6, "http://a.test/ b", "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 20),
+    (7, "http://a.test/7", "\n"),
+    (8, "http://a.test/8", "\r\n\r\n"),
+    (9, "http://a.test/9", "x" * 999),
+    (10, "http://a.test/10", "x" * 999),
+    (11, "http://a.test/11", "\x00\r" + "y" * 998),
+    (11, "http://a.test/11", "\x00\r" + "y" * 998),
+    (None, "http://a.test/11", "\x00\r" + "y" * 998),
+    (None, None, "z" * 1000),
+    (None, None, "z" * 1000),
+    (12, "http://a.test/12", "line\n" * 100_000),
+]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*row, "clash", 1) for row in rows], "page_id long, url string, html string, record_id string, top int")
+
+
+def captures_of(spark, tmp_path, rows, **options):
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages_of(spark, rows), path, **options)
+    return warc.full_payloads(warc.assemble(warc.read_records(spark, path)))
+
+
+def test_round_trip(spark, tmp_path):
+    found = captures_of(spark, tmp_path, PAGES).select("*", warc.field("metadata", "page").cast("long").alias("page")).collect()
+    assert len(found) == len(PAGES)
+    groups = defaultdict(list)
+    for number, _, html in PAGES:
+        groups[html or ""].append(number)
+    responses = defaultdict(list)
+    for row in found:
+        assert row.n_requests == row.n_metadata == 1
+        assert row.request.target_uri == row.target_uri and row.request.http_head.startswith("GET /")
+        if row.record_type == "response":
+            assert hashlib.sha1(row.payload).hexdigest() == row.payload_digest == row.declared_digest.removeprefix("sha1:")
+            responses[row.payload.decode()].append(row)
+    for html, numbers in groups.items():
+        size = len(html.encode())
+        if size < 1000:
+            assert sorted(row.page for row in responses[html]) == sorted(numbers) if None not in numbers else len(responses[html]) == len(numbers)
+            continue
+        (response,) = responses[html]
+        assert response.page == max((n for n in numbers if n is not None), default=None)
+        revisits = [row for row in found if row.refers_to == response.record_id]
+        rest = list(numbers)
+        rest.remove(response.page)
+        assert sorted(map(str, rest)) == sorted(str(row.page) for row in revisits)
+        for row in revisits:
+            assert row.record_type == "revisit" and row.payload is None and row.payload_bytes == size
+            assert row.declared_digest == response.declared_digest and row.source == response.metadata
+    urls = {row.page: row.target_uri for row in found}
+    assert urls[1] == "http://a.test/x?q=1#f" and urls[4] is None and urls[5] == "http://a.test/%0D%0AWARC-Type: response"
+    asked = {row.page: row.request.http_head.split("\r\n") for row in found}
+    assert asked[1] == ["GET /x?q=1 HTTP/1.1", "Host: a.test"] and asked[2] == ["GET / HTTP/1.1", "Host: B.test"]
+    assert asked[6][0] == "GET /%20b HTTP/1.1"
+
+
+def test_archives_are_as_the_format_says(spark, tmp_path):
+    path = tmp_path / "archives"
+    warc.write_archives(pages_of(spark, PAGES[:2]), str(path))
+    data = b"".join(gzip.decompress(file.read_bytes()) for file in sorted(path.glob("*.gz")))
+    records = 0
+    while data:
+        head, _, data = data.partition(b"\r\n\r\n")
+        lines = head.split(b"\r\n")
+        assert lines[0] == b"WARC/1.1"
+        named = dict(line.split(b": ", 1) for line in lines[1:])
+        assert {b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"} <= named.keys()
+        size = int(named[b"Content-Length"])
+        assert data[size : size + 4] == b"\r\n\r\n"
+        data = data[size + 4 :]
+        records += 1
+    assert records == 6
+
+
+def test_archives_hold_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RECORDS_PER_ARCHIVE", 7)
+    rows = [(n, f"http://a.test/{n}", f"page {n}") for n in range(50)]
+    found = captures_of(spark, tmp_path, rows).collect()
+    assert len(list((tmp_path / "archives").glob("*.gz"))) >= 22
+    assert sorted(row.payload for row in found) == sorted(html.encode() for _, _, html in rows)
+    assert all(row.request and row.metadata for row in found)
+
+
+def test_no_pages(spark, tmp_path):
+    assert captures_of(spark, tmp_path, []).collect() == []
+
+
+def record(kind, name, block=b"", media="application/http;msgtype=response", **more):
+    head = [b"WARC/1.0", f"WARC-Type: {kind}".encode(), f"WARC-Record-ID: {name}".encode()]
+    head += [f"{key.replace('_', '-').rstrip('-')}: {value}".encode() for key, value in more.items()]
+    head += [f"Content-Type: {media}".encode(), f"content-length: {len(block)}".encode()]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Links in either direction, over archives, in any order; companions without a capture; an archive that breaks off; one member per record."""
+    first = [
+        record("warcinfo", "<i>", b"a: b\r\n", "application/warc-fields"),
+        record("metadata", "<m1>", b"k: v\r\nk: w\r\n", "application/warc-fields", WARC_Concurrent_To="<q1>"),
+        record("request", "<q1>", b"GET / HTTP/1.1\r\n\r\n", "application/http;msgtype=request", WARC_Concurrent_To="<r1>"),
+        record("request", "<q2>", b"GET /2 HTTP/1.1\r\n\r\n", "application/http;msgtype=request"),
+        record("request", "<q0>", b"GET /0 HTTP/1.1\r\n\r\n", "application/http;msgtype=request", WARC_Concurrent_To="<gone>"),
+    ]
+    second = [
+        record("response", "<r1>", b"HTTP/1.1 200 OK\r\n\r\none"),
+        record("response", "<r2>", b"HTTP/1.1 200 OK\r\n\r\ntwo", WARC_Concurrent_To="<q2>", WARC_Concurrent_To_="<q3>"),
+        record("revisit", "<v>", b"HTTP/1.1 200 OK\r\n\r\n", WARC_Refers_To="<r2>"),
+        record("revisit", "<u>", b"", WARC_Refers_To="<gone>"),
+        record("resource", "<s>", b"\x00\xff\r\n", "image/x"),
+        record("response", "<broken>", b"HTTP/1.1 200 OK\r\n\r\nthree")[:-10],
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, first)))
+    (tmp_path / "b.warc").write_bytes(b"".join(second))
+    (tmp_path / "c.warc").write_bytes(
+        record("request", "<q3>", b"GET /3 HTTP/1.1\r\n\r\n", "application/http;msgtype=request") + b"WARC/1.0\r\nWARC-Type: response\r\n\r\n"
+    )
+    records = warc.read_records(spark, str(tmp_path))
+    rows = {row.record_id: row for row in warc.full_payloads(warc.assemble(records)).collect()}
+    assert rows.keys() == {"<r1>", "<r2>", "<v>", "<u>", "<s>"}
+    assert rows["<r1>"].payload == b"one" and rows["<r1>"].request.record_id == "<q1>" and rows["<r1>"].metadata.record_id == "<m1>"
+    assert rows["<r2>"].request.record_id == "<q2>" and rows["<r2>"].n_requests == 2 and rows["<r2>"].metadata is None
+    assert rows["<v>"].payload_bytes == 3 and rows["<u>"].payload_bytes is None and rows["<s>"].payload == b"\x00\xff\r\n"
+    left = warc.unassembled(records).collect()
+    assert sorted((str(row.record_id), row.complete) for row in left) == [
+        ("<broken>", False), ("<i>", True), ("<q0>", True), ("<q3>", True), ("None", False)
+    ]
+
+
+def test_divided_archives_stop_the_job(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(b"".join(record("response", f"<{n}>", b"x" * 1000) for n in range(50)))
+    former = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        with pytest.raises(Exception, match="divided over tasks"):
+            warc.read_records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", former)
+
+
+def test_payload_is_not_shuffled_where_it_is_not_asked_for(spark, tmp_path):
+    made = captures_of(spark, tmp_path, PAGES[:3])
+    plan = made.select("record_id", "payload_digest", "n_requests")._jdf.queryExecution().optimizedPlan().toString()
+    above = [line for line in plan.splitlines() if "MapInArrow" not in line and "LogicalRDD" not in line]
+    assert not any("payload#" in line for line in above if "Join" in line or "Aggregate" in line)
+
+
+def test_query_equals_sql(spark, folder):
+    found = oracle.normalised(op12_warc(spark, folder).toPandas())
+    assert found == oracle.normalised(oracle.connect(folder).sql(warc.oracle()).df())
+
+
+def test_query_where_pages_share_payloads(spark, tmp_path):
+    rows = [row for row in PAGES if row[0] is not None] + [(20 + n, f"http://b.test/{n}", LONG) for n in range(300)]
+    pages = pages_of(spark, rows).dropDuplicates(["page_id"])
+    pages.repartition(5).write.parquet(str(tmp_path / "pages.parquet"))
+    found = op12_warc(spark, str(tmp_path)).collect()
+    by_payload = defaultdict(list)
+    kept = {row.page_id: row.html or "" for row in pages.collect()}
+    for number, html in kept.items():
+        by_payload[html].append(number)
+    expected = []
+    for number, html in kept.items():
+        data, last = html.encode(), max(by_payload[html])
+        again = len(data) >= 1000 and number < last
+        expected.append((number, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", last if again else None))
+    assert sorted(map(tuple, found)) == sorted(expected)
