@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinweir.llm import byte_bpe, filter_audit, katz, line_dedup, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter, warc
+from coinweir.llm import byte_bpe, filter_audit, katz, line_dedup, lloyd, neighbours, packing, quality_rules, repeats, simhash, toxicity, url_filter, warc
 from coinweir.llm.tables import remainder, stored, table
 from coinweir.llm.url_filter import ALLOW, BLOCK, Rule
 from coinweir.session import work_dir
@@ -110,6 +110,13 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    found = lloyd.cluster(table(spark, folder, "embeddings"), length=64, scale=64, k=16, rounds=3, seed=1)
+    return lloyd.with_totals(found).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     path = work_dir(spark)
@@ -143,6 +150,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_simhash": op9_simhash,
         "op10_neighbours": op10_neighbours,
+        "op11_lloyd": op11_lloyd,
         "op12_warc": op12_warc,
         "op13_filter_audit": op13_filter_audit,
     }
@@ -151,6 +159,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_url_filter": url_filter.oracle(URL_RULES),
+        "op11_lloyd": lloyd.oracle(),
         "op12_warc": warc.oracle(),
         "op13_filter_audit": filter_audit.oracle(),
     }
