@@ -122,7 +122,7 @@ def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = work_dir(spark)
     warc.write_archives(pages, path, least_bytes=1000)
     records = stored(warc.read_records(spark, path).drop("payload"))
-    captures = warc.full_payloads(warc.assemble(records))
+    captures = warc.full_payloads(stored(warc.assemble(records)))
     number = pages.schema["page_id"].dataType
     digest = F.coalesce("payload_digest", F.replace("declared_digest", F.lit("sha1:"), F.lit("")))
     return captures.select(

@@ -95,8 +95,10 @@ def decided(pages: DataFrame, id_column: str, url_column: str, payload_column: s
         compression="zstd",
     )
     top = rows.filter("same IS NOT NULL").groupBy("same").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
-    top = top.filter("n > 1").select("same", F.col("top.row").alias("top"))
-    return rows.join(top, "same", "left").select(
+    # stored, so that the join gets shuffles of its own on both sides, which adaptive execution can split; small payloads need no join
+    top = stored(top.filter("n > 1").select("same", F.col("top.row").alias("top")))
+    small = rows.filter("same IS NULL").withColumn("top", F.lit(None).cast("long"))
+    return rows.filter("same IS NOT NULL").join(top, "same", "left").unionByName(small).select(
         "id",
         "url",
         "payload",
@@ -333,7 +335,7 @@ def unassembled(records: DataFrame) -> DataFrame:
 
 def full_payloads(captures: DataFrame) -> DataFrame:
     """Captures with the `payload_bytes` of the full payload, also where a revisit left it out, and `source`, the nested row's metadata of the response that has it
-    (its own for a response). A revisit of a record that is in no archive keeps null."""
+    (its own for a response). A revisit of a record that is in no archive keeps null. Captures are joined with themselves: store them first."""
     held = captures.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("bytes_there"), F.col("metadata").alias("source")
     )
