@@ -45,7 +45,7 @@ def failures(documents: DataFrame, part: str = "lang", id_column: str = "doc_id"
     E: a document with a smaller id has the same text, wherever it is in the table. Null texts count as empty and null parts as the empty string;
     a null id is smaller than none and has none that is smaller. Repeated rows are judged one by one; rows of one id don't copy each other.
     Texts are told apart by SHA-256. The texts are read once; what is kept of them is written to the shared folder. Copies are grouped in tasks
-    before the shuffle, and the join with the first of each group can be split by adaptive execution, however many copies there are.
+    before the shuffle; the first of each group with several ids is written, so that adaptive execution can split the join, however many copies there are.
     """
     text = F.col("_text")
     rows = documents.select(
@@ -60,7 +60,7 @@ def failures(documents: DataFrame, part: str = "lang", id_column: str = "doc_id"
         )
     )
     first = rows.groupBy("same").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    return rows.join(first.drop("last"), "same", "left").select(
+    return rows.join(stored(first.drop("last")), "same", "left").select(
         "id", "part", "A", "B", "C", "D", F.coalesce(F.col("id") > F.col("first"), F.lit(False)).alias("E")
     )
 
