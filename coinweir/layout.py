@@ -36,6 +36,14 @@ class Layout:
     def staging(self) -> str:
         return self._under("staging")
 
+    @property
+    def places(self) -> str:
+        return self._under("ops", "places")
+
+    @property
+    def month_parts(self) -> str:
+        return self._under("ops", "month_parts")
+
     @property
     def late_rows(self) -> str:
         return self._under("ops", "late_rows")
