@@ -16,9 +16,10 @@ from coinweir.operators.incremental import LOOKBACK_DAYS, incremental_watermark,
 from coinweir.operators.staging import flatten_transactions, stage_transactions
 from coinweir.plans import quality
 from coinweir.schemas import STAGING
-from coinweir.sources.files import holds_file, work_folder
+from coinweir.sources.files import holds_file
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
+from coinweir.sources.month_parts import read_parts, refresh_parts
 from coinweir.sources.raw import (
     candidate_months,
     list_raw_paths,
@@ -125,24 +126,13 @@ def model_relations(
     }
 
 
-def _stored(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
-def refresh_marts(spark: SparkSession, layout: Layout) -> None:
-    """Rewrite the marts from published staging. Each reads only the columns it needs.
-
-    The dimensions are written once and read back: several marts join them, and Spark then
-    knows their size when it chooses the join.
-    """
-    staging = read_staging(spark, layout.staging).select(*STAGING.fieldNames())
-    with work_folder(spark) as folder:
-        categories = _stored(spark, model.dim_category(staging), f"{folder}/category")
-        merchants = _stored(spark, model.dim_merchant(staging), f"{folder}/merchant")
-        relations = model_relations(staging, categories, merchants)
-        for name in MARTS:
-            publish_mart(relations[name], layout.mart(name))
+def refresh_marts(spark: SparkSession, layout: Layout) -> list[str]:
+    """Rewrite the marts from aggregates by month, after those of the months that were published since have been worked out anew. Returns these months;
+    of published staging, nothing else is read."""
+    changed = refresh_parts(spark, layout)
+    for name, rows in mart_ops.marts_of_parts(read_parts(spark, layout)).items():
+        publish_mart(rows, layout.mart(name))
+    return changed
 
 
 def check_build(
