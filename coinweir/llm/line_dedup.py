@@ -1,14 +1,13 @@
 """Line deduplication by pairwise alignment.
 
-Every line has a first holder, the earliest document with it, and each later document with the line is a pair with that one; no
-pairs are made among later ones, so these pairs are at most as many as lines. A pair is an overlap if a rare line joins it, one that at
-most half of the documents have; where lines are more frequent, several must join it that amount to a passage, or the whole texts are
-equal. The two sequences of line hashes are then aligned by patience diff, and blocks of aligned lines go from the later document.
-
-A line that is left may stand in a block that the document shares with another earlier one. Such a block has a rare line and all lines
-from there to the one that is left, so only holders of this run can take it: runs that are left meet their next holders, twice as many
-in each round, until nothing is left or every earlier holder was met. The first holder of a line never loses it, for a block could take
-it only if an earlier document had it.
+Documents overlap where they share rare lines, those that at most half of the documents have. Who meets whom follows from contexts: a rare line by itself, a rare line with
+the line before or behind it, the run of lines from a rare line to a more frequent or short one near it, and a whole text. Every context has a first holder, the earliest
+document with it, and each later document with the context is a pair with that one. No pairs are made among later ones, so there are at most a few for each line,
+however many documents share it. Where lines are more frequent, several must join a pair that amount to a passage. The two sequences of line
+hashes are then aligned by patience diff, and blocks of aligned lines go from the later document.
+
+A document whose block was first somewhere else, in other company, thus also meets the earliest document that has the block's lines in the same order. The
+first holder of a line never loses it, for a block could take it only if an earlier document had it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinweir.llm.memory import keep_only
@@ -94,22 +93,21 @@ def blocks(one: list, other: list, sizes: list[int]) -> list[int]:
     return gone
 
 
-def runs(lines: list[int], sizes: list[int], frequent: frozenset[int]) -> dict[int, list[int]]:
-    """Places by the hash of the run from a place's next rare line, before or behind it, to the place itself. Clashes of hashes only
-    make pairs that have nothing to align."""
-    found: dict[int, dict[int, None]] = {}
+def contexts(lines: list[int], sizes: list[int], frequent: frozenset[int]) -> list[int]:
+    """Hashes of what surrounds the rare lines of a text: of a rare line and the line before or behind it, and of the run from a rare line
+    to each line, before or behind it, up to the next rare one. At most three for each line. Clashes of hashes only make pairs that have nothing to align."""
+    rare = [size >= LINE_CHARS and line not in frequent for line, size in zip(lines, sizes, strict=True)]
+    found = {hash((2, one, other)): None for one, other, a, b in zip(lines, lines[1:], rare, rare[1:], strict=False) if a or b}
     for way, places in enumerate((range(len(lines)), range(len(lines) - 1, -1, -1))):
-        run = None
+        run, steps = None, 0
         for place in places:
-            line = lines[place]
-            if sizes[place] >= LINE_CHARS and line not in frequent:
-                run = line
+            if rare[place]:
+                run, steps = lines[place], 0
             elif run is not None:
-                run = hash((way, run, line))
-            else:
-                continue
-            found.setdefault(run, {})[place] = None
-    return {run: list(places) for run, places in found.items()}
+                run, steps = hash((way, run, lines[place])), steps + 1
+                if steps > 1:  # one step is a pair of neighbours
+                    found[run] = None
+    return list(found)
 
 
 def _order(id_column: str, text_column: str) -> Column:
@@ -118,8 +116,8 @@ def _order(id_column: str, text_column: str) -> Column:
     return F.struct(number.isNull().alias("late"), number.alias("id"), F.xxhash64(text_of(text_column)).alias("hash"))
 
 
-def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(document, gone): the places of lines to delete, for documents that lose any. `document` is a struct of id and text hash."""
+def sequences_of(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(document, lines, sizes): hashes and lengths of the lines of each text. Rows with the same id and text are one document."""
     rows = documents.select(_order(id_column, text_column).alias("document"), F.split(text_of(text_column), "\n").alias("_lines"))
     lines = F.col("_lines")
     rows = rows.select(
@@ -127,8 +125,18 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
         F.transform(lines, lambda line: F.xxhash64(line)).alias("lines"),
         F.transform(lines, lambda line: F.length(F.trim(line))).alias("sizes"),
     )
-    # rows with the same id and text are one document
-    sequences = stored(rows.groupBy("document").agg(F.first("lines").alias("lines"), F.first("sizes").alias("sizes")))
+    return stored(rows.groupBy("document").agg(F.first("lines").alias("lines"), F.first("sizes").alias("sizes")))
+
+
+def _with_first_holder(held: DataFrame, key: str) -> DataFrame:
+    """(document, holder) for the later holders of each `key`. Its first holders are written, so that a frequent key can be split in the join."""
+    first = held.groupBy(key).agg(F.min("document").alias("holder"), F.count("*").alias("holders")).filter("holders > 1")
+    later = held.join(stored(first.drop("holders")).hint("merge"), key).filter("holder < document")
+    return later.select("document", "holder")
+
+
+def overlaps(sequences: DataFrame) -> DataFrame:
+    """(document, holder): the pairs to align, each once; at most a few for each line of a document."""
     each = sequences.select("document", F.explode(F.array_distinct(F.arrays_zip("lines", "sizes"))).alias("line"))
     each = each.select("document", F.col("line.lines").alias("line"), F.col("line.sizes").alias("size")).filter("size > 0")
     holders = each.groupBy("line").agg(F.min("document").alias("holder"), F.count("*").alias("holders"), F.max("size").alias("longest"))
@@ -142,14 +150,30 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
     pairs = joined.filter(F.col("rare") | (F.col("chars") >= PASSAGE_CHARS)).select("document", "holder")
     # equal texts overlap, however frequent their lines are
     wholes = sequences.filter(F.array_max("sizes") >= LINE_CHARS).select("document", F.xxhash64("lines").alias("whole"))
-    originals = wholes.groupBy("whole").agg(F.min("document").alias("holder"), F.count("*").alias("copies")).filter("copies > 1")
-    copies = wholes.join(stored(originals).hint("merge"), "whole").filter("holder < document")
-    pairs = pairs.union(copies.select("document", "holder")).distinct()
-    pairs = stored(pairs)
-    gone = _lost(sequences, pairs)
     # at most twice as many as a document has lines on average
     frequent = frozenset(row.line for row in holders.filter((F.col("holders") > most) & (F.col("longest") >= LINE_CHARS)).collect())
-    return _lost_to_later_holders(sequences, pairs, gone, frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
+        for batch in batches:
+            at, found = [], []
+            for place, text in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                own = contexts(*text, frequent)
+                found += own
+                at += [place] * len(own)
+            documents = batch.column(0).take(pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays([documents, pa.array(found, pa.int64())], ["document", "context"])
+
+    kind = sequences.schema["document"].dataType.simpleString()
+    around = sequences.mapInArrow(run, f"document {kind}, context bigint")
+    pairs = pairs.union(_with_first_holder(wholes, "whole")).union(_with_first_holder(around, "context"))
+    return stored(pairs.distinct())
+
+
+def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(document, gone): the places of lines to delete, for documents that lose any. `document` is a struct of id and text hash."""
+    sequences = sequences_of(documents, id_column, text_column)
+    return _lost(sequences, overlaps(sequences))
 
 
 def _lost(sequences: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -167,54 +191,9 @@ def _lost(sequences: DataFrame, pairs: DataFrame) -> DataFrame:
     kind = sequences.schema["document"].dataType.simpleString()
     found = pairs.mapInArrow(run, f"document {kind}, gone array<int>").filter("size(gone) > 0")
     # no more than the lines of a document, for each of its holders
-    return stored(_joined(found))
-
-
-def _joined(found: DataFrame) -> DataFrame:
     return found.groupBy("document").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
-def _lost_to_later_holders(sequences: DataFrame, pairs: DataFrame, gone: DataFrame, frequent: frozenset[int]) -> DataFrame:
-    """`gone` with what documents lose to others than their lines' first holders, which they met in `pairs`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
-        for batch in batches:
-            for at, each in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                if found := runs(*each, frequent):
-                    columns = [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.list_(pa.int32()))]
-                    documents = batch.column(0).take(pa.array([at] * len(found), pa.int32()))
-                    yield pa.RecordBatch.from_arrays([documents, *columns], ["document", "run", "places"])
-
-    kind = sequences.schema["document"].dataType.simpleString()
-    each = sequences.mapInArrow(run, f"document {kind}, run bigint, places array<int>")
-    shared = each.groupBy("run").agg(F.min("document").alias("holder"), F.count("*").alias("holders")).filter("holders > 1")
-    held = stored(each.join(stored(shared.select("run", "holder")).hint("merge"), "run"))
-
-    def left(rows: DataFrame, lost: DataFrame) -> DataFrame:
-        rows = rows.join(lost.hint("merge"), "document", "left")
-        return rows.withColumn("places", F.array_except("places", F.coalesce("gone", F.array().cast("array<int>")))).drop("gone").filter("size(places) > 0")
-
-    todo = stored(left(held.filter("holder < document"), gone).select("document", "run", "places"))
-    by_order = Window.partitionBy("run").orderBy("document")
-    holders = held.join(todo.select("run").distinct().hint("merge"), "run", "left_semi")
-    holders = stored(holders.select("run", F.col("document").alias("holder"), F.row_number().over(by_order).alias("number")))
-    number = holders.withColumnRenamed("holder", "document")
-    todo = stored(todo.join(number.hint("merge"), ["run", "document"]))
-    parts, first, many = [gone], 1, 1
-    while todo.limit(1).count():
-        some = holders.filter(F.col("number").between(first, first + many - 1)).select("run", "holder")
-        met = todo.join(some.hint("merge"), "run").filter("holder < document").select("document", "holder").distinct()
-        parts.append(_lost(sequences, stored(met.join(pairs.hint("merge"), ["document", "holder"], "left_anti"))))
-        first, many = first + many, 2 * many
-        # a document's own number is behind those of its earlier holders
-        todo = stored(left(todo.filter(F.col("number") > first), parts[-1]))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return _joined(every)
-
-
 def without_shared_lines(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents, their text without the lines that an earlier document has, and with `n_lines`, `n_removed`.
 

@@ -8,26 +8,43 @@ from coinweir.llm.queries import op5_line_dedup
 
 
 def plain(documents):
-    """What each (id, text) keeps, by loops."""
+    """What each (id, text) keeps, by loops over lines and contexts themselves, not their hashes."""
     order = sorted(set(documents), key=lambda each: (each[0] is None, each[0] or 0))
     lines = {each: (each[1] or "").split("\n") for each in order}
+    size = lambda line: len(line.strip(" "))
     holders = defaultdict(list)
     for each in order:
         for line in dict.fromkeys(lines[each]):
             if line.strip(" "):
                 holders[line].append(each)
-    kept = {}
+    most = max(line_dedup.RARE, int(len(order) * line_dedup.RARE_SHARE))
+    rare = lambda line: size(line) >= line_dedup.LINE_CHARS and len(holders[line]) <= most
+    first, kept = {}, {}
     for each in order:
         shared = defaultdict(list)
         for line in dict.fromkeys(lines[each]):
             if line in holders and holders[line][0] != each:
                 shared[holders[line][0]].append(line)
+        met = {
+            holder
+            for holder, common in shared.items()
+            if any(map(rare, common)) or sum(map(size, common)) >= line_dedup.PASSAGE_CHARS
+        }
+        around = {("whole", *lines[each])} if max(map(size, lines[each])) >= line_dedup.LINE_CHARS else set()
+        for way, text in (("on", lines[each]), ("back", lines[each][::-1])):
+            for start, line in enumerate(text):
+                if rare(line):
+                    around |= {("two", *sorted_pair) for sorted_pair in [tuple(text[start : start + 2][:: 1 if way == "on" else -1])] if len(sorted_pair) > 1}
+                    for end in range(start + 1, len(text)):
+                        if rare(text[end]):
+                            break
+                        around.add((way, *text[start : end + 1]))
+        for context in around:
+            if first.setdefault(context, each) != each:
+                met.add(first[context])
         gone = set()
-        for holder, common in shared.items():
-            size = lambda line: len(line.strip(" "))
-            rare = any(len(holders[line]) <= line_dedup.RARE and size(line) >= line_dedup.LINE_CHARS for line in common)
-            if rare or sum(map(size, common)) >= line_dedup.PASSAGE_CHARS:
-                gone |= set(line_dedup.blocks(lines[holder], lines[each], list(map(size, lines[each]))))
+        for holder in met:
+            gone |= set(line_dedup.blocks(lines[holder], lines[each], list(map(size, lines[each]))))
         text = "\n".join(line for place, line in enumerate(lines[each]) if place not in gone)
         kept[each] = (len(gone), text if gone else each[1])
     return kept
@@ -136,8 +153,32 @@ def test_short_lines_beside_a_line_that_another_had_first(spark):
     assert removed(spark, texts) == [0, 0, 1, 6]
 
 
-def test_every_earlier_holder_is_met(spark):
+def test_first_holders_of_contexts_are_met(spark):
     draw = random.Random(5)
     pool = [LINE.format(at) for at in range(8)] + list("abc") + [""]
     texts = ["\n".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(40)]
-    assert removed(spark, texts) == whole(texts)
+    expected = plain(list(enumerate(texts)))
+    found = removed(spark, texts)
+    assert found == [expected[each][0] for each in enumerate(texts)]
+    # no more can go than where each document meets every earlier one
+    assert all(one <= other for one, other in zip(found, whole(texts), strict=True))
+
+
+def pairs_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return line_dedup.overlaps(line_dedup.sequences_of(rows, "doc_id", "text")).count()
+
+
+def test_pairs_grow_with_documents(spark):
+    """A line above and below each text, which no alignment can fix; a passage in all; texts that are all equal."""
+    story = "read the whole story on our site"
+    passage = "\n".join(LINE.format(at) for at in range(4))
+    kinds = {
+        "twice": lambda at: f"{story}\nown text of document {at}, which no other has\n{story}",
+        "between": lambda at: f"head {at}\n{story}\nb\nc\n{story}\ntail {at}",
+        "passage": lambda at: f"head {at}\n{passage}\nfoot {at}",
+        "equal": lambda at: passage,
+    }
+    for kind, text in kinds.items():
+        few, many = (pairs_of(spark, [text(at) for at in range(n)]) for n in (100, 400))
+        assert few == 99 and many == 399, kind
