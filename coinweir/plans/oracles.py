@@ -378,6 +378,8 @@ from standing""",
   strftime(ts, '%m') as transaction_month
 from (select *, row_number() over (partition by user_id order by ts desc) as pick from standing)
 where pick = 1""",
+        "stream_moved_ids": _BOTH + f"select {_COLUMNS} from stg",
+        "stream_marts": _ALL + "select * from summary",
     }
 
 

@@ -24,6 +24,7 @@ from coinweir.plans.reconcile import reconcile
 from coinweir.schemas import PARTITION_COLUMNS, STAGING
 from coinweir.session import work_dir
 from coinweir.sources.landing import read_landed_events
+from coinweir.sources.marts import read_mart
 from coinweir.sources.raw import raw_line_keys, raw_month_counts, raw_path_keys, read_raw
 from coinweir.sources.staging import (
     publish_staging,
@@ -32,9 +33,18 @@ from coinweir.sources.staging import (
     rows_before_month,
     with_partition_columns,
 )
-from coinweir.sources.star import card_feed, event_deliveries, event_stream, feed_paths, table, with_envelope
+from coinweir.sources.star import (
+    card_feed,
+    event_deliveries,
+    event_stream,
+    feed_paths,
+    one_of_each_source,
+    table,
+    with_envelope,
+    write_incoming,
+)
 from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS, read_heartbeat
-from coinweir.streaming.ingest import land_stream, read_rejects
+from coinweir.streaming.ingest import ingest, land_stream, read_rejects
 from coinweir.vocab import MARTS, RECONCILIATION, WEBHOOK
 
 # Clock values the registered queries use in place of the current time.
@@ -181,7 +191,7 @@ def q_mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
     """The declared relationships, and webhook transactions that reconciliation never saw."""
-    deliveries = _deliveries(spark, folder)
+    deliveries = _stored(spark, _deliveries(spark, folder))
     declared = quality.relationship_checks(model_relations(keep_authoritative(deliveries)))
     unconfirmed = checks.orphans(
         _from_source(deliveries, WEBHOOK),
@@ -219,14 +229,14 @@ def dq_suite(spark: SparkSession, folder: str) -> DataFrame:
 
 def recon_raw_vs_staging(spark: SparkSession, folder: str) -> DataFrame:
     """Raw files of the webhook feed against staging of both feeds."""
-    deliveries = _deliveries(spark, folder)
+    deliveries = _stored(spark, _deliveries(spark, folder))
     keys = raw_path_keys(feed_paths(_from_source(deliveries, WEBHOOK)))
     return checks.raw_vs_staging(keys, keep_authoritative(deliveries), TODAY)
 
 
 def recon_published_vs_model(spark: SparkSession, folder: str) -> DataFrame:
     """Webhook deliveries published as they came, against the reconciled transactions."""
-    deliveries = _deliveries(spark, folder)
+    deliveries = _stored(spark, _deliveries(spark, folder))
     return checks.published_vs_model(
         _from_source(deliveries, WEBHOOK), keep_authoritative(_from_source(deliveries, RECONCILIATION))
     )
@@ -246,7 +256,7 @@ def recon_marts_vs_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 def recon_subscriptions_vs_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Recurring charges of deliveries that were not deduplicated, against the fact."""
-    deliveries = _deliveries(spark, folder)
+    deliveries = _stored(spark, _deliveries(spark, folder))
     fact = model.fct_transactions(keep_authoritative(deliveries))
     return checks.subscriptions_vs_fact(fact, model_relations(deliveries)["subscriptions"])
 
@@ -298,6 +308,28 @@ def stream_staging(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _streamed_feed(spark: SparkSession, folder: str) -> Layout:
+    """The card feed delivered as files and streamed, first the webhook's and then reconciliation, which moves ids to other months of the seven years;
+    marts are refreshed after each."""
+    layout = Layout(work_dir(spark))
+    incoming = work_dir(spark)
+    write_incoming(one_of_each_source(card_feed(spark, folder)), incoming)
+    for source in (WEBHOOK, RECONCILIATION):
+        ingest(spark, layout, f"{incoming}/{source}", source, lines=True)
+        pipeline.refresh_marts(spark, layout)
+    return layout
+
+
+def stream_moved_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging after the second feed: each id once, in the month of the copy that stands."""
+    return read_staging(spark, _streamed_feed(spark, folder).staging).select(*STAGING.fieldNames())
+
+
+def stream_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """The merchant mart put together from the months' aggregates after the second feed."""
+    return read_mart(spark, _streamed_feed(spark, folder), "merchant_summary")
+
+
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """How many bodies the same stream rejected, by reason."""
     rejected = read_rejects(spark, _streamed_events(spark, folder, rebuild=False))
@@ -369,4 +401,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_rejects": stream_rejects,
         "stream_landing": stream_landing,
         "stream_staging": stream_staging,
+        "stream_moved_ids": stream_moved_ids,
+        "stream_marts": stream_marts,
     }

@@ -6,7 +6,7 @@ event shape, so that the same operators run over it as over a real feed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coinweir.sources.files import ANY_FILE_AGE
@@ -58,6 +58,21 @@ def card_feed(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select(source.alias("source"), transaction.alias("transaction"))
 
 
+def one_of_each_source(feed: DataFrame) -> DataFrame:
+    """The events that stand among those of one id and source, by the order that staging keeps rows in."""
+    fields = ["created", "account_id", "amount", "settled", "description", "category", "notes", "decline_reason", "merchant.id"]
+    order = [F.col(f"transaction.{field}").desc_nulls_last() for field in fields]
+    ranked = feed.withColumn("_rank", F.row_number().over(Window.partitionBy("source", "transaction.id").orderBy(*order)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def write_incoming(events: DataFrame, path: str) -> None:
+    """Events of one source written as that source delivers them, as JSON lines: envelopes from the webhook, bare transactions from reconciliation."""
+    envelope = F.struct(F.lit("transaction.created").alias("type"), F.col("transaction").alias("data"))
+    events.filter(F.col("source") == WEBHOOK).select(envelope.alias("e")).select("e.*").write.json(f"{path}/{WEBHOOK}")
+    events.filter(F.col("source") == RECONCILIATION).select("transaction.*").write.json(f"{path}/{RECONCILIATION}")
+
+
 def feed_paths(staging_rows: DataFrame) -> DataFrame:
     """The raw file path each delivery would land under."""
     day = F.replace(F.col("created_at").cast("date").cast("string"), F.lit("-"), F.lit("/"))
