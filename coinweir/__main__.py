@@ -1,7 +1,7 @@
 """Command line: build, ingest, watch, query and check a layout.
 
     python -m coinweir BASE build [--full-refresh] [--source landing] [--lines]
-    python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute"] [--land-only]
+    python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute" | --sweep] [--land-only]
     python -m coinweir BASE watch [--source landing] [--lines] [--every "1 minute"]
     python -m coinweir BASE sql ["select * from subscriptions"] [--rows 100 | --into FOLDER]
     python -m coinweir BASE health
@@ -21,7 +21,7 @@ from coinweir.plans.api import for_presentation, run_sql
 from coinweir.plans.pipeline import LANDING, RAW, build
 from coinweir.session import session_builder
 from coinweir.streaming.heartbeat import liveness
-from coinweir.streaming.ingest import ingest, start_ingest
+from coinweir.streaming.ingest import ingest, start_ingest, sweep
 from coinweir.streaming.rebuild import start_landing_watch, start_raw_watch
 from coinweir.vocab import RECONCILIATION, WEBHOOK
 
@@ -41,7 +41,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     taken.add_argument("folder")
     taken.add_argument("--source", choices=[WEBHOOK, RECONCILIATION], default=WEBHOOK)
     taken.add_argument("--lines", action="store_true")
-    taken.add_argument("--every")
+    how = taken.add_mutually_exclusive_group()
+    how.add_argument("--every")
+    how.add_argument("--sweep", action="store_true", help="move files to the archive instead of remembering them")
     taken.add_argument("--land-only", action="store_true")
     watched = actions.add_parser("watch")
     watched.add_argument("--source", choices=[RAW, LANDING], default=RAW)
@@ -67,7 +69,8 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
             started = start_ingest(spark, layout, given.folder, every=given.every, **options)
             started.query.awaitTermination()
         else:
-            print(f"landed {ingest(spark, layout, given.folder, **options).landed}")
+            take = sweep if given.sweep else ingest
+            print(f"landed {take(spark, layout, given.folder, **options).landed}")
     elif given.action == "watch" and given.source == LANDING:
         start_landing_watch(spark, layout, given.every).awaitTermination()
     elif given.action == "watch":

@@ -32,6 +32,9 @@ class Layout:
     def rejects(self) -> str:
         return self._under("rejects")
 
+    def archive(self, source: str) -> str:
+        return self._under("archive", source)
+
     @property
     def staging(self) -> str:
         return self._under("staging")
