@@ -35,7 +35,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings of special tokens are found in texts as they are, before letters are lower-cased; chunks are lower-cased already
+        self._special = [token.content.encode() for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._tokenizer.encode_special_tokens = True
         self._chunks = Memory(REMEMBERED)
 
     def forget(self) -> None:
@@ -68,9 +70,21 @@ class Encoder:
         """The ids of each text as little-endian unsigned 32-bit numbers. A-Z may be lower-cased first, as the tokenizer does it
         with all letters."""
         self._chunks.turn()
-        cut = [text.encode().lower().split() for text in texts]
-        self._learn(set().union(*cut))
-        return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
+        data = [text.encode() for text in texts]
+        cut = [None if any(special in text for special in self._special) else text.lower().split() for text in data]
+        self._learn(set().union(*(chunks for chunks in cut if chunks is not None)))
+        return [
+            self._whole(text) if chunks is None else b"".join(map(self._chunks.__getitem__, chunks))
+            for text, chunks in zip(texts, cut, strict=True)
+        ]
+
+    def _whole(self, text: str) -> bytes:
+        """The ids of a text that holds the string of a special token."""
+        self._tokenizer.encode_special_tokens = False
+        try:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        finally:
+            self._tokenizer.encode_special_tokens = True
 
 
 _encoders: dict[str, Encoder] = held_by("packing")

@@ -60,7 +60,6 @@ def test_lengths_that_no_sequence_holds():
 
 def check(rows, texts, capacity, counts=None):
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     by_document, sequences = defaultdict(list), defaultdict(list)
     for row in rows:
         by_document[row.doc_id].append(row)
@@ -103,3 +102,15 @@ def test_repeated_rows_each_get_a_place(spark):
     rows = packing.pack(made, 10).collect()
     assert len({(row.sequence_id, row.offset) for row in rows}) == 9
     assert len({row.sequence_id for row in rows}) == 5
+
+
+def test_strings_of_special_tokens():
+    """As the library takes them: a special token where the string is written as it is, ordinary text otherwise."""
+    library = Tokenizer.from_file(PATH)
+    special = [token.content for token in library.get_added_tokens_decoder().values()]
+    assert "<|startoftext|>" in special
+    texts = [f"{before}{mark}{behind}" for mark in [*special, special[0].upper(), special[0][:-1]] for before in ("", "a ", "A.") for behind in ("", " B", "c,")]
+    encoder = packing.Encoder(PATH)
+    for text, found in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(["a <|startoftext|> b"])[0], "<u4").tolist() == [320, 49406, 321]
