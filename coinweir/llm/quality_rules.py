@@ -2,8 +2,9 @@
 
 Each rule compares one signal of a text with a cutoff. Labelled documents are the holdout: for every stratum, rule and candidate
 cutoff, the good ones that the cutoff would reject are counted, and an exact binomial test asks whether their share among all
-good documents of that stratum could still exceed the limit. The limit is shared out over the rules and the error level over all
-tests (Bonferroni), so that with probability 1 - `error` no stratum loses more than `limit` of its good documents. Of the cutoffs that pass,
+good documents of that stratum could still exceed the limit. The limit is shared out over the rules and the error level over rules and
+strata (Bonferroni). The cutoffs of a rule are tested from the loosest down and none behind one that fails, which needs no correction of its own; a lower
+cutoff rejects no fewer documents, so those that pass come first. So, with probability 1 - `error` no stratum loses more than `limit` of its good documents. Of the cutoffs that pass,
 the lowest is used; a rule without one rejects nothing in that stratum.
 """
 
@@ -149,8 +150,7 @@ def cutoffs(good: DataFrame, stratum: str, limit: float, error: float) -> DataFr
             for place, cutoff in enumerate(candidates)
         ],
     )
-    tests = sum(map(len, CUTOFFS.values()))
-    strata = counts.agg((F.count("*") * tests).alias("_tests"))
+    strata = counts.agg((F.count("*") * len(CUTOFFS)).alias("_tests"))
     level = F.lit(error) / F.col("_tests")
     chosen = [
         F.coalesce(
@@ -177,12 +177,13 @@ def judge(
 
     `labels` has the id and `quality`, 1 for good; of several labels of a document the lowest counts, null labels and null ids are
     passed over. Documents with a null or empty text have no words and fail the base rules. Repeated rows are judged alike, once
-    each. Without labels no cutoff is certain, so that only the base rules reject. Measures are written once, because they
+    each; the holdout counts a document once, by its largest measures. Without labels no cutoff is certain, so that only the base rules reject. Measures are written once, because they
     serve the choice of cutoffs and its use.
     """
     measured = stored(with_shares(signals(documents, [id_column, stratum], text_column)).withColumn("base_failed", base_failed()))
     good = labels.groupBy(id_column).agg(F.min("quality").alias("_quality")).filter("_quality = 1").select(id_column)
     held = measured.filter(~F.col("base_failed")).join(good, id_column, "left_semi")
+    held = held.groupBy(id_column, stratum).agg(*[F.max(signal).alias(signal) for signal in CUTOFFS])  # repeated rows are no further trials
     found = cutoffs(held, stratum, limit, error)
     key = fresh("stratum", measured.columns)
     found = found.withColumnRenamed(stratum, key)

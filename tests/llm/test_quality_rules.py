@@ -61,7 +61,7 @@ def test_cutoffs_keep_the_limit_in_each_stratum(spark):
     assert found["noisy"].symbol_share_cutoff == 0.5
     assert found["calm"].symbol_share_cutoff == 0.01
     assert found["few"].symbol_share_cutoff is None
-    tests = 3 * sum(map(len, quality_rules.CUTOFFS.values()))
+    tests = 3 * len(quality_rules.CUTOFFS)
     assert tail(4000, 2, 0.01) <= 0.05 / tests < tail(4000, 200, 0.01)
 
 
@@ -75,6 +75,16 @@ def test_nulls_repeats_and_no_labels(spark):
     assert quality_rules.judge(documents.limit(0), spark.createDataFrame([], "doc_id int, quality int")).count() == 0
 
 
+def test_repeated_rows_are_one_trial(spark):
+    """60 good documents say nothing about 0.5 %, however often one of them is repeated."""
+    draw = [" ".join(f"word{at}x{word}" for word in range(60)) for at in range(60)]
+    rows = [(at, text, "en") for at, text in enumerate(draw)]
+    rows += [(0, draw[0], "en")] * 2000 + [(99, draw[0] + " " + "#" * 400, "en")]
+    documents = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    labels = spark.createDataFrame([(at, 1) for at in range(60)], "doc_id int, quality int")
+    assert all(row.kept for row in quality_rules.judge(documents, labels).collect())
+
+
 def test_no_python_in_the_plan(spark, folder):
     plan = op3_quality_rules(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
