@@ -3,6 +3,7 @@
     python -m coinweir BASE build [--full-refresh] [--source landing] [--lines]
     python -m coinweir BASE ingest FOLDER [--source reconciliation] [--lines] [--every "1 minute" | --sweep] [--land-only]
     python -m coinweir BASE watch [--source landing] [--lines] [--every "1 minute"]
+    python -m coinweir BASE compact [--keep-hours 168]
     python -m coinweir BASE sql ["select * from subscriptions"] [--rows 100 | --into FOLDER]
     python -m coinweir BASE health
 
@@ -20,6 +21,7 @@ from coinweir.layout import Layout
 from coinweir.plans.api import for_presentation, run_sql
 from coinweir.plans.pipeline import LANDING, RAW, build
 from coinweir.session import session_builder
+from coinweir.sources.compaction import KEEP_HOURS, compact_landing
 from coinweir.streaming.heartbeat import liveness
 from coinweir.streaming.ingest import ingest, start_ingest, sweep
 from coinweir.streaming.rebuild import start_landing_watch, start_raw_watch
@@ -49,6 +51,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     watched.add_argument("--source", choices=[RAW, LANDING], default=RAW)
     watched.add_argument("--lines", action="store_true")
     watched.add_argument("--every")
+    compacted = actions.add_parser("compact", help="fold closed landing months")
+    compacted.add_argument("--keep-hours", type=float, default=KEEP_HOURS)
     asked = actions.add_parser("sql")
     asked.add_argument("text", nargs="?")
     asked.add_argument("--rows", type=int, default=SHOWN_ROWS)
@@ -75,6 +79,8 @@ def run(spark: SparkSession, given: argparse.Namespace) -> int:
         start_landing_watch(spark, layout, given.every).awaitTermination()
     elif given.action == "watch":
         start_raw_watch(spark, layout, given.lines, given.every).awaitTermination()
+    elif given.action == "compact":
+        print(f"folded {len(compact_landing(spark, layout, keep_hours=given.keep_hours))} months")
     elif given.action == "sql":
         for number, result in enumerate(run_sql(spark, layout, given.text)):
             if given.into:
