@@ -98,7 +98,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return values.join(known, "value", "left_anti")
 
 
-def _compare_ids(left: DataFrame, right: DataFrame) -> DataFrame:
+def compare_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows per id on each side, in one shuffle: NULL counts as an id, and an id with many
     rows is counted inside the tasks that read it."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
@@ -120,14 +120,14 @@ def raw_vs_staging(raw_keys: DataFrame, staging: DataFrame, today: datetime | st
     raw = raw_keys.filter(F.col("path_date") < day)
     staged = staging.filter(F.col("created_at") < day.cast("timestamp_ntz"))
     left, right = F.col("n_left") > 0, F.col("n_right") > 0
-    return _issues(_compare_ids(raw, staged), {RAW_NOT_STAGED: left & ~right, STAGED_NOT_RAW: right & ~left})
+    return _issues(compare_ids(raw, staged), {RAW_NOT_STAGED: left & ~right, STAGED_NOT_RAW: right & ~left})
 
 
 def published_vs_model(published: DataFrame, model: DataFrame) -> DataFrame:
     """Ids missing from, unexpected in, and repeated in the published rows."""
     in_published, in_model = F.col("n_left") > 0, F.col("n_right") > 0
     return _issues(
-        _compare_ids(published, model),
+        compare_ids(published, model),
         {
             MODEL_NOT_PUBLISHED: in_model & ~in_published,
             PUBLISHED_NOT_MODEL: in_published & ~in_model,

@@ -176,6 +176,20 @@ def oracle_sql() -> dict[str, str]:
 select '{RAW_NOT_STAGED}' as issue, transaction_id from landed anti join staged using (transaction_id)
 union all
 select '{STAGED_NOT_RAW}', transaction_id from staged anti join landed using (transaction_id)"""
+    )
+    recon_published_vs_model = (
+        _with(
+            _DELIVERIES,
+            " published as (select transaction_id, count(*) as n from deliveries "
+            "where ingestion_source = 'webhook' group by all)",
+            " model as (select distinct transaction_id from deliveries where ingestion_source = 'reconciliation')",
+        )
+        + f"""select '{MODEL_NOT_PUBLISHED}' as issue, transaction_id
+from model anti join published using (transaction_id)
+union all
+select '{PUBLISHED_NOT_MODEL}', transaction_id from published anti join model using (transaction_id)
+union all
+select '{PUBLISHED_TWICE}', transaction_id from published where n > 1"""
     )
     return {
         "raw_scan": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
@@ -311,18 +325,9 @@ select signal, last_at, max_hours,
 from signals""",
         "dq_suite": _ALL + _suite_sql(),
         "recon_raw_vs_staging": recon_raw_vs_staging,
-        "recon_published_vs_model": _with(
-            _DELIVERIES,
-            " published as (select transaction_id, count(*) as n from deliveries "
-            "where ingestion_source = 'webhook' group by all)",
-            " model as (select distinct transaction_id from deliveries where ingestion_source = 'reconciliation')",
-        )
-        + f"""select '{MODEL_NOT_PUBLISHED}' as issue, transaction_id
-from model anti join published using (transaction_id)
-union all
-select '{PUBLISHED_NOT_MODEL}', transaction_id from published anti join model using (transaction_id)
-union all
-select '{PUBLISHED_TWICE}', transaction_id from published where n > 1""",
+        "recon_raw_by_month": recon_raw_vs_staging,
+        "recon_published_vs_model": recon_published_vs_model,
+        "recon_published_by_month": recon_published_vs_model,
         "recon_marts_vs_fact": _with(_DELIVERIES, _STG, _marts("deliveries"))
         + f""", sums as ({sums})
 select check_name, published_value, expected_value, published_value - expected_value as difference
@@ -371,6 +376,9 @@ from deliveries where created_at >= timestamp '{r.LOOKBACK_AS_OF}' - interval 24
         "stream_landing": _STREAMED
         + """select 'webhook' as source, 'tx_' || user_id as id, user_id::varchar as account_id,
   amount, replace(ts::varchar, ' ', 'T') || 'Z' as created
+from standing""",
+        "landing_compacted": _STREAMED
+        + """select 'webhook' as source, 'tx_' || user_id as transaction_id, 'webhook' as meta_source, ts::date::timestamp as created_date
 from standing""",
         "stream_staging": _STREAMED
         + """select 'tx_' || user_id as transaction_id, user_id::varchar as account_id,

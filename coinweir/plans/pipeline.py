@@ -14,9 +14,10 @@ from coinweir.operators import checks, model
 from coinweir.operators import marts as mart_ops
 from coinweir.operators.incremental import LOOKBACK_DAYS, incremental_watermark, union_window
 from coinweir.operators.staging import flatten_transactions, stage_transactions
-from coinweir.plans import quality
+from coinweir.plans import completeness, quality
 from coinweir.schemas import STAGING
-from coinweir.sources.files import holds_file
+from coinweir.session import work_dir
+from coinweir.sources.files import holds_file, work_folder
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
 from coinweir.sources.month_parts import read_parts, refresh_parts
@@ -142,23 +143,26 @@ def check_build(
     source: str = RAW,
     as_of: datetime | None = None,
     lines: bool = False,
+    work: str | None = None,
 ) -> DataFrame:
     """Summary of all checks, read back from what was published.
 
-    The published ids are compared with the ids of the events themselves: which copy of a
-    delivery stands does not change the set of ids. Raw files of one event are compared by their names, of the
+    The published ids are compared with the ids of the events themselves, month by month: which copy of a
+    delivery stands does not change the set of ids. Ids that are astray are written to `work`. Raw files of one event are compared by their names, of the
     months that the build read; files of JSON lines by the ids and dates in them.
     """
-    staging = read_staging(spark, layout.staging).select(*STAGING.fieldNames())
+    work = work or work_dir(spark)
+    published = read_staging(spark, layout.staging)
+    staging = published.select(*STAGING.fieldNames())
     marts = {name: read_mart(spark, layout, name) for name in MARTS}
     relations = {**model_relations(staging), **marts, "stg_transactions": staging}
     fact = relations["fct_transactions"]
 
-    model_ids = flatten_transactions(window.events).select("transaction_id")
+    model_ids = flatten_transactions(window.events).select("transaction_id", "created_at")
     if window.scan_from is not None:
-        earlier = rows_before_month(read_staging(spark, layout.staging), window.scan_from)
-        model_ids = model_ids.unionByName(earlier.select("transaction_id"))
-    staged = staging
+        earlier = rows_before_month(published, window.scan_from)
+        model_ids = model_ids.unionByName(earlier.select("transaction_id", "created_at"))
+    staged = published
     if source == LANDING:
         keys = landed_keys(spark, layout.landing)
     elif lines:
@@ -167,10 +171,14 @@ def check_build(
         keys = raw_path_keys(list_raw_paths(spark, layout.raw, window.folders))
     if window.folders is not None:
         keys = keys.filter(F.col("path_date") >= F.lit(window.scan_from))
-        staged = staging.filter(F.col("created_at") >= lit_time(window.scan_from))
+        staged = published.filter(F.col("created_at") >= lit_time(window.scan_from))
     reconciliations = [
-        quality.Check("raw vs staging", quality.ERROR, checks.raw_vs_staging(keys, staged, as_of)),
-        quality.Check("published vs model", quality.ERROR, checks.published_vs_model(staging, model_ids)),
+        quality.Check(
+            "raw vs staging", quality.ERROR, completeness.raw_vs_staging(keys, staged, as_of, f"{work}/raw")
+        ),
+        quality.Check(
+            "published vs model", quality.ERROR, completeness.published_vs_model(published, model_ids, f"{work}/model")
+        ),
         quality.Check(
             "marts vs fact",
             quality.ERROR,
@@ -198,4 +206,5 @@ def build(
     window = plan_window(spark, layout, source, full_refresh, lookback_days, as_of, lines)
     publish_window(layout, window)
     refresh_marts(spark, layout)
-    return quality.enforce(check_build(spark, layout, window, source, as_of, lines))
+    with work_folder(spark) as work:
+        return quality.enforce(check_build(spark, layout, window, source, as_of, lines, work))

@@ -18,12 +18,13 @@ from coinweir.operators import backfill, checks, incremental, model, queries
 from coinweir.operators.events import validate_events
 from coinweir.operators.landing import resolve_deliveries
 from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions
-from coinweir.plans import api, pipeline, quality
+from coinweir.plans import api, completeness, pipeline, quality
 from coinweir.plans.pipeline import model_relations
 from coinweir.plans.reconcile import reconcile
 from coinweir.schemas import PARTITION_COLUMNS, STAGING
 from coinweir.session import work_dir
-from coinweir.sources.landing import read_landed_events
+from coinweir.sources.compaction import compact_landing
+from coinweir.sources.landing import read_landed_events, read_landing
 from coinweir.sources.marts import read_mart
 from coinweir.sources.raw import raw_line_keys, raw_month_counts, raw_path_keys, read_raw
 from coinweir.sources.staging import (
@@ -242,6 +243,21 @@ def recon_published_vs_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def recon_raw_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files of the webhook feed against published staging of both feeds, through digests of months."""
+    deliveries = _stored(spark, _deliveries(spark, folder))
+    keys = raw_path_keys(feed_paths(_from_source(deliveries, WEBHOOK)))
+    published = read_staging(spark, _published(spark, keep_authoritative(deliveries)))
+    return completeness.raw_vs_staging(keys, published, TODAY, work_dir(spark))
+
+
+def recon_published_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Webhook deliveries against the reconciled transactions, through digests of months."""
+    deliveries = _stored(spark, _deliveries(spark, folder))
+    reconciled = keep_authoritative(_from_source(deliveries, RECONCILIATION))
+    return completeness.published_vs_model(_from_source(deliveries, WEBHOOK), reconciled, work_dir(spark))
+
+
 def recon_marts_vs_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Marts built from deliveries that were not deduplicated, against the fact."""
     deliveries = _stored(spark, _deliveries(spark, folder))
@@ -300,6 +316,16 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def landing_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same copies after every month was folded and its former files were removed."""
+    layout = _streamed_events(spark, folder, rebuild=False)
+    for _ in range(2):
+        compact_landing(spark, layout, as_of="2100-01-01", keep_hours=0)
+    return read_landing(spark, layout.landing).select(
+        "source", "transaction_id", "meta_source", F.col("created_date").cast("timestamp_ntz").alias("created_date")
+    )
+
+
 def stream_staging(spark: SparkSession, folder: str) -> DataFrame:
     """The staging months that the same stream rebuilt."""
     layout = _streamed_events(spark, folder, rebuild=True)
@@ -389,6 +415,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_suite": dq_suite,
         "recon_raw_vs_staging": recon_raw_vs_staging,
         "recon_published_vs_model": recon_published_vs_model,
+        "recon_raw_by_month": recon_raw_by_month,
+        "recon_published_by_month": recon_published_by_month,
         "recon_marts_vs_fact": recon_marts_vs_fact,
         "recon_subscriptions_vs_fact": recon_subscriptions_vs_fact,
         "landing_precedence": landing_precedence,
@@ -400,6 +428,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconcile_heartbeat": reconcile_heartbeat,
         "stream_rejects": stream_rejects,
         "stream_landing": stream_landing,
+        "landing_compacted": landing_compacted,
         "stream_staging": stream_staging,
         "stream_moved_ids": stream_moved_ids,
         "stream_marts": stream_marts,
