@@ -21,10 +21,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCHEME = r"(?s)^(.*?)://"
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
-CANONICAL_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH_TAG = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)"
-REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'>\s]+)"
+# A tag ends at the next `<` at the latest, so that broken pages take no longer to search.
+CANONICAL_TAG = r"""(?is)<link\s(?:[^<>]*\s)?rel\s*=\s*(?:"(?:[^"<>]*\s)?|'(?:[^'<>]*\s)?|)canonical(?:["'\s/][^<>]*)?>"""
+REFRESH_TAG = r"""(?is)<meta\s(?:[^<>]*\s)?http-equiv\s*=\s*["']?\s*refresh(?:["'\s/][^<>]*)?>"""
+HREF = r"""(?is)\shref\s*=\s*("[^"<>]*"|'[^'<>]*'|[^"'<>\s]+)"""
+REFRESH_URL = r"""(?is)\burl\s*=\s*["']?([^"'<>\s]+)"""
+AROUND = r"""^["'\s]+|["'\s]+$"""
+DOTS = r"/\.{1,2}(/|$)"
+# Character references that urls are written with. `&` comes last, so that nothing is read twice.
+REFERENCES = [("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#x26;", "&"), ("&#38;", "&"), ("&amp;", "&")]
 FRAGMENT = r"(?s)#.*$"
 
 
@@ -71,23 +76,49 @@ def node_of(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), named)
 
 
+def without_dots(path: Column) -> Column:
+    """A path after its segments `.` and `..` have taken effect."""
+    closed = F.when(path.rlike(r"/\.{1,2}$"), F.concat(path, F.lit("/"))).otherwise(path)
+
+    def step(walked: Column, part: Column) -> Column:
+        up = F.regexp_replace(walked, "/[^/]*$", "")
+        return F.when(part == ".", walked).when(part == "..", up).otherwise(F.concat(walked, F.lit("/"), part))
+
+    walked = F.aggregate(F.split(F.substr(closed, F.lit(2)), "/"), F.lit(""), step)
+    return F.when(path.rlike(DOTS), walked).otherwise(path)
+
+
+def absolute(target: Column, url: Column) -> Column:
+    """A link's target as it stands in a page, made absolute by the page's url."""
+    head = F.concat(F.regexp_extract(url, SCHEME, 1), F.lit("://"), host_of(url))
+    folder = F.regexp_replace(path_of(url), "[^/]*$", "")
+    own, query = F.regexp_extract(target, r"(?s)^[^?#]*", 0), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    return (
+        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(url, SCHEME, 1), F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(head, without_dots(own), query))
+        .when(target.startswith("?"), F.concat(head, path_of(url), target))
+        .otherwise(F.concat(head, without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), own)), query))
+    )
+
+
 def links_of(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
-    """(src, dst) of the pages' canonical links and refresh redirects. Targets are taken as absolute, without scheme (`//host/path`)
-    or below the page's host (`/path`); others name no page of their own and are passed over."""
+    """(src, dst) of all canonical links and refresh redirects of the pages. `canonical` may be one of several words of a link's rel. Character
+    references of urls are read, and targets without a host are taken from the page's own url; a `base` tag isn't looked at."""
     url, html = F.col("url"), F.col("html")
-    targets = F.array(
-        F.regexp_extract(F.regexp_extract(html, CANONICAL_TAG, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_URL, 1),
-    )
     rows = pages.select(F.col(url_column).alias("url"), F.col(html_column).alias("html"))
-    rows = rows.select("url", F.explode(targets).alias("target")).filter("target <> ''")
-    target, scheme = F.col("target"), F.regexp_extract(url, SCHEME, 1)
-    absolute = (
-        F.when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), target))
-        .otherwise(target)
-    )
-    return rows.select(node_of(url).alias("src"), node_of(absolute).alias("dst")).filter("src IS NOT NULL AND dst IS NOT NULL")
+
+    def targets(tag: str, at: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda each: F.regexp_extract(each, at, 1))
+
+    found = F.concat(targets(CANONICAL_TAG, HREF), targets(REFRESH_TAG, REFRESH_URL))
+    rows = rows.select("url", F.explode(F.array_distinct(found)).alias("target"))
+    target = F.regexp_replace("target", AROUND, "")
+    for written, meant in REFERENCES:
+        target = F.replace(target, F.lit(written), F.lit(meant))
+    rows = rows.select("url", target.alias("target")).filter("target <> '' AND NOT startswith(target, '#')")
+    links = rows.select(node_of(url).alias("src"), node_of(absolute(F.col("target"), url)).alias("dst"))
+    return links.filter("src IS NOT NULL AND dst IS NOT NULL")
 
 
 def blocked_aliases(edges: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -152,16 +183,33 @@ def oracle(rules: list[Rule]) -> str:
         head = f"regexp_extract({plain}, '(?s)^(.*?://)', 1)"
         return f"CASE WHEN contains({url}, '://') THEN {head} || {host.format(plain)} || regexp_replace({plain}, {_sql(HOST)}, '') END"
 
-    def target(tag: str, url: str) -> str:
-        return f"SELECT url, regexp_extract(regexp_extract(html, {_sql(tag)}, 0), {_sql(url)}, 1) AS target FROM pages"
+    def target(tag: str, at: str) -> str:
+        return f"SELECT url, regexp_extract(unnest(regexp_extract_all(html, {_sql(tag)}, 0)), {_sql(at)}, 1) AS target FROM pages"
+
+    def dotless(text: str) -> str:
+        closed = f"CASE WHEN regexp_matches({text}, '/\\.{{1,2}}$') THEN ({text}) || '/' ELSE {text} END"
+        step = "CASE part WHEN '.' THEN walked WHEN '..' THEN regexp_replace(walked, '/[^/]*$', '') ELSE walked || '/' || part END"
+        walked = f"list_reduce(string_split(substr({closed}, 2), '/'), lambda walked, part: {step}, '')"
+        return f"CASE WHEN regexp_matches({text}, {_sql(DOTS)}) THEN {walked} ELSE {text} END"
 
     scheme = f"regexp_extract(url, {_sql(SCHEME)}, 1)"
+    head = f"{scheme} || '://' || {host.format('url')}"
+    page, own, query = path.format("url"), "regexp_extract(target, '(?s)^[^?#]*', 0)", "regexp_extract(target, '(?s)^[^?#]*(.*)$', 1)"
+    folder = f"regexp_replace({page}, '[^/]*$', '')"
+    below = f"(CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || {own})"
+    read = f"regexp_replace(target, {_sql(AROUND)}, '', 'g')"
+    for written, meant in REFERENCES:
+        read = f"replace({read}, {_sql(written)}, {_sql(meant)})"
     absolute = (
-        f"CASE WHEN starts_with(target, '//') THEN {scheme} || ':' || target "
-        f"WHEN starts_with(target, '/') THEN {scheme} || '://' || {host.format('url')} || target ELSE target END"
+        f"CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN target "
+        f"WHEN starts_with(target, '//') THEN {scheme} || ':' || target "
+        f"WHEN starts_with(target, '/') THEN {head} || ({dotless(own)}) || {query} "
+        f"WHEN starts_with(target, '?') THEN {head} || {page} || target "
+        f"ELSE {head} || ({dotless(below)}) || {query} END"
     )
     return f"""WITH RECURSIVE targets AS ({target(CANONICAL_TAG, HREF)} UNION ALL {target(REFRESH_TAG, REFRESH_URL)}),
-absolute AS (SELECT url, {absolute} AS target FROM targets WHERE target <> ''),
+meant AS (SELECT url, {read} AS target FROM targets),
+absolute AS (SELECT url, {absolute} AS target FROM meant WHERE target <> '' AND NOT starts_with(target, '#')),
 links AS (SELECT {node("url")} AS src, {node("target")} AS dst FROM absolute),
 edges AS (SELECT src, dst FROM links WHERE src <> dst UNION SELECT dst, src FROM links WHERE src <> dst),
 reach AS (SELECT src, dst FROM edges UNION SELECT reach.src, edges.dst FROM reach JOIN edges ON reach.dst = edges.src),

@@ -77,3 +77,65 @@ def test_query_against_sql(spark, folder):
     database.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet'")
     expected = database.execute(url_filter.oracle(URL_RULES)).fetchall()
     assert by_id(op7_url_filter(spark, folder).collect()) == by_id(expected)
+
+
+BAD = "http://a.net/d/e.html?x=1&y=2"
+#: Links to BAD as pages write them, each from a page of its own, and whether they count.
+WRITTEN = [
+    ('<link rel="canonical" href="http://a.net/d/e.html?x=1&amp;y=2">', "http://p.test/", True),
+    ("<LINK REL='nofollow canonical' HREF='http://A.net/d/e.html?x=1&#38;y=2' />", "http://p.test/", True),
+    ('<link rel=canonical href=http://a.net/d/e.html?x=1&y=2>', "http://p.test/", True),
+    ('<link rel="stylesheet" href="/s.css"><link rel="canonical" href=" http://a.net/d/e.html?x=1&amp;y=2#top ">', "http://p.test/", True),
+    ('<link rel="canonical" href="http://q.test/1"><link href="http://a.net/d/e.html?x=1&amp;y=2" rel="canonical">', "http://p.test/", True),
+    ("<meta content='3; URL=http://a.net/d/e.html?x=1&amp;y=2' http-equiv=Refresh>", "http://p.test/", True),
+    ('<meta http-equiv="refresh" content="0"><meta http-equiv="refresh" content="0;url=http://a.net/d/e.html?x=1&y=2">', "http://p.test/", True),
+    ('<link rel="canonical" href="//a.net/d/e.html?x=1&y=2">', "http://p.test/", True),
+    ('<link rel="non-canonical" href="http://a.net/d/e.html?x=1&y=2">', "http://p.test/", False),
+    ('<link data-rel="canonical" href="http://a.net/d/e.html?x=1&y=2">', "http://p.test/", False),
+    ('<link rel="canonical" data-href="http://a.net/d/e.html?x=1&y=2">', "http://p.test/", False),
+    ('<link rel="canonical" href="mailto:a@a.net"><link rel="canonical" href="#top"><link rel="canonical" href="">', "http://p.test/", False),
+    ('<link <p rel="canonical" href="http://a.net/d/e.html?x=1&y=2">', "http://p.test/", False),
+    ("<link rel=canonical href=" * 20_000, "http://p.test/", False),
+]
+
+
+def test_all_links_as_pages_write_them(spark):
+    rows = [(at, f"{url}{at}", html) for at, (html, url, _) in enumerate(WRITTEN)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    rules = [Rule(BLOCK, "a.net", "/d/")]
+    found = {row.page_id: row.verdict for row in url_filter.judge(pages, rules).collect()}
+    assert found == {at: BLOCK if counts else ALLOW for at, (*_, counts) in enumerate(WRITTEN)}
+    database = duckdb.connect()
+    database.execute("CREATE TABLE pages(page_id INT, url VARCHAR, html VARCHAR)")
+    database.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert by_id(database.execute(url_filter.oracle(rules)).fetchall()) == by_id(url_filter.judge(pages, rules).collect())
+
+
+#: Targets below http://H.test/a/b/c?q (the examples of RFC 3986, section 5.4, and empty paths).
+RELATIVE = [
+    ("http://H.test/a/b/c?q", "g", "http://h.test/a/b/g"),
+    ("http://H.test/a/b/c?q", "./g", "http://h.test/a/b/g"),
+    ("http://H.test/a/b/c?q", "g/", "http://h.test/a/b/g/"),
+    ("http://H.test/a/b/c?q", "/g", "http://h.test/g"),
+    ("http://H.test/a/b/c?q", "?y", "http://h.test/a/b/c?y"),
+    ("http://H.test/a/b/c?q", "g?y/../z", "http://h.test/a/b/g?y/../z"),
+    ("http://H.test/a/b/c?q", ".", "http://h.test/a/b/"),
+    ("http://H.test/a/b/c?q", "..", "http://h.test/a/"),
+    ("http://H.test/a/b/c?q", "../g", "http://h.test/a/g"),
+    ("http://H.test/a/b/c?q", "../../g", "http://h.test/g"),
+    ("http://H.test/a/b/c?q", "../../../../g", "http://h.test/g"),
+    ("http://H.test/a/b/c?q", "/./g/../x", "http://h.test/x"),
+    ("http://H.test/a/b/c?q", "g..", "http://h.test/a/b/g.."),
+    ("http://H.test/a/b/c?q", "..g/./h", "http://h.test/a/b/..g/h"),
+    ("http://H.test", "g", "http://h.test/g"),
+    ("http://H.test?q", "g", "http://h.test/g"),
+]
+
+
+def test_relative_targets(spark):
+    rows = spark.createDataFrame(RELATIVE, "url string, target string, expected string")
+    found = rows.select("expected", url_filter.absolute(F.col("target"), F.col("url")).alias("found")).collect()
+    assert [row.found for row in found] == [row.expected for row in found]
+    pages = [(at, url, f'<link rel="canonical" href="{target}">') for at, (url, target, _) in enumerate(RELATIVE)]
+    links = url_filter.links_of(spark.createDataFrame(pages, "page_id int, url string, html string"), "url", "html")
+    assert sorted(row.dst for row in links.collect()) == sorted(expected for *_, expected in RELATIVE)
