@@ -492,7 +492,7 @@ def score(documents: DataFrame, training: Column, id_column: str = "doc_id", tex
     answers = counted.filter("kind = 'block'").select(
         "block", F.lit(-1).alias("turn"), *[F.lit(None).cast(asked[name].dataType).alias(name) for name in ("ids", "flags", "sizes", "texts")], *columns
     )
-    together = answers.unionByName(sent).repartition("block").sortWithinPartitions("block", "turn", "part")
+    together = answers.unionByName(sent).repartition(partitions, "block").sortWithinPartitions("block", "turn", "part")
     scored = stored(together.mapInArrow(scoring, result))
 
     masses = scored.filter("head IS NOT NULL").groupBy("head").agg(F.sum("mass").alias("mass"))
