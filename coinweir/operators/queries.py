@@ -71,18 +71,28 @@ def subscriptions(mart: DataFrame) -> DataFrame:
 
 def staging_profile(staging: DataFrame, as_of: datetime | str | None) -> DataFrame:
     """One row of counts over staging, with the hours since the newest transaction (how
-    recent the data is, not whether ingestion runs) and whether any id repeats."""
+    recent the data is, not whether ingestion runs) and whether any id repeats.
+
+    Ids are counted by one shuffle of their own. The other distinct counts are taken from one row for each group of account, category
+    and merchant, so that no row of staging is multiplied for them."""
     latest = F.col("latest_transaction_at")
+    ids = staging.groupBy("transaction_id").agg(F.lit(1)).agg(F.count("transaction_id"))
+    groups = staging.groupBy("account_id", "category", "merchant_id").agg(
+        F.count("*").alias("n"),
+        F.sum(F.when(F.col("is_declined"), 1).otherwise(0)).alias("declined"),
+        F.min("created_at").alias("earliest"),
+        F.max("created_at").alias("latest"),
+    )
     return (
-        staging.agg(
-            F.count("*").alias("transaction_count"),
-            F.countDistinct("transaction_id").alias("distinct_transaction_ids"),
+        groups.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("transaction_count"),
+            F.coalesce(ids.scalar(), F.lit(0)).alias("distinct_transaction_ids"),
             F.countDistinct("account_id").alias("account_count"),
             F.countDistinct("category").alias("category_count"),
             F.countDistinct("merchant_id").alias("merchant_count"),
-            F.sum(F.when(F.col("is_declined"), 1).otherwise(0)).alias("declined_count"),
-            F.min("created_at").alias("earliest_transaction_at"),
-            F.max("created_at").alias("latest_transaction_at"),
+            F.sum("declined").alias("declined_count"),
+            F.min("earliest").alias("earliest_transaction_at"),
+            F.max("latest").alias("latest_transaction_at"),
         )
         .withColumn("hours_since_last_transaction", hours_crossed(latest, lit_time(as_of)))
         .withColumn(

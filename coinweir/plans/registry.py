@@ -182,7 +182,7 @@ def backfill_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_data_quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    return queries.staging_profile(_staging(spark, folder), PROFILE_AS_OF)
+    return queries.staging_profile(_stored(spark, _staging(spark, folder)), PROFILE_AS_OF)
 
 
 def q_mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:

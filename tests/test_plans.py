@@ -101,6 +101,14 @@ def test_recent_rows_open_recent_months_only(spark, built):
     assert "transaction_year" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan(recent)).group(1)
 
 
+def test_profile_multiplies_groups_only(spark, built):
+    """Distinct counts expand rows; what they expand has been grouped before."""
+    found = plan(queries.staging_profile(read_staging(spark, built.staging), "2026-04-02"))
+    expanded = re.findall(r"Expand.*", found)
+    assert expanded and not any("transaction_id" in line or "created_at" in line for line in expanded)
+    assert re.search(r"Expand(?s:.*?)HashAggregate\(keys=\[account_id", found)
+
+
 def test_work_folder_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark).startswith(shared) and work_dir(spark) != work_dir(spark)
