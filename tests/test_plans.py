@@ -120,13 +120,14 @@ def test_shuffle_width_follows_the_input():
 
 
 def test_hot_account_is_split_by_adaptive_execution(spark):
-    """One account on a third of all rows: the salted join leaves Spark free to split it."""
+    """One account on a third of all rows, nearly all on the day that it was opened on: Spark is free to split that day."""
     rows = spark.range(0, 90000, 1, 8).selectExpr(
         "cast(id as string) as transaction_id",
         "if(id < 30000, 'hot', cast(id % 500 as string)) as account_id",
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as created_at",
     )
     accounts = rows.groupBy("account_id").agg(F.min("created_at").alias("opened_at"))
+    later = accounts.select("account_id", F.expr("timestamp_ntz'2024-01-01 06:00:00'").alias("opened_at"))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -137,10 +138,14 @@ def test_hot_account_is_split_by_adaptive_execution(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        covered = backfill.window_coverage(accounts, rows, "2025-06-01", salts=2)
+        covered = backfill.window_coverage(accounts, rows, "2025-06-01")
         assert covered.agg(F.sum("transaction_count")).first()[0] == 90000
         counted = covered.collect()
         assert {r.transaction_count for r in counted if r.account_id == "hot"} == {30000, 0}
+        covered = backfill.window_coverage(later, rows, "2025-06-01")
+        counted = covered.collect()
+        assert {r.transaction_count for r in counted if r.account_id == "hot"} == {30000 - 6 * 3600, 0}
+        assert sum(r.transaction_count for r in counted) == 90000 - 6 * 3600
         assert "skewed" in plan(covered) or "skew=true" in plan(covered)
     finally:
         for key in settings:
