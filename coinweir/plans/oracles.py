@@ -193,6 +193,11 @@ select '{PUBLISHED_TWICE}', transaction_id from published where n > 1"""
     )
     return {
         "raw_scan": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
+        "raw_window": _with(_DELIVERIES)
+        + f"select {_COLUMNS} from deliveries where created_at >= timestamp '{r.PRUNE_MONTH}' and created_at < timestamp '{r.RAW_THROUGH}' + interval 1 month",
+        "raw_files_listed": _with(_DELIVERIES)
+        + """select date_trunc('month', created_at)::timestamp as month, count(distinct day(created_at) < 15) as file_count
+from deliveries group by all""",
         "flatten_transactions": _with(_DELIVERIES) + f"select {_COLUMNS} from deliveries",
         "stg_transactions": _BOTH + f"select {_COLUMNS} from stg",
         "stg_incremental": _with(

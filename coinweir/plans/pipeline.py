@@ -23,11 +23,10 @@ from coinweir.sources.marts import publish_mart, read_mart
 from coinweir.sources.month_parts import read_parts, refresh_parts
 from coinweir.sources.raw import (
     candidate_months,
-    list_raw_paths,
     raw_line_keys,
-    raw_path_keys,
     read_raw,
     read_raw_window,
+    write_raw_keys,
 )
 from coinweir.sources.staging import (
     check_published_columns,
@@ -149,7 +148,7 @@ def check_build(
 
     The published ids are compared with the ids of the events themselves, month by month: which copy of a
     delivery stands does not change the set of ids. Ids that are astray are written to `work`. Raw files of one event are compared by their names, of the
-    months that the build read; files of JSON lines by the ids and dates in them.
+    months that the build read, which are listed month by month into `work`; files of JSON lines by the ids and dates in them.
     """
     work = work or work_dir(spark)
     published = read_staging(spark, layout.staging)
@@ -168,7 +167,7 @@ def check_build(
     elif lines:
         keys = raw_line_keys(read_raw(spark, layout.raw, window.folders, lines=True))
     else:
-        keys = raw_path_keys(list_raw_paths(spark, layout.raw, window.folders))
+        keys = write_raw_keys(spark, layout.raw, f"{work}/names", window.folders)
     if window.folders is not None:
         keys = keys.filter(F.col("path_date") >= F.lit(window.scan_from))
         staged = published.filter(F.col("created_at") >= lit_time(window.scan_from))

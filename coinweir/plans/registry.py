@@ -26,7 +26,7 @@ from coinweir.session import work_dir
 from coinweir.sources.compaction import compact_landing
 from coinweir.sources.landing import read_landed_events, read_landing
 from coinweir.sources.marts import read_mart
-from coinweir.sources.raw import raw_line_keys, raw_month_counts, raw_path_keys, read_raw
+from coinweir.sources.raw import raw_line_keys, raw_month_counts, raw_path_keys, read_raw, read_raw_window, write_raw_keys
 from coinweir.sources.staging import (
     publish_staging,
     published_months,
@@ -43,6 +43,7 @@ from coinweir.sources.star import (
     table,
     with_envelope,
     write_incoming,
+    write_raw_halves,
 )
 from coinweir.streaming.heartbeat import HEARTBEAT_MAX_HOURS, MART_MAX_HOURS, read_heartbeat
 from coinweir.streaming.ingest import ingest, land_stream, read_rejects
@@ -58,6 +59,7 @@ PROFILE_AS_OF = "2002-01-01 09:30:00"
 LIVENESS_AS_OF = "2024-02-01 12:00:00"
 SPEND_MONTH = "1998-07"
 PRUNE_MONTH = date(1999, 1, 1)
+RAW_THROUGH = date(2002, 1, 1)
 WIDE_LOOKBACK_DAYS = 365
 ADHOC_SQL = """select s.category, count(*) as n_months, sum(s.transaction_count) as transaction_count,
   max(f.expenses) as highest_expenses
@@ -128,6 +130,26 @@ def raw_scan(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_transactions(read_raw(spark, _raw_layout(spark, folder).raw, lines=True))
 
 
+def _raw_halves(spark: SparkSession, folder: str) -> Layout:
+    """The feed as raw files in folders of months, two in each."""
+    layout = Layout(work_dir(spark))
+    write_raw_halves(card_feed(spark, folder), layout.raw)
+    return layout
+
+
+def raw_window(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed of the months from a date on, read from files in their folders; other months are not listed."""
+    events, _ = read_raw_window(spark, _raw_halves(spark, folder).raw, PRUNE_MONTH, RAW_THROUGH, lines=True)
+    return flatten_transactions(events)
+
+
+def raw_files_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files by month, from a listing month by month: one for each half that has deliveries."""
+    keys = write_raw_keys(spark, _raw_halves(spark, folder).raw, work_dir(spark))
+    halves = keys.groupBy(F.trunc("path_date", "month").alias("month")).agg(F.count("*").alias("file_count"))
+    return _dates_as_times(halves)
+
+
 def q_adhoc_sql(spark: SparkSession, folder: str) -> DataFrame:
     """A whole build, raw JSON to published marts, then SQL over the mart views."""
     layout = _raw_layout(spark, folder)
@@ -375,6 +397,8 @@ def _dates_as_times(rows: DataFrame) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_scan": raw_scan,
+        "raw_window": raw_window,
+        "raw_files_listed": raw_files_listed,
         "flatten_transactions": _deliveries,
         "stg_transactions": _staging,
         "stg_incremental": stg_incremental,

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coinweir.sources.files import ANY_FILE_AGE
+from coinweir.functions import wall_time
+from coinweir.sources.files import ANY_FILE_AGE, matching_folders, rename
 from coinweir.vocab import RECONCILIATION, WEBHOOK
 
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -73,6 +75,19 @@ def write_incoming(events: DataFrame, path: str) -> None:
     events.filter(F.col("source") == RECONCILIATION).select("transaction.*").write.json(f"{path}/{RECONCILIATION}")
 
 
+def write_raw_halves(events: DataFrame, path: str) -> None:
+    """Events written as raw JSON lines, one file for each half of a month, below YYYY/MM/01 or YYYY/MM/15. Spark names folders after columns as well;
+    they are renamed, days first."""
+    spark = events.sparkSession
+    day = wall_time(F.col("transaction.created")).cast("date")
+    half = F.when(F.dayofmonth(day) < 15, "01").otherwise("15")
+    dated = events.withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"), "day": half})
+    dated.repartition("year", "month", "day").write.partitionBy("year", "month", "day").json(path)
+    for level in ("/*/*/day=*", "/*/month=*", "/year=*"):
+        for folder in matching_folders(spark, f"{path}{level}"):
+            rename(spark, folder, f"{folder.rpartition('/')[0]}/{folder.rpartition('=')[2]}")
+
+
 def feed_paths(staging_rows: DataFrame) -> DataFrame:
     """The raw file path each delivery would land under."""
     day = F.replace(F.col("created_at").cast("date").cast("string"), F.lit("-"), F.lit("/"))

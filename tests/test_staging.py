@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from coinweir.operators.staging import flatten_transactions, keep_authoritative, stage_transactions
 from coinweir.schemas import RAW_EVENT, STAGING
-from coinweir.sources.raw import list_raw_paths, raw_path_keys, read_raw
+from coinweir.sources import raw as raw_source
+from coinweir.sources.raw import list_raw_paths, raw_path_keys, read_raw, write_raw_keys
 
 
 def events(spark, *pairs):
@@ -140,3 +141,23 @@ def test_listed_paths_give_ids_and_dates(spark, layout):
     found = raw_path_keys(list_raw_paths(spark, layout.raw))
     day = datetime(2026, 1, 31).date()
     assert rows(found) == [("50%", day), ("a b", day), ("odd", None), ("x+y", day)]
+
+
+def test_keys_are_listed_month_by_month(spark, layout, tmp_path, monkeypatch):
+    bodies = [transaction(f"t{i}", f"2026-{1 + i % 5:02d}-{1 + i:02d}T00:00:00Z", 1) for i in range(20)]
+    for body in bodies:
+        put_raw(layout, body)
+    for name in ("stray.json", "2026/odd.json", "2026/13/x/deep.json", ".hidden.json", "2026/_SUCCESS"):
+        Path(layout.raw, name).parent.mkdir(parents=True, exist_ok=True)
+        Path(layout.raw, name).write_text("{}")
+    listed = []
+    whole = raw_source.list_raw_paths
+    monkeypatch.setattr(raw_source, "list_raw_paths", lambda spark, base, folders=None: listed.append(base) or whole(spark, base, folders))
+    monkeypatch.setattr(raw_source, "NAMES_AT_ONCE", 1)
+    keys = write_raw_keys(spark, layout.raw, str(tmp_path / "keys"))
+    assert rows(keys) == rows(raw_path_keys(whole(spark, layout.raw)))
+    assert [base[-7:] for base in listed] == ["2026/01", "2026/02", "2026/03", "2026/04", "2026/05", "2026/13"]
+    some = [f"{layout.raw}/2026/02", f"{layout.raw}/2026/07"]
+    keys = write_raw_keys(spark, layout.raw, str(tmp_path / "keys"), some)
+    assert rows(keys, "transaction_id") == [("t1",), ("t11",), ("t16",), ("t6",)]
+    assert write_raw_keys(spark, str(tmp_path / "none"), str(tmp_path / "keys")).count() == 0
