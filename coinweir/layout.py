@@ -43,6 +43,10 @@ class Layout:
     def places(self) -> str:
         return self._under("ops", "places")
 
+    @property
+    def claims(self) -> str:
+        return self._under("ops", "claims")
+
     @property
     def landing_folds(self) -> str:
         return self._under("ops", "landing_folds")

@@ -17,6 +17,7 @@ from coinweir.operators.staging import flatten_transactions, stage_transactions
 from coinweir.plans import completeness, quality
 from coinweir.schemas import STAGING
 from coinweir.session import work_dir
+from coinweir.sources.claims import publishing
 from coinweir.sources.files import holds_file, work_folder
 from coinweir.sources.landing import landed_keys, read_landed_events
 from coinweir.sources.marts import publish_mart, read_mart
@@ -128,7 +129,12 @@ def model_relations(
 
 def refresh_marts(spark: SparkSession, layout: Layout) -> list[str]:
     """Rewrite the marts from aggregates by month, after those of the months that were published since have been worked out anew. Returns these months;
-    of published staging, nothing else is read."""
+    of published staging, nothing else is read. Waits for other jobs that publish."""
+    with publishing(spark, layout):
+        return _refresh_marts(spark, layout)
+
+
+def _refresh_marts(spark: SparkSession, layout: Layout) -> list[str]:
     changed = refresh_parts(spark, layout)
     for name, rows in mart_ops.marts_of_parts(read_parts(spark, layout)).items():
         publish_mart(rows, layout.mart(name))
@@ -201,9 +207,10 @@ def build(
     as_of: datetime | None = None,
     lines: bool = False,
 ) -> list[str]:
-    """Rebuild the window, refresh the marts, enforce the checks. Returns the warnings."""
-    window = plan_window(spark, layout, source, full_refresh, lookback_days, as_of, lines)
-    publish_window(layout, window)
-    refresh_marts(spark, layout)
-    with work_folder(spark) as work:
+    """Rebuild the window, refresh the marts, enforce the checks. Returns the warnings. Waits for other jobs that publish, and keeps them waiting."""
+    with publishing(spark, layout) as claim, work_folder(spark) as work:
+        window = plan_window(spark, layout, source, full_refresh, lookback_days, as_of, lines)
+        claim.check()
+        publish_window(layout, window)
+        _refresh_marts(spark, layout)
         return quality.enforce(check_build(spark, layout, window, source, as_of, lines, work))

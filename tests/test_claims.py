@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import threading
+import time
+from pathlib import Path
+
+import pytest
+from conftest import APRIL, YEAR, put_raw, rows, touch, transaction
+
+from coinweir.plans import pipeline
+from coinweir.plans.pipeline import build
+from coinweir.sources.claims import LostClaim, publishing
+from coinweir.sources.staging import read_staging
+from coinweir.streaming.rebuild import rebuild_raw_months
+
+
+def test_jobs_take_turns(spark, layout):
+    inside, most, order = 0, 0, []
+    lock = threading.Lock()
+
+    def job(number):
+        nonlocal inside, most
+        with publishing(spark, layout, poll=0.02):
+            with lock:
+                inside += 1
+                most = max(most, inside)
+                order.append(number)
+            time.sleep(0.05)
+            with lock:
+                inside -= 1
+
+    jobs = [threading.Thread(target=job, args=(number,)) for number in range(8)]
+    for each in jobs:
+        each.start()
+    for each in jobs:
+        each.join()
+    assert most == 1 and sorted(order) == list(range(8))
+    assert not [file for file in Path(layout.claims).iterdir() if not file.name.startswith(".")]
+
+
+def test_a_job_that_waits_too_long_gives_up_and_leaves_nothing(spark, layout):
+    with publishing(spark, layout) as claim:
+        with pytest.raises(TimeoutError):
+            with publishing(spark, layout, poll=0.02, patience=0.1):
+                pass
+        claim.check()
+        assert [f.name for f in Path(layout.claims).iterdir() if not f.name.startswith(".")] == [claim.name]
+
+
+def test_what_lost_jobs_left_expires(spark, layout):
+    Path(layout.claims).mkdir(parents=True)
+    for name in ("ticket-000000000001-gone", "drawing-gone"):
+        Path(layout.claims, name).write_text("")
+        touch(Path(layout.claims, name), time.time() - 700)
+    with publishing(spark, layout, patience=0.0) as claim:
+        claim.check()
+        Path(layout.claims, claim.name).unlink()
+        with pytest.raises(LostClaim):
+            claim.check()
+
+
+def test_a_held_claim_is_renewed(spark, layout):
+    with publishing(spark, layout, expires=1.0) as claim:
+        time.sleep(2.0)
+        with pytest.raises(TimeoutError):
+            with publishing(spark, layout, expires=1.0, poll=0.02, patience=0.1):
+                pass
+        claim.check()
+
+
+def test_two_jobs_on_one_month_serialise(spark, layout, monkeypatch):
+    """A build has planned its window when a file arrives and a watch wants to publish the month: it waits, and what it publishes stands."""
+    for body in YEAR:
+        put_raw(layout, body)
+    build(spark, layout, as_of=APRIL)
+    late = transaction("late", "2026-03-09T00:00:00Z", -5)
+    watch = []
+    publish = pipeline.publish_window
+
+    def rebuild():
+        rebuild_raw_months(spark, layout, {"2026-03": 1}, spark.createDataFrame([("late",)], "transaction_id string"))
+
+    def meanwhile(layout, window):
+        put_raw(layout, late)
+        watch.append(threading.Thread(target=rebuild))
+        watch[0].start()
+        time.sleep(2)
+        assert "late" not in {row[0] for row in rows(read_staging(spark, layout.staging), "transaction_id")}
+        publish(layout, window)
+
+    monkeypatch.setattr(pipeline, "publish_window", meanwhile)
+    monkeypatch.setattr(pipeline, "check_build", lambda *args: None)  # the file that has arrived would be reported
+    monkeypatch.setattr(pipeline.quality, "enforce", lambda found: [])
+    build(spark, layout, as_of=APRIL)
+    watch[0].join()
+    assert {row[0] for row in rows(read_staging(spark, layout.staging), "transaction_id")} == {body["id"] for body in YEAR} | {"late"}
