@@ -79,7 +79,8 @@ def one_sided(left: DataFrame, right: DataFrame, only_left: str, only_right: str
 def raw_vs_staging(raw_keys: DataFrame, staging: DataFrame, today: datetime | str | None, work: str) -> DataFrame:
     """What `checks.raw_vs_staging` finds. Deliveries that repeat an id make a month differ, and so compare its ids; compacted landing months have none."""
     day = lit_time(today).cast("date")
-    raw = ids_by_month(raw_keys.filter(F.col("path_date") < day), "path_date")
+    # keys that are read out of paths or events are worked out once; a filter on their month would work them out again for each mention
+    raw = stored(ids_by_month(raw_keys.filter(F.col("path_date") < day), "path_date"), f"{work}/keys")
     staged = ids_by_month(staging.filter(F.col("created_at") < day.cast("timestamp_ntz")), "created_at")
     return one_sided(raw, staged, RAW_NOT_STAGED, STAGED_NOT_RAW, work)
 
