@@ -49,33 +49,43 @@ class Merger:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         }
-        self._bytes = [ranks[bytes([byte])] for byte in range(256)]
+        self._bytes = np.array([ranks[bytes([byte])] for byte in range(256)], np.int64)
+        of_pair = [self._pairs.get(one << ID_BITS | other, BREAK) for one in self._bytes.tolist() for other in self._bytes.tolist()]
+        self._byte_pairs = np.array(of_pair, np.int64).reshape(256, 256)
         size = max(ranks.values(), default=0) + 1
         self._buckets: list[list[int]] = [[] for _ in range(size)]  # positions by rank; all empty between calls
         self._bitmaps = [0] * ((size >> SPAN) + 1)
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each pre-token."""
+        return [list(struct.unpack(f"<{len(ids) // 4}i", ids)) for ids in self.packed(pieces)]
+
+    def packed(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token as little-endian 32-bit numbers."""
         whole = [self._whole.get(piece) for piece in pieces]
-        ids = [BREAK]
-        for piece, known in zip(pieces, whole, strict=True):
-            if known is None:
-                ids += map(self._bytes.__getitem__, piece)
-                ids.append(BREAK)
-        ids.append(BREAK)
-        self._merge(ids)
-        found = iter(ids)
-        next(found)
-        return [list(iter(found.__next__, BREAK)) if known is None else [known] for known in whole]
-
-    def _merge(self, ids: list[int]) -> None:
-        """Merges in place; `ids` has a break at its start, two at its end, and keeps only live positions."""
+        apart = [piece for piece, known in zip(pieces, whole, strict=True) if known is None]
+        ids = np.array(self._merge(apart), "<i4")
+        ends = np.flatnonzero(ids == BREAK).tolist()
+        data = ids.tobytes()
+        found = (data[4 * start + 4 : 4 * end] for start, end in zip(ends, ends[1:], strict=False))
+        return [next(found) if known is None else struct.pack("<i", known) for known in whole]
+
+    def _merge(self, pieces: list[bytes]) -> list[int]:
+        """The ids of all pre-tokens, with a break before each, and two at the end."""
         rank_of, buckets, bitmaps, within = self._pairs.get, self._buckets, self._bitmaps, (1 << SPAN) - 1
-        size = len(ids)
+        # the bytes and their pairs are looked up together; breaks are put in behind
+        text = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0\0", np.uint8)
+        size = len(text)
+        breaks = np.cumsum([0, *(len(piece) + 1 for piece in pieces)])
+        breaks = np.append(breaks, size - 1)
+        starting = np.append(self._byte_pairs[text[:-1], text[1:]], BREAK)
+        starting[breaks] = BREAK
+        starting[breaks[1:] - 1] = BREAK
+        spelled = self._bytes[text]
+        spelled[breaks] = BREAK
+        ids, pair = spelled.tolist(), starting.tolist()
         after = list(range(1, size + 1))
         before = list(range(-1, size - 1))
-        # a pair with a break is a negative number and has no rank
-        pair = [rank_of(one << ID_BITS | other, BREAK) for one, other in zip(ids, ids[1:], strict=False)] + [BREAK]
         summary = 0  # which bitmaps are not zero
 
         def push(rank: int, at: int) -> int:
@@ -85,9 +95,15 @@ class Merger:
             bucket.append(at)
             return 1 << (rank >> SPAN)
 
-        for at, rank in enumerate(pair):
-            if rank >= 0:
-                summary |= push(rank, at)
+        places = np.flatnonzero(starting >= 0)
+        places = places[np.argsort(starting[places], kind="stable")]
+        ranks, starts = np.unique(starting[places], return_index=True)
+        in_order = places.tolist()
+        ends = [*starts.tolist(), len(in_order)][1:]
+        for rank, start, end in zip(ranks.tolist(), starts.tolist(), ends, strict=False):
+            buckets[rank] = in_order[start:end]
+            bitmaps[rank >> SPAN] |= BITS[rank & within]
+            summary |= 1 << (rank >> SPAN)
         while summary:
             top = (summary & -summary).bit_length() - 1
             bits = bitmaps[top]
@@ -120,7 +136,7 @@ class Merger:
                     for rest in bucket[turn + 1 :]:
                         summary |= push(least, rest)
                     break
-        ids[:] = [each for each in ids if each != -2]
+        return [each for each in ids if each != -2]
 
 
 class Encoder:
@@ -135,8 +151,7 @@ class Encoder:
 
     def _learn(self, pieces: set[str]) -> None:
         new = self._pieces.missing(pieces)
-        merged = self._merger.merge([piece.encode() for piece in new])
-        self._pieces.update((piece, struct.pack(f"<{len(ids)}i", *ids)) for piece, ids in zip(new, merged, strict=True))
+        self._pieces.update(zip(new, self._merger.packed([piece.encode() for piece in new]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers.

@@ -88,3 +88,13 @@ def test_what_was_met_is_remembered_within_bounds():
         memory.update((piece, piece.encode()) for piece in new)
         assert memory["kept"] == b"kept" and len(memory) <= 6
     assert memory.missing({"kept"}) == []
+
+
+def test_bytes_start_in_the_queue_without_a_push_each(ranks):
+    """Pairs of bytes are put into their buckets together; pushing each took a seventh of the time."""
+    merger = Merger(ranks)
+    pieces = [b"\x00\x00\x00", b"", b"qzxj", bytes(range(256)), b"\xff\x00" * 5]
+    assert [b"".join(map({rank: token for token, rank in ranks.items()}.get, ids)) for ids in merger.merge(pieces)] == pieces
+    assert merger.merge([]) == [] and merger.merge([b""]) == [[]]
+    assert merger.packed([b"qzxj"]) == [np.array(merger.merge([b"qzxj"])[0], "<i4").tobytes()]
+    assert not any(merger._buckets) and not any(merger._bitmaps)
