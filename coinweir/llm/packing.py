@@ -9,10 +9,13 @@ their length, which needs no more than running counts of tasks.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,49 @@ from coinweir.llm.tables import field, fresh, stored
 REMEMBERED = 600_000
 
 
+#: White space apart, texts of these characters are in NFC, lower-cased as the tokenizer does it with all letters, and cut like `_PARTS` by
+#: its pattern: ASCII, and the letters of Latin-1 (whose case differs by one bit).
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+#: Characters that may compose with the one before them are all among these.
+_COMPOSES = re.compile("[^\0-\u02ff]").search
+_NORMALIZER = [("NFC", None), ("Replace", "\\s+"), ("Lowercase", None)]
+_PRE_TOKENIZER = ["Split", "ByteLevel"]
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _cuts_like_parts(settings: dict) -> bool:
+    """Whether a tokenizer normalizes and cuts as `_SIMPLE` and `_PARTS` have it."""
+    normalizer = (settings.get("normalizer") or {}).get("normalizers", [])
+    steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [(each["type"], each.get("pattern", {}).get("Regex")) for each in normalizer] != _NORMALIZER or [each["type"] for each in steps] != _PRE_TOKENIZER:
+        return False
+    split, level = steps
+    cuts = split["pattern"].get("Regex") == _PATTERN and split["behavior"] == "Removed" and split["invert"]
+    return cuts and not level["add_prefix_space"] and not level["use_regex"] and settings.get("post_processor") is None
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that a byte-level tokenizer writes for each byte, where it is not the Latin-1 one."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {byte: chr(256 + turn) for turn, byte in enumerate(sorted({*range(256)} - shown))}
+
+
+class _Chunks(Memory):
+    """A memory that makes what it is asked for and does not know."""
+
+    def __init__(self, limit: int, make: Callable[[bytes], bytes]):
+        super().__init__(limit)
+        self._make = make
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        found = self._older.get(chunk)
+        if found is None:
+            found = self._make(chunk)
+        self[chunk] = found
+        return found
+
+
 class Encoder:
     """Ids of texts under a tokenizer whose words never cross ASCII white space, so that chunks between it can be remembered."""
 
@@ -35,48 +81,50 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # strings of special tokens are found in texts as they are, before letters are lower-cased; chunks are lower-cased already
+        # strings of special tokens are found in texts as they are, before letters are lower-cased
         self._special = [token.content.encode() for token in self._tokenizer.get_added_tokens_decoder().values()]
         self._tokenizer.encode_special_tokens = True
-        self._chunks = Memory(REMEMBERED)
+        self._model = self._tokenizer.model
+        self._packed = [struct.pack("<I", id_) for id_ in range(max(self._tokenizer.get_vocab().values(), default=0) + 1)]
+        self._letters = _byte_letters()
+        self._simple = _SIMPLE if _cuts_like_parts(json.loads(self._tokenizer.to_str())) else lambda text: None
+        self.forget()
 
     def forget(self) -> None:
         """Gives memory back; a worker may be idle for long after a task."""
-        self._chunks = Memory(REMEMBERED)
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        new = self._chunks.missing(chunks)
-        # a mark behind a letter or digit is a token of its own, so that the word before it is looked up alone
-        marked = [chunk for chunk in new if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalnum()]
-        plain = set(new).difference(marked).union(chunk[:-1] for chunk in marked)
-        if marked:
-            plain |= {b".", b","}
-        self._tokenize(self._chunks.missing(plain))
-        self._chunks.update((chunk, self._chunks[chunk[:-1]] + self._chunks[chunk[-1:]]) for chunk in marked)
-
-    def _tokenize(self, new: list[bytes]) -> None:
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self._tokenizer.encode([chunk.decode() for chunk in part], is_pretokenized=True, add_special_tokens=False)
-            owners = np.array(found.word_ids, np.int64)
-            ids = np.array(found.ids, "<u4").tobytes()
-            ends = np.cumsum(np.bincount(owners, minlength=len(part))).tolist()
-            start = 0
-            for chunk, end in zip(part, ends, strict=True):
-                self._chunks[chunk] = ids[4 * start : 4 * end]
-                start = end
+        self._chunks = _Chunks(REMEMBERED, self._encoded)
+
+    def _encoded(self, chunk: bytes) -> bytes:
+        """The ids of a chunk without white space. Where it is known how the tokenizer cuts it, its model gets the parts, so that
+        nothing is normalized or cut again for each word."""
+        text = chunk.decode()
+        if not self._simple(text):
+            found = self._tokenizer.encode([text], is_pretokenized=True, add_special_tokens=False)
+            return np.array(found.ids, "<u4").tobytes()
+        lowered = text.lower()
+        if lowered != text:
+            return self._chunks[lowered.encode()]
+        if not chunk.isalpha():  # of ASCII letters
+            parts = _PARTS(text)
+            if len(parts) > 1:
+                return b"".join([self._chunks[part.encode()] for part in parts])
+            text = chunk.decode("latin-1").translate(self._letters)
+        packed = self._packed
+        return b"".join([packed[token.id] for token in self._model.tokenize(text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers. A-Z may be lower-cased first, as the tokenizer does it
-        with all letters."""
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
         self._chunks.turn()
-        data = [text.encode() for text in texts]
-        cut = [None if any(special in text for special in self._special) else text.lower().split() for text in data]
-        self._learn(set().union(*(chunks for chunks in cut if chunks is not None)))
-        return [
-            self._whole(text) if chunks is None else b"".join(map(self._chunks.__getitem__, chunks))
-            for text, chunks in zip(texts, cut, strict=True)
-        ]
+        ids_of, special = self._chunks.__getitem__, self._special
+        found = []
+        for text in texts:
+            data = text.encode()
+            if any(each in data for each in special):
+                found.append(self._whole(text))
+            else:
+                # a letter and a mark behind it may compose in one case only; other texts hold fewer chunks when lower-cased first
+                found.append(b"".join(map(ids_of, (data if _COMPOSES(text) else data.lower()).split())))
+        return found
 
     def _whole(self, text: str) -> bytes:
         """The ids of a text that holds the string of a special token."""

@@ -114,3 +114,32 @@ def test_strings_of_special_tokens():
     for text, found in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(found, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(encoder.encode(["a <|startoftext|> b"])[0], "<u4").tolist() == [320, 49406, 321]
+
+
+def test_marks_that_compose_in_one_case_only():
+    """A small t and a diaeresis behind it are one letter, a capital T and it are not; lower-casing comes after that."""
+    library = Tokenizer.from_file(PATH)
+    texts = ["T̈", "aT̈b", "H̱ W̊", "ẗ", "É", "é"]
+    for text, found in zip(texts, packing.Encoder(PATH).encode(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_simple_words_are_cut_without_the_whole_tokenizer():
+    """Normalizing and cutting each new word took half of the time; other words still go through the library as a whole."""
+    library = Tokenizer.from_file(PATH)
+    draw, whole = random.Random(3), []
+    letters = [*map(chr, range(0x21, 0x7F)), *map(chr, range(0xC0, 0x100)), "'s", "'LL", "the", "É", "##"]
+    texts = ["".join(draw.choices(letters, k=draw.randint(1, 8))) for _ in range(3000)]
+    encoder = packing.Encoder(PATH)
+    found = encoder.encode(texts)
+    assert [np.frombuffer(each, "<u4").tolist() for each in found] == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+    class Watched:
+        def encode(self, words, **how):
+            whole.extend(words)
+            return library.encode(words, **how)
+
+    encoder = packing.Encoder(PATH)
+    encoder._tokenizer = Watched()
+    encoder.encode(["The word's Été, 12##", "漢 é", "漢"])
+    assert whole == ["漢", "é"]
