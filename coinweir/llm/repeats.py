@@ -26,9 +26,9 @@ from coinweir.llm.tables import field, fresh, stored, text_of
 #: Bytes that an anchor is the hash of; at most the length sought.
 ANCHOR_BYTES = 40
 
-#: Text that tasks hash, or index, at a time.
-BLOCK = 4 << 20
-INDEX_BLOCK = 2 << 20
+#: Text that tasks hash, or index, at a time; a worker takes up to a hundred bytes for each byte of it.
+BLOCK = 1 << 20
+INDEX_BLOCK = 1 << 20
 
 #: Anchors with more different pieces than this are settled window by window instead.
 CROWDED = 20_000

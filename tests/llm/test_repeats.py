@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,17 @@ def test_texts_stay_whole_characters(spark):
     found = {row.doc_id: (row.text, row.n_removed) for row in repeats.texts_without_repeats(rows, 200).collect()}
     # the first byte of ö ends a string that also starts earlier among the é; its second byte goes with it
     assert found == {1: ("ab", 240), 2: ("ü", 241), 3: ("", 0)}
+
+
+def test_memory_of_a_block_is_bounded():
+    """Blocks of 4 MB took 230 MB of a worker."""
+    draw = random.Random(1)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(draw.choices(words, k=500)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["document", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(part.num_rows for part in repeats._pieces(200)(iter([batch]))) > 2000
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
