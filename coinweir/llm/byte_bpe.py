@@ -2,14 +2,15 @@
 
 The merges of one pre-token run on a hierarchical-bitmap rank queue. Each merge rank has a bucket of linked-list positions;
 two levels of bitmaps say which buckets hold any, and find-first-set walks them down to the lowest rank. Entries are never
-taken out when a neighbour merges: one whose pair has changed by the time it is popped is stale and skipped. A pre-token of
-n bytes costs O(n log n), however long it is.
+taken out when a neighbour merges: one whose pair has changed by the time it is popped is stale and skipped. Large buckets
+are merged in one go. A pre-token of n bytes costs O(n log n), however long it is.
 """
 
 from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,10 @@ BITS = [1 << at for at in range(1 << SPAN)]
 #: Ids are below this power of two; a pair of ids is one number.
 ID_BITS = 21
 BREAK = -1
+GONE = -2
+
+#: Buckets of so many positions are merged together, smaller ones one by one.
+WIDE = 100
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -52,10 +57,29 @@ class Merger:
         self._bytes = np.array([ranks[bytes([byte])] for byte in range(256)], np.int64)
         of_pair = [self._pairs.get(one << ID_BITS | other, BREAK) for one in self._bytes.tolist() for other in self._bytes.tolist()]
         self._byte_pairs = np.array(of_pair, np.int64).reshape(256, 256)
+        self._forward = self._sorted_pairs(self._pairs)
+        swapped = {(pair & (1 << ID_BITS) - 1) << ID_BITS | pair >> ID_BITS: rank for pair, rank in self._pairs.items()}
+        self._backward = self._sorted_pairs(swapped)
         size = max(ranks.values(), default=0) + 1
         self._buckets: list[list[int]] = [[] for _ in range(size)]  # positions by rank; all empty between calls
         self._bitmaps = [0] * ((size >> SPAN) + 1)
 
+    @staticmethod
+    def _sorted_pairs(pairs: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.array(sorted(pairs), np.int64)
+        return keys, np.array([pairs[key] for key in keys.tolist()], np.int64)
+
+    @staticmethod
+    def _beside(sorted_pairs: tuple[np.ndarray, np.ndarray], one: int, others: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of one id and several; BREAK where there is none."""
+        keys, ranks = sorted_pairs
+        start, stop = np.searchsorted(keys, (one << ID_BITS, one + 1 << ID_BITS))
+        if start == stop:
+            return np.full(len(others), BREAK)
+        wanted = others | one << ID_BITS
+        at = np.searchsorted(keys[start : stop - 1], wanted) + start
+        return np.where((keys[at] == wanted) & (others >= 0), ranks[at], BREAK)
+
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each pre-token."""
         return [list(struct.unpack(f"<{len(ids) // 4}i", ids)) for ids in self.packed(pieces)]
@@ -64,13 +88,13 @@ class Merger:
         """The ids of each pre-token as little-endian 32-bit numbers."""
         whole = [self._whole.get(piece) for piece in pieces]
         apart = [piece for piece, known in zip(pieces, whole, strict=True) if known is None]
-        ids = np.array(self._merge(apart), "<i4")
+        ids = self._merge(apart).astype("<i4")
         ends = np.flatnonzero(ids == BREAK).tolist()
         data = ids.tobytes()
         found = (data[4 * start + 4 : 4 * end] for start, end in zip(ends, ends[1:], strict=False))
         return [next(found) if known is None else struct.pack("<i", known) for known in whole]
 
-    def _merge(self, pieces: list[bytes]) -> list[int]:
+    def _merge(self, pieces: list[bytes]) -> np.ndarray:
         """The ids of all pre-tokens, with a break before each, and two at the end."""
         rank_of, buckets, bitmaps, within = self._pairs.get, self._buckets, self._bitmaps, (1 << SPAN) - 1
         # the bytes and their pairs are looked up together; breaks are put in behind
@@ -83,9 +107,10 @@ class Merger:
         starting[breaks[1:] - 1] = BREAK
         spelled = self._bytes[text]
         spelled[breaks] = BREAK
-        ids, pair = spelled.tolist(), starting.tolist()
-        after = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
+        # large buckets are merged together, in views of the same arrays
+        ids, pair = array("q", spelled.tobytes()), array("q", starting.tobytes())
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size - 1))
+        views = tuple(np.frombuffer(each, np.int64) for each in (ids, pair, after, before))
         summary = 0  # which bitmaps are not zero
 
         def push(rank: int, at: int) -> int:
@@ -113,6 +138,15 @@ class Merger:
                 summary &= summary - 1
             bucket = buckets[least]
             buckets[least] = []
+            if len(bucket) >= WIDE:
+                pushed = self._together(least, bucket, *views)
+                if pushed is not None:
+                    for rank, places_of_rank in pushed:
+                        if not buckets[rank]:
+                            bitmaps[rank >> SPAN] |= BITS[rank & within]
+                            summary |= 1 << (rank >> SPAN)
+                        buckets[rank] += places_of_rank
+                    continue
             bucket.sort()
             for turn, at in enumerate(bucket):
                 if pair[at] != least:
@@ -121,7 +155,7 @@ class Merger:
                 end = after[at] = after[gone]
                 before[end] = at
                 ids[at] = least
-                ids[gone] = pair[gone] = -2
+                ids[gone] = pair[gone] = GONE
                 left = before[at]
                 lower = False
                 pair[at] = rank = rank_of(least << ID_BITS | ids[end], BREAK)
@@ -136,7 +170,44 @@ class Merger:
                     for rest in bucket[turn + 1 :]:
                         summary |= push(least, rest)
                     break
-        return [each for each in ids if each != -2]
+        return views[0][views[0] != GONE]
+
+    def _together(
+        self, least: int, bucket: list[int], ids: np.ndarray, pair: np.ndarray, after: np.ndarray, before: np.ndarray
+    ) -> list[tuple[int, list[int]]] | None:
+        """Merges all of a bucket's pairs; the new pairs' ranks and positions. None, and nothing merged, if one of a lower rank than
+        the bucket's appears on the way, for that goes first."""
+        at = np.sort(np.array(bucket, np.int64))
+        at = at[pair[at] == least]  # others are stale
+        gone = after[at]
+        shared = gone[:-1] == at[1:]
+        if shared.any():  # of pairs that share a token, every second one merges
+            turn = np.arange(len(at))
+            begins = np.maximum.accumulate(np.where(np.append(True, ~shared), turn, 0))
+            kept = (turn - begins) % 2 == 0
+            at, gone = at[kept], gone[kept]
+        end, left = after[gone], before[at]
+        right_ranks = self._beside(self._forward, least, ids[end])  # with what is there before its own merge
+        met = np.flatnonzero(end[:-1] == at[1:])  # the next merge's left is this one
+        left[met + 1] = at[met]
+        left_ids = ids[left]
+        left_ids[met + 1] = least
+        left_ranks = self._beside(self._backward, least, left_ids)
+        ranks = np.concatenate((right_ranks, left_ranks))
+        if ((ranks >= 0) & (ranks < least)).any():
+            return None
+        after[at], before[end] = end, at
+        ids[at] = least
+        ids[gone] = pair[gone] = GONE
+        pair[at] = right_ranks
+        pair[left] = left_ranks
+        ranks[met] = BREAK  # replaced by the pair of both merges
+        new = np.flatnonzero(ranks >= 0)
+        new = new[np.argsort(ranks[new], kind="stable")]
+        ranks, places = ranks[new], np.concatenate((at, left))[new].tolist()
+        ranks, starts = np.unique(ranks, return_index=True)
+        edges = [*starts.tolist(), len(places)]
+        return [(rank, places[start:end]) for rank, start, end in zip(ranks.tolist(), edges, edges[1:], strict=False)]
 
 
 class Encoder:
@@ -146,6 +217,9 @@ class Encoder:
         self._merger = Merger(ranks)
         self._split = regex.compile(pattern).findall
         self._crowded = regex.compile(r"\s\s").search
+        # whether a space and letters behind it are one match, which need not be searched for then
+        before, _, behind = f"|{pattern}|".partition(r"| ?\p{L}+|")
+        self._words_whole = bool(behind) and all(each.startswith("'") for each in before.split("|")[1:])
         self._pieces = Memory(REMEMBERED)
         self._chunks = Memory(REMEMBERED)
 
@@ -170,10 +244,11 @@ class Encoder:
                 first, *rest = text.split(" ")
                 cut.append((split(first), rest))
         new = chunks.missing(set().union(*(rest for _, rest in cut)))
-        found = [split(" " + chunk) for chunk in new]
+        whole = self._words_whole
+        found = [[" " + chunk] if whole and chunk.isascii() and chunk.isalpha() else split(" " + chunk) for chunk in new]
         self._learn({piece for each in found for piece in each}.union(*(first for first, _ in cut)))
         for chunk, each in zip(new, found, strict=True):
-            chunks[chunk] = b"".join([pieces[piece] for piece in each])
+            chunks[chunk] = pieces[each[0]] if len(each) == 1 else b"".join([pieces[piece] for piece in each])
         return [b"".join([*map(pieces.__getitem__, first), *map(chunks.__getitem__, rest)]) for first, rest in cut]
 
 

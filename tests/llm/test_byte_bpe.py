@@ -98,3 +98,39 @@ def test_bytes_start_in_the_queue_without_a_push_each(ranks):
     assert merger.merge([]) == [] and merger.merge([b""]) == [[]]
     assert merger.packed([b"qzxj"]) == [np.array(merger.merge([b"qzxj"])[0], "<i4").tobytes()]
     assert not any(merger._buckets) and not any(merger._bitmaps)
+
+
+def test_large_buckets_are_merged_together(ranks, library, monkeypatch):
+    """Merging the positions of a rank one by one took more than half of the time."""
+    monkeypatch.setattr(byte_bpe, "WIDE", 1)
+    draw = random.Random(2)
+    texts = ["".join(draw.choices([*PARTS, "abab", "aaa", "nana", "thethe"], k=draw.randint(0, 30))) for _ in range(2000)]
+    found = Encoder(ranks, public_tokenizers.PATTERN).encode(texts)
+    assert [ids_of(each) for each in found] == [library.encode_ordinary(text) for text in texts]
+
+    together, sizes = Merger._together, []
+    monkeypatch.setattr(byte_bpe, "WIDE", 100)
+    monkeypatch.setattr(Merger, "_together", lambda self, least, bucket, *views: (sizes.append(len(bucket)), together(self, least, bucket, *views))[1])
+    assert len(Merger(ranks).merge([b"qth%d" % turn for turn in range(500)])) == 500
+    assert max(sizes) >= 500
+
+
+def test_lower_ranks_go_first_in_large_buckets(monkeypatch):
+    draw = random.Random(4)
+    for _ in range(60):
+        tokens = {bytes(draw.choices(b"abcd", k=draw.randint(2, 4))) for _ in range(14)}
+        order = draw.sample(range(300), len(tokens))
+        ranks = {bytes([byte]): byte + 300 for byte in range(256)} | dict(zip(sorted(tokens), order, strict=True))
+        pieces = [bytes(draw.choices(b"abcd", k=draw.randint(1, 12))) for _ in range(40)]
+        monkeypatch.setattr(byte_bpe, "WIDE", 10_000)
+        one_by_one = Merger(ranks).merge(pieces)
+        monkeypatch.setattr(byte_bpe, "WIDE", 1)
+        merger = Merger(ranks)
+        assert merger.merge(pieces) == one_by_one
+        assert not any(merger._buckets) and not any(merger._bitmaps)
+
+
+def test_words_that_need_no_search(ranks):
+    assert Encoder(ranks, public_tokenizers.PATTERN)._words_whole
+    for pattern in (r"\w+|.", r"\p{L}+|.| ?\p{L}+", r"[a-z]|'s| ?\p{L}+"):
+        assert not Encoder(ranks, pattern)._words_whole
