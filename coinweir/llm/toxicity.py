@@ -38,6 +38,9 @@ STEPS = 200
 DECAY = 1e-4
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
+#: Texts that a worker scores at a time.
+SCORED = 512
+
 
 @dataclass
 class Machine:
@@ -50,8 +53,12 @@ class Machine:
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """The probability that each text, given by its distinct buckets, is toxic."""
+        parts = [self._scores(texts[at : at + SCORED]) for at in range(0, len(texts), SCORED)]
+        return np.concatenate([np.empty(0), *parts])
+
+    def _scores(self, texts: list[np.ndarray]) -> np.ndarray:
         rows = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
-        terms = np.concatenate(texts) if len(rows) else np.empty(0, np.int64)
+        terms = np.concatenate(texts).astype(np.int64) if len(rows) else np.empty(0, np.int64)
         place = np.searchsorted(self.buckets, terms)
         known = place < len(self.buckets)
         known[known] = self.buckets[place[known]] == terms[known]
@@ -182,7 +189,7 @@ def score(documents: DataFrame, machine: Machine, text_column: str = "text", nam
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         keep_only()
         for texts in batches:
-            yield pd.Series(machine.scores([np.asarray(text, np.int64) for text in texts]))
+            yield pd.Series(machine.scores([np.asarray(text) for text in texts]))
 
     scored = F.pandas_udf(run, T.DoubleType())
     return hashed.select(*[F.col(alias).alias(column) for alias, column in renamed.items()], scored("_terms").alias(name))

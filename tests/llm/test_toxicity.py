@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -75,3 +76,19 @@ def test_recall_on_small_tables(spark, size):
     found = {row.toxic: row["count"] for row in scored.groupBy("toxic").count().collect()}
     marked = {row.toxic: row["count"] for row in labels.groupBy("toxic").count().collect()}
     assert found.get(1, 0) >= 0.9 * marked[1] and found.get(0, 0) <= 0.02 * marked[0]
+
+
+def test_texts_are_scored_a_few_at_a_time():
+    """All of these texts in one go took 76 MB of a worker; a batch may have twice as many."""
+    draw = np.random.default_rng(1)
+    buckets = np.arange(0, toxicity.BUCKETS, 500)
+    machine = toxicity.Machine(buckets, 0.1, draw.normal(size=len(buckets)), draw.normal(size=(len(buckets), toxicity.FACTORS)))
+    texts = [draw.integers(0, toxicity.BUCKETS, size).astype(np.int32) for size in draw.integers(0, 600, 5000)]
+    tracemalloc.start()
+    try:
+        found = machine.scores(texts)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+    assert found.tolist() == [machine.scores([text])[0] for text in texts]
+    assert len(machine.scores([])) == 0
