@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coinweir.llm.memory import keep_only
+from coinweir.llm.memory import give_back, keep_only
 from coinweir.llm.tables import fresh, stored, text_of
 
 #: A line is rare in no more documents than this, or than this share of all: what a line is must not change as a corpus grows.
@@ -163,6 +163,7 @@ def overlaps(sequences: DataFrame) -> DataFrame:
                 at += [place] * len(own)
             documents = batch.column(0).take(pa.array(at, pa.int32()))
             yield pa.RecordBatch.from_arrays([documents, pa.array(found, pa.int64())], ["document", "context"])
+        give_back()
 
     kind = sequences.schema["document"].dataType.simpleString()
     around = sequences.mapInArrow(run, f"document {kind}, context bigint")
@@ -187,6 +188,7 @@ def _lost(sequences: DataFrame, pairs: DataFrame) -> DataFrame:
             compared = zip(*(batch.column(place).to_pylist() for place in (1, 2, 3)), strict=True)
             gone = pa.array([blocks(*each) for each in compared], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), gone], ["document", "gone"])
+        give_back()
 
     kind = sequences.schema["document"].dataType.simpleString()
     found = pairs.mapInArrow(run, f"document {kind}, gone array<int>").filter("size(gone) > 0")

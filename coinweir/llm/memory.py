@@ -1,7 +1,21 @@
-"""A bounded memory of results for pieces of text that come again."""
+"""What workers hold: a bounded memory of results for pieces of text that come again, and memory that they have freed."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
+
+
+def _trimmer() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):  # not glibc
+        return None
+
+
+_trim = _trimmer()
 
 _held: dict[str, dict] = {}
 
@@ -16,6 +30,15 @@ def keep_only(owner: str | None = None) -> None:
     for name, kept in _held.items():
         if name != owner:
             kept.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """To be called where a task ends: what this process has freed goes back to the system. A worker stays for the tasks after it, and
+    the allocators of Arrow and the C library would keep the most that any task took, beside what the executor's JVM takes by then."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 class Memory(dict):

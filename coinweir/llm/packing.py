@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinweir.llm.memory import Memory, held_by, keep_only
+from coinweir.llm.memory import Memory, give_back, held_by, keep_only
 from coinweir.llm.tables import field, fresh, stored
 
 #: Encoded chunks of text that a task remembers before the older half of them goes.
@@ -159,6 +159,7 @@ def pieces(
         for batch in batches:
             yield from cut(encoder, batch)
         encoder.forget()
+        give_back()
 
     def cut(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 1024):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinweir.llm.memory import keep_only
+from coinweir.llm.memory import give_back, keep_only
 from coinweir.llm.tables import field, fresh, stored, text_of
 
 #: Bytes that an anchor is the hash of; at most the length sought.
@@ -102,6 +102,7 @@ def _pieces(length: int):
                     for at in range(0, len(owner), 100_000):
                         yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], ["anchor", "piece", "document", "first", "stop"])
                     held, size = [], 0
+        give_back()
 
     return run
 
@@ -110,6 +111,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     """The text of wanted pieces: rows of a document's text and its `wanted` pieces to (anchor, piece, document, first, m, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         names = ["anchor", "piece", "document", "first", "m", "data"]
         for batch in batches:
             for document, text, wanted in zip(*(column.to_pylist() for column in batch.columns), strict=True):
@@ -119,6 +121,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                     for each in wanted
                 ]
                 yield pa.RecordBatch.from_pylist([dict(zip(names, each, strict=True)) for each in found], schema)
+        give_back()
 
     schema = pa.schema(
         [("anchor", pa.int64()), ("piece", pa.int64()), ("document", pa.int64()), ("first", pa.int32()), ("m", pa.int64()), ("data", pa.binary())]
@@ -235,6 +238,7 @@ def _index(rows: DataFrame, length: int) -> DataFrame:
         yield pa.RecordBatch.from_pylist(found, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         held: list[tuple] = []
         size = 0
         for batch in batches:
@@ -246,6 +250,8 @@ def _index(rows: DataFrame, length: int) -> DataFrame:
                 size += len(row[-1])
         if held:
             yield from settled(held)
+        held = []
+        give_back()
 
     return rows.select("anchor", "document", "first", "data").mapInArrow(run, "document long, first int, stop int")
 
@@ -254,12 +260,14 @@ def _one_by_one(rows: DataFrame, length: int) -> DataFrame:
     """(document, first, stop) of repeated windows, of pieces of crowded anchors: each window is counted by its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             for document, first, m, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 view, size = memoryview(data), len(data) - length + 1
                 digests = np.array([xxhash.xxh64_intdigest(view[at : at + length]) for at in range(size)], np.uint64)
                 columns = [digests.view(np.int64), np.full(size, document), np.arange(first, first + size, dtype=np.int32), np.full(size, m)]
                 yield pa.RecordBatch.from_arrays([pa.array(each) for each in columns], ["window", "document", "first", "m"])
+        give_back()
 
     windows = rows.select("document", "first", "m", "data").mapInArrow(run, "window long, document long, first int, m long")
     often = windows.groupBy("window").agg(F.sum("m").alias("n")).filter("n > 1").select("window")
@@ -332,6 +340,7 @@ def without_repeats(
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             texts = [text.encode() for text in batch.column(len(names)).to_pylist()]
             marked = [[(each["first"], each["stop"]) for each in found or ()] for found in batch.column(len(names) + 1).to_pylist()]
@@ -339,6 +348,7 @@ def without_repeats(
             left = [data.decode(errors="ignore") if whole else data for data, _ in kept]
             arrays = [pa.array([len(data) for data in texts], pa.int64()), pa.array(left, pa.string() if whole else pa.binary()), pa.array([removed for _, removed in kept], spans)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*columns, *results])
+        give_back()
 
     kinds = [T.LongType(), T.StringType() if whole else T.BinaryType(), T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))]
     schema = T.StructType([*(field(documents, column) for column in columns), *map(T.StructField, results, kinds)])

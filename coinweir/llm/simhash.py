@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coinweir.llm.components import components
-from coinweir.llm.memory import keep_only
+from coinweir.llm.memory import give_back, keep_only
 from coinweir.llm.tables import field, fresh, stored
 
 SEED = 42
@@ -61,6 +61,7 @@ def fingerprints(
         for batch in batches:
             found = [fingerprint(text or "", words_each) for text in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(found, pa.int64())], [*columns, name])
+        give_back()
 
     schema = T.StructType([*(field(documents, column) for column in columns), T.StructField(name, T.LongType())])
     return documents.select(*columns, F.col(text_column).alias("_text")).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinweir.llm.memory import keep_only
+from coinweir.llm.memory import give_back, keep_only
 from coinweir.llm.tables import stored, text_of
 
 #: Buckets that terms are hashed to, and how many of them the machine may use.
@@ -190,6 +190,7 @@ def score(documents: DataFrame, machine: Machine, text_column: str = "text", nam
         keep_only()
         for texts in batches:
             yield pd.Series(machine.scores([np.asarray(text) for text in texts]))
+        give_back()
 
     scored = F.pandas_udf(run, T.DoubleType())
     return hashed.select(*[F.col(alias).alias(column) for alias, column in renamed.items()], scored("_terms").alias(name))
