@@ -180,7 +180,8 @@ def removed_lines(documents: DataFrame, id_column: str = "doc_id", text_column:
 def _lost(sequences: DataFrame, pairs: DataFrame) -> DataFrame:
     """(document, gone): the places of lines that documents lose to the holders they are paired with."""
     first = sequences.select(F.col("document").alias("holder"), F.col("lines").alias("first"))
-    pairs = pairs.join(sequences, "document").join(first, "holder").select("document", "first", "lines", "sizes")
+    # merged: files of lines that recur are much smaller than the lines in memory, and would be broadcast
+    pairs = pairs.join(sequences.hint("merge"), "document").join(first.hint("merge"), "holder").select("document", "first", "lines", "sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_only()

@@ -271,7 +271,8 @@ def _one_by_one(rows: DataFrame, length: int) -> DataFrame:
 
     windows = rows.select("document", "first", "m", "data").mapInArrow(run, "window long, document long, first int, m long")
     often = windows.groupBy("window").agg(F.sum("m").alias("n")).filter("n > 1").select("window")
-    return windows.join(often, "window").select("document", "first", (F.col("first") + 1).alias("stop"))
+    # merged: Spark sizes the windows like the pieces, which are a window for each byte
+    return windows.join(often.hint("merge"), "window").select("document", "first", (F.col("first") + 1).alias("stop"))
 
 
 def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
@@ -290,7 +291,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     different = stored(different.join(several, "anchor").select("anchor", "piece", "m", "pieces", "one.*"))
 
     copies = different.filter("m > 1").select("anchor", "piece")
-    whole = pieces.join(copies, ["anchor", "piece"]).select("document", "first", "stop")
+    whole = pieces.join(copies.hint("merge"), ["anchor", "piece"]).select("document", "first", "stop")
 
     wanted = different.filter("pieces > 1").select("document", F.struct("anchor", "piece", "first", "stop", "m", "pieces").alias("each"))
     wanted = wanted.groupBy("document").agg(F.collect_list("each").alias("wanted"))  # no more than a text has pieces

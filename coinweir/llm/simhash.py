@@ -115,7 +115,8 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         left = entries(table).withColumnRenamed("fingerprint", "one")
         right = entries(sought).withColumnRenamed("fingerprint", "two")
         near = F.bit_count(F.col("one").bitwiseXOR(F.col("two"))) <= max_bits
-        pairs = left.join(right, ["entry", "part"]).filter(near & (F.col("one") != F.col("two")))
+        # Spark sizes exploded rows like the rows that they are made from, and would broadcast tables many times too large
+        pairs = left.join(right.hint("merge"), ["entry", "part"]).filter(near & (F.col("one") != F.col("two")))
         pairs = pairs.select(F.greatest("one", "two").alias("src"), F.least("one", "two").alias("dst"))
         found = pairs if found is None else found.unionByName(pairs)
     return found
@@ -135,11 +136,12 @@ def near_duplicates(
     distinct = least.select("fingerprint")
     reached = components(links(distinct, max_bits)).withColumnRenamed("node", "fingerprint")
     group = F.coalesce("component", "fingerprint").alias("group")
-    grouped = stored(least.join(reached, "fingerprint", "left").select("fingerprint", "least", group))
+    # tables of all documents are merged: how large their files are does not tell how large they are in memory
+    grouped = stored(least.join(reached.hint("merge"), "fingerprint", "left").select("fingerprint", "least", group))
     first = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
     name = fresh("component_id", [id_column])
-    found = grouped.join(first, "group").select("fingerprint", F.col("component_id").alias(name))
-    return marked.join(found, "fingerprint").select(id_column, "fingerprint", name)
+    found = grouped.join(first.hint("merge"), "group").select("fingerprint", F.col("component_id").alias(name))
+    return marked.join(found.hint("merge"), "fingerprint").select(id_column, "fingerprint", name)
 
 
 def one_of_each(documents: DataFrame, words_each: int = 3, max_bits: int = 2, id_column: str = "doc_id") -> DataFrame:
@@ -154,7 +156,7 @@ def one_of_each(documents: DataFrame, words_each: int = 3, max_bits: int = 2, id
     least = stored(marked.groupBy(F.col(mark).alias("fingerprint")).agg(F.min(key).alias(key)))
     reached = components(links(least.select("fingerprint"), max_bits)).withColumnRenamed("node", "fingerprint")
     group = F.coalesce("component", "fingerprint")
-    firsts = least.join(reached, "fingerprint", "left").groupBy(group).agg(F.min(key).alias(key)).select(key)
+    firsts = least.join(reached.hint("merge"), "fingerprint", "left").groupBy(group).agg(F.min(key).alias(key)).select(key)
     kept = rows.join(firsts.hint("merge"), key, "left_semi")
     turn = F.row_number().over(Window.partitionBy(key).orderBy(key))
     return kept.withColumn(place, turn).filter(F.col(place) == 1).select(*documents.columns)

@@ -90,3 +90,11 @@ def test_components_of_a_long_chain_a_star_and_loops(spark):
     assert {row.node: row.component for row in rows} == joined({node for edge in real for node in edge}, real)
     assert len(rows) == len({row.node for row in rows})
     assert components(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
+def test_exploded_tables_are_not_broadcast(spark):
+    """A table of 33 rows for each fingerprint is sized like the fingerprints, so that of a few hundred thousand it would be broadcast."""
+    pairs = simhash.links(spark.range(1000).select(F.xxhash64("id").alias("fingerprint")), 2)
+    pairs.collect()
+    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin)(?:\(skew=true\))? \[([^\]]*)\]", pairs._jdf.queryExecution().executedPlan().toString())
+    assert {join for join, keys in joins if "part" in keys} == {"SortMergeJoin"}
